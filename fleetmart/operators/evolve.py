@@ -71,12 +71,15 @@ def extend_schema(df: DataFrame, names: Sequence[str]) -> Extension:
     return Extension(wide, added, failed)
 
 
-def column_names(missing: DataFrame) -> list[str]:
-    """Names for :func:`extend_schema`; they become a schema, so they must be few."""
-    rows = missing.select("Neue Spalte").orderBy("Neue Spalte").take(COLUMN_LIMIT + 1)
+def column_names(missing: Iterable[DataFrame]) -> dict[str, list[str]]:
+    """Names for :func:`extend_schema` by table; they become a schema, so they must be few."""
+    rows = extension_plan(missing).select("Tabelle", "Neue Spalte").take(COLUMN_LIMIT + 1)
     if len(rows) > COLUMN_LIMIT:
         raise ValueError(f"more than {COLUMN_LIMIT} new columns")
-    return [r[0] for r in rows]
+    names: dict[str, list[str]] = {}
+    for table, name in rows:
+        names.setdefault(table, []).append(name)
+    return names
 
 
 def rename_column(df: DataFrame, old: str, new: str) -> DataFrame:

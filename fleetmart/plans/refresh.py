@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from fleetmart.operators import evolve
 from fleetmart.operators.events import ALERT_DAYS, MAINTENANCE_DAYS, import_metrics
@@ -55,6 +56,17 @@ def new_columns(
     }
 
 
+def fillable(dictionary: DataFrame, targets: dict[str, DataFrame]) -> dict[str, list[str]]:
+    """Columns of each inventory that the dictionary can fill; the others need no work."""
+    columns = {
+        t: writable_columns(df, [*PROTECTED, *DERIVED[t]]) for t, df in targets.items()
+    }
+    wanted = sorted({c.lower() for cols in columns.values() for c in cols})
+    names = dictionary.select(F.lower("PropertySystemName").alias("name"))
+    listed = {r["name"] for r in names.where(F.col("name").isin(wanted)).distinct().collect()}
+    return {t: [c for c in cols if c.lower() in listed] for t, cols in columns.items()}
+
+
 def refresh(
     store: Snapshots,
     warehouse: Warehouse,
@@ -67,54 +79,58 @@ def refresh(
 ) -> RefreshReport:
     """Extend the schemas, sync each inventory with its properties, load both histories.
 
-    Each table is written once, as a staged version that later steps read; the versions become
-    current together after the last step. A failed run therefore leaves the former state.
+    Each step writes a staged version that the next one reads, which also keeps the plans short;
+    the last ones become current together at the end. A failed run leaves the former state.
     """
     spark, report = store.spark, RefreshReport()
     attempt = f"v{store.last_commit() + 1:08d}"
     staged: dict[str, str] = {}
 
-    def stage(table: str, df: DataFrame) -> DataFrame:
-        staged[table] = store.stage(table, df, attempt)
-        return spark.read.parquet(staged[table])
+    def stage(table: str, df: DataFrame, step: str) -> DataFrame:
+        staged[table] = store.stage(table, df, f"{attempt}/{step}")
+        return spark.read.schema(df.schema).parquet(staged[table])
 
     def with_properties(table: str, df: DataFrame) -> DataFrame:
-        barred = [*PROTECTED, *DERIVED[table]]
-        columns = writable_columns(df, barred)
-        names = warehouse.dictionary
-        return refresh_properties(df, warehouse.properties, names, as_of, columns=columns)
-
-    targets = {t: store.read(t) for t in INVENTORIES}
-    for table, missing in new_columns(warehouse.dictionary, types, targets).items():
-        outcome = evolve.extend_schema(targets[table], evolve.column_names(missing))
+        filled = refresh_properties(
+            df, warehouse.properties, warehouse.dictionary, as_of, columns=columns[table]
+        )
+        return stage(table, filled, "properties")
+
+    state = store.read_all([*INVENTORIES, "AlertHistory", "MaintenanceHistory"])
+    targets = {t: state[t] for t in INVENTORIES}
+    missing = new_columns(warehouse.dictionary, types, targets)
+    names = evolve.column_names(missing.values())
+    for table in INVENTORIES:
+        outcome = evolve.extend_schema(targets[table], names.get(table, []))
         targets[table] = outcome.df
         report.added[table], report.failed[table] = outcome.added, outcome.failed
+    columns = fillable(warehouse.dictionary, targets)
 
     found = I.server_source(warehouse.entities, warehouse.properties, types.servers)
     synced = I.sync_servers(targets["SQLServer"], found, as_of, match_host)
-    servers = stage("SQLServer", with_properties("SQLServer", synced))
+    servers = with_properties("SQLServer", stage("SQLServer", synced, "sync"))
 
     found = I.computer_source(warehouse.entities, types.computers, servers)
     synced = I.sync_computers(targets["Computer"], found, as_of)
-    filled = with_properties("Computer", synced)
-    computers = stage("Computer", I.update_os(filled, warehouse.entities))
+    filled = with_properties("Computer", stage("Computer", synced, "sync"))
+    computers = stage("Computer", I.update_os(filled, warehouse.entities), "system")
 
     found = I.database_source(
         warehouse.entities, warehouse.properties, types.databases, types.excluded
     )
     synced = I.sync_databases(targets["SQLDatabase"], found, as_of)
-    stage("SQLDatabase", with_properties("SQLDatabase", synced))
+    with_properties("SQLDatabase", stage("SQLDatabase", synced, "sync"))
 
     known = known_entities(servers, computers)
     source = I.alert_source(warehouse.alerts, known)
-    loads = {"AlertHistory": I.plan_alerts(store.read("AlertHistory"), source, as_of, alert_days)}
+    loads = {"AlertHistory": I.plan_alerts(state["AlertHistory"], source, as_of, alert_days)}
     source = I.maintenance_source(warehouse.windows, warehouse.entities, computers)
-    history = store.read("MaintenanceHistory")
+    history = state["MaintenanceHistory"]
     loads["MaintenanceHistory"] = I.plan_maintenance(history, source, as_of, maintenance_days)
     for table, planned in loads.items():
         # Counted by a query of its own: accumulators would count a repeated task twice.
         report.metrics[table] = import_metrics(planned).first().asDict()
-        stage(table, I.kept_rows(planned))
+        stage(table, I.kept_rows(planned), "load")
 
     report.commit = store.commit(staged, tag=f"refresh {as_of.isoformat()}")
     return report

@@ -1,6 +1,15 @@
 """All registered queries."""
 
-from fleetmart.registry import columns, lookups, sync  # noqa: F401
+from fleetmart.registry import (  # noqa: F401
+    columns,
+    events,
+    lookups,
+    properties,
+    refresh,
+    schema,
+    sync,
+    views,
+)
 from fleetmart.registry.base import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+SCHEMAS: dict[str, StructType] = {}
+
+
 class Tables:
     """The given tables of one folder, as frames or inside SQL text."""
 
@@ -22,12 +26,18 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        # Reading the schema from the files takes a job, so it is done once per file.
+        if path not in SCHEMAS:
+            SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(SCHEMAS[path]).parquet(path)
 
     def sql(self, text: str) -> DataFrame:
         """Run SQL in which ``{orders}`` stands for a given table."""
         for name in TABLES:
-            text = text.replace("{" + name + "}", f"parquet.`{self.folder}/{name}.parquet`")
+            if "{" + name + "}" in text:
+                getattr(self, name).createOrReplaceTempView(f"given_{name}")
+                text = text.replace("{" + name + "}", f"given_{name}")
         return self.spark.sql(text)
 
 

@@ -6,6 +6,8 @@ listed; derived ones are added by ``plans.derived``.
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Columns read from the warehouse.
@@ -206,6 +208,13 @@ def struct_of(name: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 
 
+def conform(df: DataFrame, table: str) -> DataFrame:
+    """The frame in a table's columns and types; columns it lacks are NULL."""
+    fields = struct_of(table).fields
+    cells = [F.col(f.name) if f.name in df.columns else F.lit(None) for f in fields]
+    return df.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(cells, fields)])
+
+
 def declared_widths(table: str) -> dict[str, int]:
     """Declared width of every text column of a reporting table."""
     if table in TEXT_WIDTH:

@@ -39,18 +39,24 @@ class Snapshots:
     def has_tag(self, tag: str) -> bool:
         return not self.log().where(F.col("tag") == tag).isEmpty()
 
-    def path_of(self, table: str, commit: int | None = None) -> str | None:
-        found = self.log().where(F.col("table") == table)
-        if commit is not None:
-            found = found.where(F.col("commit") <= commit)
-        return found.agg(F.max_by("path", "commit")).first()[0]
+    def paths(self, commit: int | None = None) -> dict[str, str]:
+        """Folder of every table as of now or of an earlier commit; one row per table."""
+        log = self.log() if commit is None else self.log().where(F.col("commit") <= commit)
+        latest = log.groupBy("table").agg(F.max_by("path", "commit").alias("path"))
+        return {row["table"]: row["path"] for row in latest.collect()}
+
+    def read_all(self, tables: Sequence[str], commit: int | None = None) -> dict[str, DataFrame]:
+        """Versions of several tables that belong together; empty ones before the first commit."""
+        paths = self.paths(commit)
+        return {
+            t: self.spark.read.parquet(paths[t])
+            if t in paths
+            else self.spark.createDataFrame([], struct_of(t))
+            for t in tables
+        }
 
     def read(self, table: str, commit: int | None = None) -> DataFrame:
-        """Current (or an earlier) version; an empty table before the first one."""
-        path = self.path_of(table, commit)
-        if path is None:
-            return self.spark.createDataFrame([], struct_of(table))
-        return self.spark.read.parquet(path)
+        return self.read_all([table], commit)[table]
 
     def stage(
         self, table: str, df: DataFrame, attempt: str, partition_by: Sequence[str] = ()
