@@ -56,9 +56,13 @@ def plan_upsert(
     """
     now = moment(as_of)
     limit = moment(cutoff(as_of, days))
-    incoming = latest_per_key(recent(new, ts_col, as_of, days), key, [*prefer] or [*compare])
+    order = [*prefer] or [*compare]
+    inside = recent(new, ts_col, as_of, days)
+    incoming = latest_per_key(inside, key, order)
     values = list(dict.fromkeys([*compare, *update]))
-    offered = incoming.select(
+    # Old rows only need the values they compare and take over, not the whole incoming row.
+    narrow = inside.select(key, *dict.fromkeys([*order, *values]))
+    offered = latest_per_key(narrow, key, order).select(
         F.col(key).alias("_key"), *[F.col(c).alias(f"_new_{c}") for c in values]
     )
     outdated = F.coalesce(F.col(ts_col) < limit, F.lit(False))

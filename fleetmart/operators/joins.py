@@ -1,5 +1,8 @@
-"""Existence filters between tables. No side is hinted: Catalyst and adaptive execution choose
-by the sizes they see."""
+"""Existence filters between tables, and the size check before a broadcast.
+
+Only sides that pass :func:`settle` are hinted; for all others Catalyst and adaptive execution
+choose by the sizes they see.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +12,22 @@ from pyspark.sql import functions as F
 from fleetmart.functions.columns import ci_key
 
 
+SMALL_ROWS = 10_000
+
+
+def settle(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
+    """A lookup side, computed now and broadcast if it has at most ``limit`` rows.
+
+    A larger one is returned as it is, for a shuffled join that adaptive execution can split at
+    hot keys. With the small side at hand the large side is joined where it is read, so a key that
+    holds most of its rows moves nowhere.
+    """
+    rows = df.take(limit + 1)
+    if len(rows) > limit:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
 def active_types(types: DataFrame, flag: str | None = None) -> DataFrame:
     """Type ids that are switched on (all of them when the table has no flag)."""
     on = types.where(F.col(flag)) if flag else types
@@ -16,7 +35,7 @@ def active_types(types: DataFrame, flag: str | None = None) -> DataFrame:
 
 
 def of_types(entities: DataFrame, types: DataFrame) -> DataFrame:
-    return entities.join(types, "ManagedEntityTypeRowId", "left_semi")
+    return entities.join(settle(types.distinct()), "ManagedEntityTypeRowId", "left_semi")
 
 
 def same_name(df: DataFrame, column: str, others: DataFrame, other_column: str) -> DataFrame:
@@ -52,6 +71,6 @@ def exclude_names(df: DataFrame, column: str, excluded: DataFrame, name: str = "
     )
     empty = facts.select(F.col("n") == 0).scalar()
     has_null = facts.select(F.col("nulls") > 0).scalar()
-    hits = names.where("_name is not null").distinct()
+    hits = settle(names.where("_name is not null").distinct())
     kept = df.join(hits, ci_key(df[column]) == hits["_name"], "left_anti")
     return kept.where(empty | (kept[column].isNotNull() & ~has_null))

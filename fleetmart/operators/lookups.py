@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetmart.functions.columns import NO_CUSTOMER, ci_key, label, truncate
+from fleetmart.operators.joins import settle
 
 LIKE_MARKS = r"[%_\[]"
 UNCLOSED = r"\[[^\]]*$"  # an open bracket without its partner matches nothing
@@ -22,7 +23,9 @@ def key_lookup(
     """
     cols = list(dict.fromkeys(take.values()))
     one = dim.groupBy(F.col(dim_key).alias("_key")).agg(F.min(F.struct(*cols)).alias("_row"))
-    hits = one.select("_key", *[F.col("_row")[src].alias(new) for new, src in take.items()])
+    hits = settle(
+        one.select("_key", *[F.col("_row")[src].alias(new) for new, src in take.items()])
+    )
     return df.join(hits, df[column] == hits["_key"], "left").drop("_key")
 
 
@@ -53,7 +56,7 @@ def with_release(
         .groupBy("_version")
         .agg(F.max_by("_release", "_len").alias(out))
     )
-    return keyed.join(best, "_version", "left").drop("_version")
+    return keyed.join(settle(best), "_version", "left").drop("_version")
 
 
 def with_support(
@@ -135,7 +138,7 @@ def with_customer(
     hits = best.select(
         "_domain", *[F.col("_best.row")[src].alias(new) for new, src in take.items()]
     )
-    return keyed.join(hits, "_domain", "left").drop("_domain")
+    return keyed.join(settle(hits), "_domain", "left").drop("_domain")
 
 
 def _contained(distinct: DataFrame, listed: DataFrame, names: list[str]) -> DataFrame:

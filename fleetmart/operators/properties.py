@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetmart.functions.columns import ci_key, day, guid_key, not_blank, truncate
+from fleetmart.operators.joins import settle
 from fleetmart.schemas import PROTECTED
 
 XML_SCHEMA = "Property array<struct<_Guid:string,_VALUE:string>>"
@@ -40,12 +41,18 @@ def shred(history: DataFrame) -> DataFrame:
     )
 
 
-def named(shredded: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Shredded properties with their names; a guid listed for several types counts once."""
+def named(
+    shredded: DataFrame, dictionary: DataFrame, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Shredded properties with their names, of the given columns only if there are any; a guid
+    listed for several types counts once."""
     names = dictionary.select(
         guid_key(F.col("PropertyGuid")).alias("PropertyGuid"), "PropertySystemName"
-    ).distinct()
-    return shredded.join(names, "PropertyGuid")
+    )
+    if columns is not None:
+        wanted = [c.lower() for c in columns]
+        names = names.where(ci_key(F.col("PropertySystemName")).isin(wanted))
+    return shredded.join(settle(names.distinct()), "PropertyGuid")
 
 
 def show_properties(history: DataFrame, dictionary: DataFrame, entity: int | None = None) -> DataFrame:
@@ -118,12 +125,23 @@ def write_back(
 
 
 def refresh_properties(
-    target: DataFrame, history: DataFrame, dictionary: DataFrame, as_of: datetime, **options
+    target: DataFrame,
+    history: DataFrame,
+    dictionary: DataFrame,
+    as_of: datetime,
+    *,
+    columns: Sequence[str] | None = None,
+    **options,
 ) -> DataFrame:
-    """Write the current properties of all entities of an inventory back in one job."""
+    """Write the current properties of all entities of an inventory back in one job.
+
+    Only the XML of listed entities is taken apart.
+    """
+    columns = list(columns) if columns is not None else writable_columns(target)
     ids = target.select("ManagedEntityRowId")
     rows = current_only(history).join(ids, "ManagedEntityRowId", "left_semi")
-    return write_back(target, named(shred(rows), dictionary), as_of, **options)
+    properties = named(shred(rows), dictionary, columns)
+    return write_back(target, properties, as_of, columns=columns, **options)
 
 
 def property_list(df: DataFrame, ids: Sequence[str], columns: Sequence[str]) -> DataFrame:

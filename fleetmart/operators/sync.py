@@ -26,12 +26,14 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     An aggregate instead of a window: each task reduces its copies before the shuffle, so a key
     that holds most rows moves one row per task.
     """
-    rest = [c for c in df.columns if c not in order]
-    row = F.struct(*order, *rest)
-    first = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
-        F.min_by(row, F.struct(*order)).alias("_row")
-    )
-    return first.select(*[F.col("_row")[c].alias(c) for c in df.columns])
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    ranking = [c for c in order if c not in keys] or rest
+    row = F.struct(*rest)
+    first = df.groupBy(*keys).agg(F.min_by(row, F.struct(*ranking)).alias("_row"))
+    # Keys come from the grouping, so a reader of keys alone makes this a plain distinct.
+    return first.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
 
 def one_per_key(df: DataFrame, key: str) -> DataFrame:
@@ -54,7 +56,7 @@ def classify(
     """
     match_on = match_on or key
     rows = one_per_key(source, key)
-    seen = rows.select(F.col(match_on).alias("_seen")).where("_seen is not null").distinct()
+    seen = source.select(F.col(match_on).alias("_seen")).where("_seen is not null").distinct()
     joined = target.join(seen, target[key] == seen["_seen"], "left")
     found, present = F.col("_seen").isNotNull(), F.col(missing_col).isNull()
     state = (

@@ -66,9 +66,9 @@ class Snapshots:
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         return path
 
-    def commit(self, paths: Mapping[str, str], tag: str = "") -> int:
+    def commit(self, paths: Mapping[str, str], tag: str = "", number: int | None = None) -> int:
         """Make staged versions current, all in one append."""
-        number = self.last_commit() + 1
+        number = number or self.last_commit() + 1
         rows = [(number, tag, table, path) for table, path in paths.items()]
         entry = self.spark.createDataFrame(rows, LOG).coalesce(1)
         entry.write.mode("append").parquet(f"{self.root}/commits")
@@ -76,5 +76,6 @@ class Snapshots:
 
     def write(self, tables: Mapping[str, DataFrame], tag: str = "") -> int:
         """Stage and commit."""
-        attempt = f"v{self.last_commit() + 1:08d}"
-        return self.commit({t: self.stage(t, df, attempt) for t, df in tables.items()}, tag)
+        number = self.last_commit() + 1
+        paths = {t: self.stage(t, df, f"v{number:08d}") for t, df in tables.items()}
+        return self.commit(paths, tag, number)
