@@ -81,7 +81,7 @@ def plan_upsert(
         new_value = F.col(f"_new_{name}").cast(old.schema[name].dataType)
         marked = marked.withColumn(name, F.when(is_update, new_value).otherwise(F.col(name)))
     marked = marked.withColumn(stamp_col, F.when(is_update, now).otherwise(F.col(stamp_col)))
-    held = purge(old, ts_col, as_of, days).select(F.col(key).alias("_held"))
+    held = purge(old, ts_col, as_of, days).select(F.col(key).alias("_held")).distinct()
     fresh = incoming.join(held, incoming[key] == held["_held"], "left_anti")
     inserts = with_dense_ids(fresh, [key], id_col, highest(old, id_col))
     inserts = inserts.withColumn(stamp_col, now)

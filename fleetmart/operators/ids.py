@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BUCKET_DIGITS = 3  # hexadecimal digits: 4096 buckets at most
+BUCKET_DIGITS = 4  # hexadecimal digits: 65,536 buckets at most
 
 
 def bucket_of(*keys: str) -> Column:
@@ -19,7 +19,7 @@ def with_dense_ids(df: DataFrame, keys: list[str], id_col: str, after: Column |
     """Number the rows ``after + 1 … after + n`` in the order (bucket, natural key).
 
     Rows are ranked inside their bucket in parallel; a bucket starts where the ones before it end.
-    Only the per-bucket counts (4096 rows at most) meet in one task and are broadcast. ``keys``
+    Only the per-bucket counts (65,536 rows at most) meet in one task and are broadcast. ``keys``
     must be unique, which also keeps the buckets even.
     """
     rows = df.withColumn("_bucket", bucket_of(*keys))

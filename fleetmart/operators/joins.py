@@ -15,17 +15,23 @@ from fleetmart.functions.columns import ci_key
 SMALL_ROWS = 10_000
 
 
+def if_small(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame | None:
+    """The rows, computed now and marked for broadcast; nothing if there are more than ``limit``."""
+    rows = df.take(limit + 1)
+    if len(rows) > limit:
+        return None
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
 def settle(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
-    """A lookup side, computed now and broadcast if it has at most ``limit`` rows.
+    """A lookup side, broadcast if it is small.
 
     A larger one is returned as it is, for a shuffled join that adaptive execution can split at
     hot keys. With the small side at hand the large side is joined where it is read, so a key that
     holds most of its rows moves nowhere.
     """
-    rows = df.take(limit + 1)
-    if len(rows) > limit:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    small = if_small(df, limit)
+    return df if small is None else small
 
 
 def active_types(types: DataFrame, flag: str | None = None) -> DataFrame:
@@ -40,7 +46,7 @@ def of_types(entities: DataFrame, types: DataFrame) -> DataFrame:
 
 def same_name(df: DataFrame, column: str, others: DataFrame, other_column: str) -> DataFrame:
     """Rows whose name occurs in another table, whatever the case and trailing blanks."""
-    names = others.select(ci_key(F.col(other_column)).alias("_name"))
+    names = others.select(ci_key(F.col(other_column)).alias("_name")).distinct()
     return df.join(names, ci_key(df[column]) == names["_name"], "left_semi")
 
 
@@ -54,7 +60,7 @@ def known_entities(*inventories: DataFrame) -> DataFrame:
 
 
 def only_known(df: DataFrame, known: DataFrame, column: str = "ManagedEntityRowId") -> DataFrame:
-    ids = known.select(F.col("ManagedEntityRowId").alias("_id"))
+    ids = known.select(F.col("ManagedEntityRowId").alias("_id")).distinct()
     return df.join(ids, df[column] == ids["_id"], "left_semi")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fleetmart.functions.columns import NO_CUSTOMER, ci_key, label, truncate
 from fleetmart.operators.joins import settle
 
+DOMAIN_WIDTH = 100  # a looked-up domain is cut to this
 LIKE_MARKS = r"[%_\[]"
 UNCLOSED = r"\[[^\]]*$"  # an open bracket without its partner matches nothing
 
@@ -124,7 +125,7 @@ def with_customer(
     marks ``%``, ``_`` and ``[…]`` inside it act as wildcards and an empty text matches all.
     """
     names = list(dict.fromkeys(take.values()))
-    keyed = df.withColumn("_domain", ci_key(truncate(F.col(domain), 100)))
+    keyed = df.withColumn("_domain", ci_key(truncate(F.col(domain), DOMAIN_WIDTH)))
     distinct = keyed.select("_domain").where("_domain is not null").distinct()
     listed = dimension.select(
         "DomainId", "DomainDnsName", *names, ci_key(F.col("DomainDnsName")).alias("_text")
@@ -144,7 +145,8 @@ def with_customer(
 def _contained(distinct: DataFrame, listed: DataFrame, names: list[str]) -> DataFrame:
     starts = F.explode(F.sequence(F.lit(1), F.length("_text"))).alias("_from")
     suffixes = listed.where("_text <> ''").select("*", starts)
-    ends = F.explode(F.sequence(F.lit(1), F.length("_text") - F.col("_from") + 1))
+    longest = F.least(F.length("_text") - F.col("_from") + 1, F.lit(DOMAIN_WIDTH))
+    ends = F.explode(F.sequence(F.lit(1), longest))
     pieces = suffixes.select("*", ends.alias("_len")).withColumn(
         "_domain", F.substring(F.col("_text"), F.col("_from"), F.col("_len"))
     )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetmart.functions.columns import ci_key, day, guid_key, not_blank, truncate
-from fleetmart.operators.joins import settle
+from fleetmart.operators.joins import if_small, settle
 from fleetmart.schemas import PROTECTED
 
 XML_SCHEMA = "Property array<struct<_Guid:string,_VALUE:string>>"
@@ -135,11 +135,14 @@ def refresh_properties(
 ) -> DataFrame:
     """Write the current properties of all entities of an inventory back in one job.
 
-    Only the XML of listed entities is taken apart.
+    A short list of entities is applied before the XML is taken apart. A long one is not, since
+    moving the texts to their entities costs more: foreign values meet no target row in the end.
     """
     columns = list(columns) if columns is not None else writable_columns(target)
-    ids = target.select("ManagedEntityRowId")
-    rows = current_only(history).join(ids, "ManagedEntityRowId", "left_semi")
+    rows = current_only(history)
+    ids = if_small(target.select("ManagedEntityRowId").distinct())
+    if ids is not None:
+        rows = rows.join(ids, "ManagedEntityRowId", "left_semi")
     properties = named(shred(rows), dictionary, columns)
     return write_back(target, properties, as_of, columns=columns, **options)
 

@@ -15,7 +15,7 @@ def duplicates(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child rows whose key, unless NULL, has no parent."""
-    keys = parent.select(F.col(parent_key).alias("_parent"))
+    keys = parent.select(F.col(parent_key).alias("_parent")).distinct()
     filled = child.where(F.col(column).isNotNull())
     return filled.join(keys, filled[column] == keys["_parent"], "left_anti")
 

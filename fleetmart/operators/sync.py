@@ -65,7 +65,7 @@ def classify(
         .when(present, NEWLY_MISSING)
         .otherwise(STILL_MISSING)
     )
-    known = target.select(F.col(key).alias("_known"))
+    known = target.select(F.col(key).alias("_known")).distinct()
     fresh = rows.join(known, rows[match_on] == known["_known"], "left_anti")
     return joined.withColumn("_state", state).drop("_seen"), fresh
 

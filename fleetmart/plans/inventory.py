@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fleetmart.functions import columns as X
 from fleetmart.operators import events as E
 from fleetmart.operators.joins import active_types, exclude_names, of_types, only_known, same_name
+from fleetmart.operators.properties import current_only
 from fleetmart.operators.sync import keep_first, sync_snapshot, update_from
 
 OS_TYPE = 62  # fixed value: entity type of an operating system
@@ -48,8 +49,8 @@ def server_source(entities: DataFrame, properties: DataFrame, types: DataFrame)
 def sync_servers(
     target: DataFrame, source: DataFrame, as_of: datetime, match_host: bool = False
 ) -> DataFrame:
-    """``match_host`` compares the stored entity id with the source's *host* id, as the first
-    version of this report did; such rows never find themselves again when the two differ."""
+    """``match_host`` compares the stored entity id with the source's *host* id, the
+    original rule; such rows never find themselves again when the two differ."""
     return sync_snapshot(
         target,
         source,
@@ -107,7 +108,7 @@ def database_source(
 ) -> DataFrame:
     """Databases to list: active types with a current property version, system names left out."""
     wanted = of_types(entities, active_types(types, "Aktive"))
-    current = properties.where(F.col("ToDateTime").isNull()).select("ManagedEntityRowId")
+    current = current_only(properties).select("ManagedEntityRowId").distinct()
     live = wanted.join(current, "ManagedEntityRowId", "left_semi")
     return exclude_names(live, "DisplayName", excluded).select(
         "ManagedEntityRowId",

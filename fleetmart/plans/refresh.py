@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from fleetmart.operators import evolve
 from fleetmart.operators.events import ALERT_DAYS, MAINTENANCE_DAYS, import_metrics
 from fleetmart.operators.joins import active_types, known_entities
-from fleetmart.operators.properties import refresh_properties, writable_columns
+from fleetmart.operators.properties import current_only, named, shred, writable_columns, write_back
 from fleetmart.plans import inventory as I
 from fleetmart.schemas import DERIVED, PROTECTED, struct_of
 from fleetmart.sources.readers import Warehouse
@@ -91,9 +91,7 @@ def refresh(
         return spark.read.schema(df.schema).parquet(staged[table])
 
     def with_properties(table: str, df: DataFrame) -> DataFrame:
-        filled = refresh_properties(
-            df, warehouse.properties, warehouse.dictionary, as_of, columns=columns[table]
-        )
+        filled = write_back(df, values, as_of, columns=columns[table])
         return stage(table, filled, "properties")
 
     state = store.read_all([*INVENTORIES, "AlertHistory", "MaintenanceHistory"])
@@ -106,6 +104,13 @@ def refresh(
         report.added[table], report.failed[table] = outcome.added, outcome.failed
     columns = fillable(warehouse.dictionary, targets)
 
+    # Every XML text is taken apart once, where it is read; all inventories share the values.
+    wanted = sorted({c for names in columns.values() for c in names})
+    items = named(shred(current_only(warehouse.properties)), warehouse.dictionary, wanted)
+    values = spark.read.schema(items.schema).parquet(
+        store.stage("PropertyValues", items, attempt)
+    )
+
     found = I.server_source(warehouse.entities, warehouse.properties, types.servers)
     synced = I.sync_servers(targets["SQLServer"], found, as_of, match_host)
     servers = with_properties("SQLServer", stage("SQLServer", synced, "sync"))

@@ -153,7 +153,7 @@ def priority_map(t: Tables):
 @query(
     "surrogate_ids",
     """SELECT c_custkey, c_name, CAST(500 + row_number() OVER (
-              ORDER BY left(md5(CAST(c_custkey AS VARCHAR)), 3), c_custkey) AS BIGINT) AS ID
+              ORDER BY left(md5(CAST(c_custkey AS VARCHAR)), 4), c_custkey) AS BIGINT) AS ID
        FROM {customer}""",
 )
 def surrogate_ids(t: Tables):

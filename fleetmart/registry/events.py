@@ -45,7 +45,7 @@ SELECT k.ID, k.AlertGuid, k.ManagedEntityRowId, k.Category, {text("k.RaisedDateT
             ELSE '2024-01-21 00:00:00' END AS Imported
 FROM kept k LEFT JOIN src s ON s.AlertGuid = k.AlertGuid
 UNION ALL
-SELECT CAST((SELECT max(ID) FROM old) + row_number() OVER (ORDER BY left(md5(AlertGuid), 3), AlertGuid)
+SELECT CAST((SELECT max(ID) FROM old) + row_number() OVER (ORDER BY left(md5(AlertGuid), 4), AlertGuid)
             AS BIGINT), AlertGuid, ManagedEntityRowId, Category, {text("RaisedDateTime")}, Severity,
        Priority, RepeatCount, '2024-02-01 00:00:00' FROM f)"""
 ALERT_COLUMNS = [
@@ -110,7 +110,7 @@ SELECT ID, MaintenanceRowId, ManagedEntityRowId, DisplayName, {text("StartDateTi
 FROM j
 UNION ALL
 SELECT CAST((SELECT max(ID) FROM old) + row_number() OVER (
-           ORDER BY left(md5(CAST(MaintenanceModeRowId AS VARCHAR)), 3), MaintenanceModeRowId) AS BIGINT),
+           ORDER BY left(md5(CAST(MaintenanceModeRowId AS VARCHAR)), 4), MaintenanceModeRowId) AS BIGINT),
        MaintenanceModeRowId, ManagedEntityRowId, ManagedEntityDefaultName, {text("StartDateTime")},
        {text("EndDateTime")}, {text("ScheduledEndDateTime")}, UserId, Comments, '2001-12-31 10:30:00'
 FROM src WHERE MaintenanceModeRowId NOT IN (SELECT MaintenanceRowId FROM kept))"""

@@ -30,7 +30,7 @@ k AS (SELECT t.*, CASE WHEN m.seen IS NOT NULL AND t.NotFoundSince IS NULL THEN
                        ELSE 'still_missing' END AS state
       FROM t LEFT JOIN (SELECT DISTINCT {match} AS seen FROM s) m ON m.seen = t.ManagedEntityRowId),
 f AS (SELECT s.*, CAST((SELECT max(ID) FROM t) + row_number() OVER (
-                 ORDER BY left(md5(CAST(s.ManagedEntityRowId AS VARCHAR)), 3), s.ManagedEntityRowId)
+                 ORDER BY left(md5(CAST(s.ManagedEntityRowId AS VARCHAR)), 4), s.ManagedEntityRowId)
                  AS BIGINT) AS new_id
       FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.ManagedEntityRowId = s.{match}))"""
 

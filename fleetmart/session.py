@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -12,6 +13,7 @@ SETTINGS = {
     "spark.sql.timestampType": "TIMESTAMP_NTZ",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
 }
@@ -40,5 +42,4 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         if not spark.conf.get("spark.master", "local").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
         return tempfile.mkdtemp(prefix=f"fleetmart-{purpose}-")
-    token = spark.range(1).selectExpr("uuid()").first()[0]
-    return f"{root.rstrip('/')}/fleetmart/{purpose}-{token}"
+    return f"{root.rstrip('/')}/fleetmart/{purpose}-{uuid.uuid4().hex}"
