@@ -35,7 +35,7 @@ def test_first_run(done, rows):
     ) == [(101, "10.0.0.1", "", "System B", False), (102, None, None, None, False)]
     databases = store.read("SQLDatabase")
     assert rows(databases, "ManagedEntityRowId", "Path", "DisplayName", "Owner") == [
-        (201, "sales", "sales", "sa"),
+        (201, "21.0:h1:sales", "sales", "sa"),
     ]
     assert rows(store.read("AlertHistory"), "AlertGuid", "Severity", "Priority") == [
         ("A-1", "Error", "Medium"),
