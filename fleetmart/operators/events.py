@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetmart.functions.columns import cutoff, differs, moment
-from fleetmart.operators.ids import highest, with_dense_ids
+from fleetmart.operators.ids import highest, with_dense_ids, with_new_ids
+from fleetmart.operators.joins import settle
 
 PURGED, UPDATED, INSERTED, UNCHANGED = "purged", "updated", "inserted", "unchanged"
 
@@ -52,28 +53,33 @@ def plan_upsert(
 
     Old rows outside the retention window are purged. An incoming row inside it updates the old
     row of its key if one of ``compare`` changed, or is inserted. Of several incoming rows with
-    one key the greatest by ``prefer`` counts.
+    one key the greatest by ``prefer`` counts; rows without a key are left out.
     """
     now = moment(as_of)
     limit = moment(cutoff(as_of, days))
     order = [*prefer] or [*compare]
-    inside = recent(new, ts_col, as_of, days)
-    incoming = latest_per_key(inside, key, order)
+    inside = recent(new, ts_col, as_of, days).where(F.col(key).isNotNull())
+
+    # What changed, found on the compared columns alone, before any full row moves.
     values = list(dict.fromkeys([*compare, *update]))
-    # Old rows only need the values they compare and take over, not the whole incoming row.
     narrow = inside.select(key, *dict.fromkeys([*order, *values]))
     offered = latest_per_key(narrow, key, order).select(
         F.col(key).alias("_key"), *[F.col(c).alias(f"_new_{c}") for c in values]
     )
-    outdated = F.coalesce(F.col(ts_col) < limit, F.lit(False))
-    joined = old.join(offered, old[key] == offered["_key"], "left")
+    held = purge(old, ts_col, as_of, days).where(F.col(key).isNotNull()).select(key, *compare)
     changed = reduce(
         lambda a, b: a | b, [differs(F.col(c), F.col(f"_new_{c}"), null_safe) for c in compare]
     )
+    changes = held.join(offered, held[key] == offered["_key"]).where(changed)
+    updates = settle(changes.select("_key", *[f"_new_{c}" for c in update]).distinct())
+    held_keys = held.select(F.col(key).alias("_held")).distinct()
+    keys = inside.select(key).distinct()
+    new_keys = keys.join(held_keys, keys[key] == held_keys["_held"], "left_anti")
+
+    outdated = F.coalesce(F.col(ts_col) < limit, F.lit(False))
+    joined = old.join(updates, old[key] == updates["_key"], "left")
     action = (
-        F.when(outdated, PURGED)
-        .when(F.col("_key").isNotNull() & changed, UPDATED)
-        .otherwise(UNCHANGED)
+        F.when(outdated, PURGED).when(F.col("_key").isNotNull(), UPDATED).otherwise(UNCHANGED)
     )
     marked = joined.withColumn("_action", action)
     is_update = F.col("_action") == UPDATED
@@ -81,9 +87,9 @@ def plan_upsert(
         new_value = F.col(f"_new_{name}").cast(old.schema[name].dataType)
         marked = marked.withColumn(name, F.when(is_update, new_value).otherwise(F.col(name)))
     marked = marked.withColumn(stamp_col, F.when(is_update, now).otherwise(F.col(stamp_col)))
-    held = purge(old, ts_col, as_of, days).select(F.col(key).alias("_held")).distinct()
-    fresh = incoming.join(held, incoming[key] == held["_held"], "left_anti")
-    inserts = with_dense_ids(fresh, [key], id_col, highest(old, id_col))
+
+    new_ids = with_dense_ids(new_keys, [key], id_col, highest(old, id_col))
+    inserts = with_new_ids(inside, new_ids, key, lambda df: latest_per_key(df, key, order))
     inserts = inserts.withColumn(stamp_col, now)
     columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in old.schema.fields]
     inserted = inserts.select(*columns, F.lit(INSERTED).alias("_action"))

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from fleetmart.operators.joins import if_small
+
 BUCKET_DIGITS = 4  # hexadecimal digits: 65,536 buckets at most
 
 
@@ -36,6 +40,20 @@ def with_dense_ids(df: DataFrame, keys: list[str], id_col: str, after: Column |
     return numbered.drop("_bucket", "_start", "_rank")
 
 
+def with_new_ids(
+    source: DataFrame, new_ids: DataFrame, key: str, reduce: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """The source rows of the new keys, reduced to one per key, with their ids.
+
+    Few new keys are broadcast, so that rows already known move nowhere; many are joined after
+    the reduction, which has the rows in place by key.
+    """
+    small = if_small(new_ids)
+    if small is not None:
+        return reduce(source.join(small, key))
+    return reduce(source).join(new_ids, key)
+
+
 def highest(df: DataFrame, id_col: str) -> Column:
     """Largest key in use as a scalar subquery; 0 for an empty table."""
     return df.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("_top")).scalar()

@@ -12,26 +12,31 @@ from pyspark.sql import functions as F
 from fleetmart.functions.columns import ci_key
 
 
-SMALL_ROWS = 10_000
+SMALL_ROWS = 50_000
+SMALL_BYTES = 16 * 2**20
 
 
 def if_small(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame | None:
-    """The rows, computed now and marked for broadcast; nothing if there are more than ``limit``."""
-    rows = df.take(limit + 1)
-    if len(rows) > limit:
+    """The rows, computed now and marked for broadcast; nothing if they are more than ``limit`` or
+    take more than 16 MB."""
+    found = df.limit(limit + 1).toArrow()
+    if found.num_rows > limit or found.nbytes > SMALL_BYTES:
         return None
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    return F.broadcast(df.sparkSession.createDataFrame(found, df.schema))
 
 
 def settle(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     """A lookup side, broadcast if it is small.
 
-    A larger one is returned as it is, for a shuffled join that adaptive execution can split at
-    hot keys. With the small side at hand the large side is joined where it is read, so a key that
-    holds most of its rows moves nowhere.
+    With the small side at hand the large side is joined where it is read, so a key that holds
+    most of its rows moves nowhere. A larger one is left to a shuffled join, which adaptive
+    execution can split at hot keys; it is checkpointed first, where the session names a folder
+    for that, so that its several readers do not compute it again.
     """
     small = if_small(df, limit)
-    return df if small is None else small
+    if small is not None:
+        return small
+    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df
 
 
 def active_types(types: DataFrame, flag: str | None = None) -> DataFrame:

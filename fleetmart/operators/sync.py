@@ -9,19 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetmart.functions.columns import moment
-from fleetmart.operators.ids import highest, with_dense_ids
+from fleetmart.operators.ids import highest, with_dense_ids, with_new_ids
+from fleetmart.operators.joins import settle
 
-KEEP, REVIVED, NEWLY_MISSING, STILL_MISSING, NEW = (
-    "keep",
-    "revived",
-    "newly_missing",
-    "still_missing",
-    "new",
-)
+KEEP, REVIVED = "keep", "revived"
+NEWLY_MISSING, STILL_MISSING = "newly_missing", "still_missing"
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per key: the first by ``order``. NULL keys form one group.
+    """One row per key: the first by ``order``, then by the other columns. NULL keys form one group.
 
     An aggregate instead of a window: each task reduces its copies before the shuffle, so a key
     that holds most rows moves one row per task.
@@ -29,9 +25,9 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
-    ranking = [c for c in order if c not in keys] or rest
-    row = F.struct(*rest)
-    first = df.groupBy(*keys).agg(F.min_by(row, F.struct(*ranking)).alias("_row"))
+    ranking = [c for c in order if c not in keys]
+    row = F.struct(*ranking, *[c for c in rest if c not in ranking])
+    first = df.groupBy(*keys).agg(F.min(row).alias("_row"))
     # Keys come from the grouping, so a reader of keys alone makes this a plain distinct.
     return first.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
@@ -41,33 +37,53 @@ def one_per_key(df: DataFrame, key: str) -> DataFrame:
     return keep_first(df, [key], [c for c in df.columns if c != key])
 
 
-def classify(
-    target: DataFrame,
-    source: DataFrame,
-    *,
-    key: str,
-    match_on: str | None = None,
-    missing_col: str = "NotFoundSince",
-) -> tuple[DataFrame, DataFrame]:
-    """Target rows with their ``_state``, and the source rows to insert.
+def key_delta(
+    target: DataFrame, source: DataFrame, *, key: str, match_on: str, missing_col: str
+) -> DataFrame:
+    """Keys that need work: (_key, _found, _new).
 
-    Two joins on the key rather than one full outer join: adaptive execution can split a hot key
-    on the left of a left or anti join, but never in a full outer join.
+    Both sides are reduced to their distinct keys first, so no key is hot in the join, and only
+    keys and one mark are shuffled. Keys whose rows stay as they are do not appear.
     """
-    match_on = match_on or key
-    rows = one_per_key(source, key)
-    seen = source.select(F.col(match_on).alias("_seen")).where("_seen is not null").distinct()
-    joined = target.join(seen, target[key] == seen["_seen"], "left")
-    found, present = F.col("_seen").isNotNull(), F.col(missing_col).isNull()
+    marked = F.col(missing_col).isNotNull()
+    known = (
+        target.where(F.col(key).isNotNull())
+        .groupBy(F.col(key).alias("_key"))
+        .agg(F.bool_or(marked).alias("_marked"), F.bool_or(~marked).alias("_unmarked"))
+    )
+    seen = source.select(F.col(match_on).alias("_key")).where("_key is not null").distinct()
+    both = known.join(seen.withColumn("_found", F.lit(True)), "_key", "full_outer").select(
+        "_key",
+        F.coalesce("_found", F.lit(False)).alias("_found"),
+        F.col("_marked").isNull().alias("_new"),
+        "_marked",
+        "_unmarked",
+    )
+    work = "_new or (_found and _marked) or (not _found and _unmarked)"
+    return both.where(work).select("_key", "_found", "_new")
+
+
+def with_state(target: DataFrame, delta: DataFrame, key: str, missing_col: str) -> DataFrame:
+    """Target rows with their ``_state``; a row without a key counts as not found."""
+    changed = delta.where("not _new").select("_key", "_found")
+    present = F.col(missing_col).isNull()
+    joined = target.join(changed, target[key] == changed["_key"], "left")
+    found = F.when(F.col(key).isNull(), False).otherwise(F.coalesce("_found", present))
     state = (
         F.when(found & present, KEEP)
         .when(found, REVIVED)
         .when(present, NEWLY_MISSING)
         .otherwise(STILL_MISSING)
     )
-    known = target.select(F.col(key).alias("_known")).distinct()
-    fresh = rows.join(known, rows[match_on] == known["_known"], "left_anti")
-    return joined.withColumn("_state", state).drop("_seen"), fresh
+    return joined.withColumn("_state", state).drop("_key", "_found")
+
+
+def classify(
+    target: DataFrame, source: DataFrame, *, key: str, missing_col: str = "NotFoundSince"
+) -> DataFrame:
+    """Target rows with the state a sync would find them in."""
+    delta = key_delta(target, source, key=key, match_on=key, missing_col=missing_col)
+    return with_state(target, settle(delta), key, missing_col)
 
 
 def sync_snapshot(
@@ -86,11 +102,17 @@ def sync_snapshot(
 
     Rows found again lose their missing mark, rows not found any more get ``as_of``, new rows are
     inserted with the given defaults and a fresh surrogate key; nothing is deleted. Source rows
-    are reduced to one per ``key``. ``match_on`` names the source column compared with the
-    target's key when it is another one than ``key``.
+    are reduced to one per ``key``; those without a key are left out, as they could never be found
+    again. ``match_on`` names the source column compared with the target's key when it is another
+    one than ``key``.
+
+    Keys are compared before any full row moves. After a usual run few keys changed; these are
+    broadcast, and both tables are then joined where they are read.
     """
-    states, fresh = classify(
-        target, source, key=key, match_on=match_on, missing_col=missing_col
+    match_on = match_on or key
+    source = source.where(F.col(key).isNotNull())
+    delta = settle(
+        key_delta(target, source, key=key, match_on=match_on, missing_col=missing_col)
     )
     now = moment(as_of)
     types = {f.name: f.dataType for f in target.schema.fields}
@@ -101,12 +123,21 @@ def sync_snapshot(
         .when(state == NEWLY_MISSING, now.cast(types[missing_col]))
         .otherwise(F.col(missing_col))
     )
-    kept = states.withColumn(missing_col, mark)
+    kept = with_state(target, delta, key, missing_col).withColumn(missing_col, mark)
     if modified_col:
         touched = state.isin(REVIVED, NEWLY_MISSING)
         stamp = F.when(touched, now.cast(types[modified_col])).otherwise(F.col(modified_col))
         kept = kept.withColumn(modified_col, stamp)
-    inserts = with_dense_ids(fresh, [key], id_col, highest(target, id_col))
+
+    if match_on == key:
+        new_keys = delta.where("_new").select(F.col("_key").alias(key))
+    else:
+        known = target.select(F.col(key).alias("_known")).distinct()
+        pairs = source.select(key, match_on).distinct()
+        unmatched = pairs.join(known, pairs[match_on] == known["_known"], "left_anti")
+        new_keys = unmatched.select(key).distinct()
+    new_ids = with_dense_ids(new_keys, [key], id_col, highest(target, id_col))
+    inserts = with_new_ids(source, new_ids, key, lambda df: one_per_key(df, key))
     defaults = defaults or {}
 
     def inserted(name: str) -> Column:

@@ -90,7 +90,7 @@ def sync_insert(t: Tables):
 
 
 def with_state(t: Tables, state: str):
-    rows, _ = classify(t.sql(TARGET), t.sql(SOURCE), key="ManagedEntityRowId")
+    rows = classify(t.sql(TARGET), t.sql(SOURCE), key="ManagedEntityRowId")
     return rows.where(F.col("_state") == state).select("ID", "ManagedEntityRowId", "DisplayName")
 
 

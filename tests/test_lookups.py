@@ -69,7 +69,8 @@ def test_settle_checks_the_size(spark):
     hinted = J.settle(small, 5)
     assert "ResolvedHint" in hinted._jdf.queryExecution().analyzed().toString()
     assert sorted(r[0] for r in hinted.collect()) == list(range(5))
-    assert J.settle(large, 5) is large
+    assert J.if_small(large, 5) is None
+    assert sorted(r[0] for r in J.settle(large, 5).collect()) == list(range(6))
 
 
 def test_release_and_support(spark):
