@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from fleetmart.functions.columns import cutoff, differs, moment
 from fleetmart.operators.ids import highest, with_dense_ids, with_new_ids
-from fleetmart.operators.joins import settle
+from fleetmart.operators.joins import KEY_ROWS, settle
 
 PURGED, UPDATED, INSERTED, UNCHANGED = "purged", "updated", "inserted", "unchanged"
 
@@ -66,15 +66,17 @@ def plan_upsert(
     offered = latest_per_key(narrow, key, order).select(
         F.col(key).alias("_key"), *[F.col(c).alias(f"_new_{c}") for c in values]
     )
-    held = purge(old, ts_col, as_of, days).where(F.col(key).isNotNull()).select(key, *compare)
+    held = purge(old, ts_col, as_of, days).where(F.col(key).isNotNull())
+    held = held.select(key, *compare).distinct()
+    is_new = held[key].isNull()
     changed = reduce(
         lambda a, b: a | b, [differs(F.col(c), F.col(f"_new_{c}"), null_safe) for c in compare]
     )
-    changes = held.join(offered, held[key] == offered["_key"]).where(changed)
-    updates = settle(changes.select("_key", *[f"_new_{c}" for c in update]).distinct())
-    held_keys = held.select(F.col(key).alias("_held")).distinct()
-    keys = inside.select(key).distinct()
-    new_keys = keys.join(held_keys, keys[key] == held_keys["_held"], "left_anti")
+    work = offered.join(held, offered["_key"] == held[key], "left").where(is_new | changed)
+    delta = work.select("_key", is_new.alias("_new"), *[f"_new_{c}" for c in update]).distinct()
+    delta = settle(delta, KEY_ROWS)
+    updates = delta.where("not _new").drop("_new")
+    new_keys = delta.where("_new").select(F.col("_key").alias(key))
 
     outdated = F.coalesce(F.col(ts_col) < limit, F.lit(False))
     joined = old.join(updates, old[key] == updates["_key"], "left")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fleetmart.operators.joins import if_small
+from fleetmart.operators.joins import KEY_ROWS, if_small
 
 BUCKET_DIGITS = 4  # hexadecimal digits: 65,536 buckets at most
 
@@ -48,7 +48,7 @@ def with_new_ids(
     Few new keys are broadcast, so that rows already known move nowhere; many are joined after
     the reduction, which has the rows in place by key.
     """
-    small = if_small(new_ids)
+    small = if_small(new_ids, KEY_ROWS)
     if small is not None:
         return reduce(source.join(small, key))
     return reduce(source).join(new_ids, key)

@@ -13,6 +13,7 @@ from fleetmart.functions.columns import ci_key
 
 
 SMALL_ROWS = 50_000
+KEY_ROWS = 500_000  # for rows of a key and a mark or two
 SMALL_BYTES = 16 * 2**20
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetmart.functions.columns import ci_key, day, guid_key, not_blank, truncate
-from fleetmart.operators.joins import if_small, settle
+from fleetmart.operators.joins import KEY_ROWS, if_small, settle
 from fleetmart.schemas import PROTECTED
 
 XML_SCHEMA = "Property array<struct<_Guid:string,_VALUE:string>>"
@@ -140,7 +140,7 @@ def refresh_properties(
     """
     columns = list(columns) if columns is not None else writable_columns(target)
     rows = current_only(history)
-    ids = if_small(target.select("ManagedEntityRowId").distinct())
+    ids = if_small(target.select("ManagedEntityRowId").distinct(), KEY_ROWS)
     if ids is not None:
         rows = rows.join(ids, "ManagedEntityRowId", "left_semi")
     properties = named(shred(rows), dictionary, columns)
