@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fleetmart.operators import evolve
 from fleetmart.operators.events import ALERT_DAYS, MAINTENANCE_DAYS, import_metrics
-from fleetmart.operators.joins import active_types, known_entities
+from fleetmart.operators.joins import active_types, known_entities, settle
 from fleetmart.operators.properties import current_only, named, shred, writable_columns, write_back
 from fleetmart.plans import inventory as I
 from fleetmart.schemas import DERIVED, PROTECTED, struct_of
@@ -29,6 +29,11 @@ class TypeTables:
     databases: DataFrame
     excluded: DataFrame
 
+    def settled(self) -> TypeTables:
+        """The same tables, computed once for the several steps that read them."""
+        tables = (self.servers, self.computers, self.databases, self.excluded)
+        return TypeTables(*[settle(df.distinct()) for df in tables])
+
     def active(self) -> dict[str, DataFrame]:
         return {
             "SQLServer": active_types(self.servers, "Aktiv"),
@@ -94,19 +99,21 @@ def refresh(
         filled = write_back(df, values, as_of, columns=columns[table])
         return stage(table, filled, "properties")
 
+    types = types.settled()
+    dictionary = settle(warehouse.dictionary.distinct())
     state = store.read_all([*INVENTORIES, "AlertHistory", "MaintenanceHistory"])
     targets = {t: state[t] for t in INVENTORIES}
-    missing = new_columns(warehouse.dictionary, types, targets)
+    missing = new_columns(dictionary, types, targets)
     names = evolve.column_names(missing.values())
     for table in INVENTORIES:
         outcome = evolve.extend_schema(targets[table], names.get(table, []))
         targets[table] = outcome.df
         report.added[table], report.failed[table] = outcome.added, outcome.failed
-    columns = fillable(warehouse.dictionary, targets)
+    columns = fillable(dictionary, targets)
 
     # Every XML text is taken apart once, where it is read; all inventories share the values.
     wanted = sorted({c for names in columns.values() for c in names})
-    items = named(shred(current_only(warehouse.properties)), warehouse.dictionary, wanted)
+    items = named(shred(current_only(warehouse.properties)), dictionary, wanted)
     values = spark.read.schema(items.schema).parquet(
         store.stage("PropertyValues", items, attempt)
     )

@@ -32,3 +32,14 @@ def rows():
         return sorted((tuple(r) for r in picked.collect()), key=str)
 
     return collect
+
+
+@pytest.fixture(params=["small", "large"])
+def side(request, monkeypatch):
+    """Runs a test with lookup sides broadcast, and with all of them taken for large."""
+    if request.param == "large":
+        from fleetmart.operators import ids, joins, properties
+
+        for module in (ids, joins, properties):
+            monkeypatch.setattr(module, "if_small", lambda df, limit=0: None)
+    return request.param

@@ -47,7 +47,7 @@ def plan(spark, **options):
     return E.plan_upsert(history(spark), details(spark), **{**rules, **options})
 
 
-def test_actions(spark):
+def test_actions(spark, side):
     done = {(r.k, r.ID): (r._action, r.n, r.note, r.Imported) for r in plan(spark).collect()}
     fresh = {k: v for k, v in done.items() if v[0] == E.INSERTED}
     assert {k[0]: v[1:] for k, v in fresh.items()} == {
@@ -90,7 +90,7 @@ def test_purge_and_recent(spark):
     assert "nodate" not in {r.k for r in E.recent(details(spark), "t", NOW, 90).collect()}
 
 
-def test_hot_key(spark):
+def test_hot_key(spark, side):
     """A third of the incoming rows repeat one key."""
     incoming = spark.range(9000).selectExpr(
         "case when id < 3000 then 'hot' else cast(id as string) end as k",
@@ -102,4 +102,4 @@ def test_hot_key(spark):
     )
     done = E.upsert_events(history(spark), incoming, **rules)
     assert done.where("k = 'hot'").first().n == 2999
-    assert done.agg(F.count("*"), F.countDistinct("ID")).first() == (6006 - 0, 6006)
+    assert done.agg(F.count("*"), F.countDistinct("ID")).first() == (6006, 6006)

@@ -16,7 +16,7 @@ def domain_lookup(spark, values, **options):
     return {r.Domain: (r.long, r.short) for r in found.collect()}
 
 
-def test_containment(spark):
+def test_containment(spark, side):
     found = domain_lookup(
         spark, ["OAK.test ", "elm.test", "test", "fir", "spare", "", None, "other", "o_k", "%"]
     )
@@ -73,7 +73,7 @@ def test_settle_checks_the_size(spark):
     assert sorted(r[0] for r in J.settle(large, 5).collect()) == list(range(6))
 
 
-def test_release_and_support(spark):
+def test_release_and_support(spark, side):
     known = fixtures.lookups(spark)
     df = spark.createDataFrame([("21.0",), ("21.5.9",), ("22.",), ("2",), (None,)], "Version string")
     found = L.with_support(df, "Version", known.versions, known.support)
@@ -97,7 +97,7 @@ def names(spark, values):
     return spark.createDataFrame([(v,) for v in values], "Name string")
 
 
-def test_exclude_names_follows_not_in(spark):
+def test_exclude_names_follows_not_in(spark, side):
     df = names(spark, ["Keep", "MASTER ", None])
     left = {r[0] for r in J.exclude_names(df, "Name", names(spark, ["master"])).collect()}
     assert left == {"Keep"}

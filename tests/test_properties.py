@@ -112,7 +112,7 @@ def test_modified_keeps_its_type(spark):
     assert P.write_back(target, items, NOW).first().Modified == date(2030, 3, 4)
 
 
-def test_hot_entity(spark):
+def test_hot_entity(spark, side):
     """One entity holds most current versions; the newest wins."""
     versions = spark.range(6000).selectExpr(
         "case when id < 4000 then 1 else id end as ManagedEntityRowId",

@@ -58,20 +58,20 @@ def test_state_table(spark, target, source):
     assert sorted(r.ID for r in fresh) == list(range(first, first + len(fresh)))
 
 
-def test_second_run_changes_nothing(spark, rows):
+def test_second_run_changes_nothing(spark, rows, side):
     target = target_of(spark, [(1, None), (2, OLD), (3, None), (4, OLD)])
     source = source_of(spark, [1, 2, 5, 5, 6])
     once = run(target, source)
     assert rows(run(once, source)) == rows(once)
 
 
-def test_null_and_repeated_target_keys(spark):
+def test_null_and_repeated_target_keys(spark, side):
     target = target_of(spark, [(None, None), (7, None), (7, None)])
     synced = {(r.ID, r.k, r.NotFoundSince) for r in run(target, source_of(spark, [7])).collect()}
     assert synced == {(1, None, NOW), (2, 7, None), (3, 7, None)}
 
 
-def test_hot_key(spark):
+def test_hot_key(spark, side):
     """A third of the rows on both sides share a key."""
     target = spark.range(3000).selectExpr(
         "id + 1 as ID", "case when id < 1000 then -1 else id end as k", "'t' as name",
@@ -129,7 +129,7 @@ def test_update_from_overwrites_with_null(spark, rows):
     assert rows(updated) == [(1, 1, "x"), (2, 2, None), (3, None, "c")]
 
 
-def test_matching_on_the_host(spark, rows):
+def test_matching_on_the_host(spark, rows, side):
     """An entity whose host has another id is listed again and its old row marked missing."""
     target = spark.createDataFrame(
         [(1, 11, None), (2, 12, None)], "ID long, ManagedEntityRowId long, NotFoundSince timestamp_ntz"
