@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmart.llm import chat, packing, secrets
+from fleetmart.llm import chat, language, neighbours, packing, secrets, topk, toxicity
 from fleetmart.llm.base import query, shared_folder, table
 
 
@@ -65,6 +65,53 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op2_nearest_neighbours")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    vectors = vectors.where(F.col("vec_id").isNotNull() & neighbours.searchable(F.col("vector")))
+    return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
+
+
+OP5_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.e, v.e) AS BIGINT) AS score
+  FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+) WHERE rank <= 5
+"""
+
+
+@query("op5_top_products", OP5_SQL)
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    given = table(spark, folder, "embeddings")
+    given = given.where(F.col("vec_id").isNotNull() & topk.usable(F.col("embedding")))
+    vectors = given.select("vec_id", topk.integer_vector(F.col("embedding")).alias("vector"))
+    return topk.top_products(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
+@query("op7_language")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return language.predict(docs, language.fit(docs.where(~language.held_out())))
+
+
+@query("op8_toxicity")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    chain = toxicity.fit(docs, table(spark, folder, "labels"))
+    p = toxicity.scored(docs, chain)
+    return p.select(
+        "row.doc_id", F.col("p.quality").alias("quality_score"), F.col("p.toxic").alias("toxic_score"),
+        (F.col("p.toxic") >= toxicity.THRESHOLD).alias("toxic"),
+    )
+
+
 @query("op10_packing")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
