@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import io
 import uuid
+import zipfile
 from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,11 +16,45 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the workers this library, once per application, so that they need no path to it of their own."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    top = Path(__file__).resolve().parent.parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for source in sorted(top.rglob("*.py")):
+            archive.write(source, source.relative_to(top.parent))
+    uri = f"{shared_folder(spark, 'code')}/{top.name}.zip"
+    write_file(spark, uri, packed.getvalue())
+    context.addPyFile(uri)
+    _SHIPPED.add(context.applicationId)
+
+
+def write_file(spark: SparkSession, uri: str, data: bytes) -> None:
+    """Write a small file where all executors can read it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+
+
 def query(key: str, oracle: str | None = None):
     """Register ``f(spark, folder)`` under a key, with SQL for the same rows where there is any."""
 
     def register(build: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[key] = build
+        @wraps(build)
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            ship(spark)
+            return build(spark, folder)
+
+        QUERIES[key] = run
         if oracle is not None:
             ORACLE[key] = oracle
         return build

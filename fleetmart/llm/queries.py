@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmart.llm import chat, language, neighbours, packing, secrets, topk, toxicity
+from fleetmart.llm import chat, language, neardup, neighbours, packing, secrets, topk, toxicity
 from fleetmart.llm.base import query, shared_folder, table
 
 
@@ -112,6 +112,12 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op9_near_duplicates")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query("op10_packing")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
