@@ -6,12 +6,33 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmart.llm import packing, secrets
-from fleetmart.llm.base import shared_folder, staged, table
+from fleetmart.llm import language, neardup, packing, secrets, toxicity
+from fleetmart.llm.base import shared_folder, ship, staged, table
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts in which no language can be told, as they are NULL or hold no letter, go."""
+    ship(spark)
+    model = language.fit(docs.where(~language.held_out()))
+    return language.scored(docs, model).where(F.col("p.lang_pred") != language.UNKNOWN).select("row.*")
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts that the last classifier of the chain takes for toxic go."""
+    ship(spark)
+    chain = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, chain).where(F.col("p.toxic") < toxicity.THRESHOLD).select("row.*")
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    ship(spark)
+    return neardup.one_of_each(docs)
 
 
 def scrub_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret found in a text is replaced by its kind in brackets; ``n_chars`` follows the text."""
+    ship(spark)
     ledger = secrets.Ledger(spark, shared_folder(spark, "secret-ledger"))
     ledger.scan(docs)
     found = secrets.findings(docs, ledger, keep=docs.columns)
@@ -26,12 +47,16 @@ def scrub_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces in sequences of 1024."""
+    ship(spark)
     return packing.pack(
         docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
     )
 
 
 STAGES = [
+    ("language", known_language),
+    ("toxicity", without_toxic),
+    ("near-duplicates", without_copies),
     ("secret scan", scrub_secrets),
     ("packing", pack_sequences),
 ]

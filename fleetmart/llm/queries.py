@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmart.llm import chat, language, neardup, neighbours, packing, secrets, topk, toxicity
+from fleetmart.llm import bpe, chat, language, neardup, neighbours, packing, secrets, topk, toxicity, wrappers
 from fleetmart.llm.base import query, shared_folder, table
 
 
@@ -87,6 +87,12 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
 """
 
 
+@query("op4_main_text")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    texts = wrappers.main_texts(table(spark, folder, "pages").select("page_id", "url", "html"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query("op5_top_products", OP5_SQL)
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     given = table(spark, folder, "embeddings")
@@ -95,6 +101,18 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_products(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+@query("op6_bpe")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    out = bpe.encode_documents(docs, vocabulary, bpe.publish_lexicon(docs, vocabulary))
+    return out.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @query("op7_language")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
