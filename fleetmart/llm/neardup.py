@@ -10,17 +10,21 @@ probability under 1e-5.
 Copies with the same set are one class from the start. Classes of a bucket are linked by stars, not in pairs: some
 of them, the centres, are compared with all others, on full sets; verified links are put together to components;
 then the centres leave their buckets. Buckets in which all that is left lies in one component are done, as further
-links could tell nothing new; in the others new centres follow, eight times as many each time, first at random, so
+links could tell nothing new; in the others new centres follow, ever more, first at random, so
 that the many members of a large group meet at once, then from the components that are rare in the bucket. The
 rounds end when no bucket is open. So every two classes that share a bucket are in the end in one component or were
-compared, and no bucket's pairs are emitted as a whole. Before full sets are fetched for a comparison, one bit of
-each bin is compared: links whose bits differ by more than ``MOST_BITS`` have a probability under 1e-6.
+compared, and no bucket's pairs are emitted as a whole. Before full sets are fetched for a comparison, one bit of each of
+``BITS`` finer bins is compared: links that differ in more than ``MOST_BITS`` have a probability under 1e-6. After the
+second round the shingles that only one open class has are counted, too: they bound what two classes can have in
+common, exactly, and spare the comparisons within groups of many copies that were changed a little too much. The sets
+lie in a table bucketed by class, so a round moves the sets of its pairs, and no others.
 
 Defined results: see ``near_duplicates``.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import cache
 
@@ -40,11 +44,14 @@ BANDS = 44
 ROWS = 5
 BINS = BANDS * ROWS
 SEED = 9
-#: Differing bits, of one for each bin, beyond which two sets aren't compared. At similarity 0.75 the mean is 27.5 and
-#: the standard deviation 4.9.
-MOST_BITS = 54
+#: Finer bins of which a bit is kept, and the number of differing ones beyond which two sets aren't compared: at
+#: similarity 0.75 the mean is 128 and the standard deviation 10.6.
+BITS = 1024
+MOST_BITS = 181
 #: Bands whose stars make the first round.
 FIRST_BANDS = 8
+#: Bits of the map of wanted texts, whatever their number: the more are wanted, the more others pass it, too.
+MAP_BITS = 1 << 23
 #: Rows of one class are spread over so many keys when they meet their component.
 SALTS = 8
 #: Word hashes that a worker remembers.
@@ -86,32 +93,36 @@ def shingles(text: str | None) -> np.ndarray:
 
 
 @cache
-def _bin_starts() -> np.ndarray:
-    return np.array([(i << 64) // BINS for i in range(BINS)], np.uint64)
+def _bin_starts(bins: int) -> np.ndarray:
+    return np.array([(i << 64) // bins for i in range(bins)], np.uint64)
 
 
 @cache
-def _orders() -> np.ndarray:
+def _orders(bins: int) -> np.ndarray:
     """For each bin (row) an order of all bins; its own comes first."""
     rng = np.random.default_rng(SEED)
-    return np.array([[i, *rng.permutation([j for j in range(BINS) if j != i])] for i in range(BINS)])
+    return np.array([[i, *rng.permutation([j for j in range(bins) if j != i])] for i in range(bins)])
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
+def signature(hashes: np.ndarray, bins: int = BINS) -> np.ndarray:
     """The least hash of every bin, empty bins densified. ``hashes`` are sorted and not empty."""
-    at = np.searchsorted(hashes, _bin_starts())
-    ends = np.append(at[1:], len(hashes))
-    filled = at < ends
-    if filled.all():
-        return hashes[at]
-    source = _orders()[np.arange(BINS), filled[_orders()].argmax(axis=1)]
-    return hashes[at[source]]
+    at = np.searchsorted(hashes, _bin_starts(bins))
+    filled = at < np.append(at[1:], len(hashes))
+    empty, step = np.flatnonzero(~filled), 8
+    done = 1
+    while len(empty):  # most find a filled bin among the first few of their order
+        tried = _orders(bins)[empty, done : done + step]
+        hit = filled[tried]
+        found = hit.any(axis=1)
+        at[empty[found]] = at[tried[found, hit[found].argmax(axis=1)]]
+        empty, done, step = empty[~found], done + step, step * 4
+    return hashes[at]
 
 
 def bits(least: np.ndarray) -> np.ndarray:
-    """One bit of each bin's hash, packed into four numbers."""
-    each = _mix(least + np.arange(BINS, dtype=np.uint64) * _M1) & np.uint64(1)
-    return np.packbits(np.append(each, np.zeros(256 - BINS, np.uint64)).astype(np.uint8)).view(np.int64)
+    """One bit of each hash of a signature of ``BITS`` bins, packed into numbers."""
+    each = _mix(least + np.arange(BITS, dtype=np.uint64) * _M1) & np.uint64(1)
+    return np.packbits(each.astype(np.uint8)).view(np.int64)
 
 
 def buckets(least: np.ndarray) -> np.ndarray:
@@ -137,7 +148,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes.append(len(hashes))
             classes.append(_class_of(hashes) if len(hashes) else None)
             keys.append(buckets(least) if len(hashes) else None)
-            packed.append(bits(least) if len(hashes) else None)
+            packed.append(bits(signature(hashes, BITS)) if len(hashes) else None)
         yield pa.RecordBatch.from_arrays(
             [batch["doc_id"], batch["text_key"], pa.array(classes, pa.int64()), pa.array(sizes, pa.int64()),
              pa.array(keys, pa.list_(pa.int64())), pa.array(packed, pa.list_(pa.int64()))],
@@ -145,12 +156,20 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [shingles(t.as_py()) for t in batch["text"]]
-        yield pa.RecordBatch.from_arrays(
-            [batch["class"], pa.array([h.view(np.int64) for h in found], pa.list_(pa.int64()))], names=["class", "shingles"]
-        )
+def _full_sets(wanted):
+    """Sets of the texts whose key's bit is set in the map of wanted ones."""
+
+    def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = batch["text_key"].to_numpy(zero_copy_only=False) & (MAP_BITS - 1)
+            held = batch.filter(pa.array((wanted.value[cells >> 6] >> (cells & 63).astype(np.uint64)) & np.uint64(1) == 1))
+            found = [shingles(t.as_py()).view(np.int64) for t in held["text"]]
+            yield pa.RecordBatch.from_arrays(
+                [held["doc_id"], held["text_key"], pa.array(found, pa.list_(pa.int64()))],
+                names=["doc_id", "text_key", "shingles"],
+            )
+
+    return full_sets
 
 
 def _with_text_key(docs: DataFrame) -> DataFrame:
@@ -158,27 +177,48 @@ def _with_text_key(docs: DataFrame) -> DataFrame:
 
 
 def shared_buckets(rows: DataFrame) -> DataFrame:
-    """bucket, class, n, bits of all classes that share a bucket with another class."""
-    each = rows.where("class IS NOT NULL").select(F.explode("buckets").alias("bucket"), "class")
-    shared = each.groupBy("bucket").agg(F.min("class").alias("a"), F.max("class").alias("b"))
-    shared = shared.where(F.col("a") != F.col("b")).select(F.col("bucket").alias("shared"))
-    members = each.join(shared, F.col("bucket") == F.col("shared"), "left_semi").distinct()
-    about = rows.where("class IS NOT NULL").groupBy("class").agg(F.max("n_shingles").alias("n"), F.max("bits").alias("bits"))
-    return members.join(about, "class")
+    """bucket, class, ABOUT of all classes that share a bucket with another class.
+
+    Copies are put together before their buckets are spread out; a class that has neither a class before nor one
+    after it in a bucket is alone there.
+    """
+    about = rows.where("class IS NOT NULL").groupBy("class").agg(
+        F.first("buckets").alias("buckets"), F.first("n_shingles").alias("n"), F.first("bits").alias("bits"))
+    each = about.select(F.explode("buckets").alias("bucket"), "class")
+    beside = Window.partitionBy("bucket").orderBy("class")
+    each = each.withColumns({"before": F.lag("class").over(beside), "after": F.lead("class").over(beside)})
+    members = each.where("before IS NOT NULL OR after IS NOT NULL").select("bucket", "class")
+    return members.join(about.select("class", "n", F.col("n").alias("most"), "bits", F.lit(None).cast("array<long>").alias("among")), "class")
 
 
 def sets_of(rows: DataFrame, docs: DataFrame, members: DataFrame) -> DataFrame:
-    """class, shingles: the full set of every class in ``members``, made from one of its documents."""
+    """class, shingles: the full set of every class in ``members``, made from one of its documents.
+
+    Texts stay where they are: a map of fixed size tells each task which of its texts may be wanted, and only the sets
+    of those meet the list of wanted documents.
+    """
     wanted = members.select("class").distinct()
     one = rows.where("class IS NOT NULL").groupBy("class").agg(F.min(F.struct("doc_id", "text_key")).alias("one"))
-    one = one.join(wanted, "class", "left_semi").select("class", "one.*")
-    texts = _with_text_key(docs).alias("d").join(
-        one.alias("o"), F.expr("d.doc_id <=> o.doc_id AND d.text_key = o.text_key")).select("o.class", "d.text")
-    return texts.mapInArrow(_full_sets, "class long, shingles array<long>")
+    one = staged(one.join(wanted, "class", "left_semi").select("class", "one.*"), "wanted")
+    cell = F.col("text_key").bitwiseAND(F.lit(MAP_BITS - 1))
+    words = one.groupBy(F.shiftright(cell, 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(text_key & 63 as int))")).alias("bits")).toPandas()
+    table = np.zeros(MAP_BITS // 64, np.uint64)
+    table[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+    found = _with_text_key(docs).mapInArrow(_full_sets(shared), "doc_id long, text_key long, shingles array<long>")
+    found, one = found.alias("f"), one.alias("o")
+    found = found.join(one, F.expr("f.doc_id <=> o.doc_id AND f.text_key = o.text_key"))
+    return found.groupBy("class").agg(F.first("shingles").alias("shingles"))
+
+
+#: What is known of a class: the size of its set, how much of it others may have, its bits, and from the third round
+#: on its open buckets.
+ABOUT = ["n", "most", "bits", "among"]
 
 
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """bucket, class, n, bits, component of the buckets that hold more than one component."""
+    """bucket, class, ABOUT, component of the buckets that hold more than one component."""
     labelled = members.join(labels, "class")
     many = labelled.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"))
     many = many.where(F.col("a") != F.col("b")).select("bucket")
@@ -193,20 +233,41 @@ def _centres(held: DataFrame, count: int, at_random: bool) -> DataFrame:
         held = held.join(sizes, ["bucket", "component"])
         order = [F.col("size"), *order]
     ranked = held.withColumn("place", F.row_number().over(Window.partitionBy("bucket").orderBy(*order, "class")))
-    return ranked.where(F.col("place") <= count).select("bucket", "class", "n", "bits", "component")
+    return ranked.where(F.col("place") <= count).select("bucket", "class", *ABOUT, "component")
 
 
-def _links(centres: DataFrame, held: DataFrame, sets: DataFrame) -> DataFrame:
-    """u, v: components whose classes are similar enough, of a centre and another member of its bucket."""
+def _pairs(centres: DataFrame, held: DataFrame) -> DataFrame:
+    """a, b, u, v: classes to compare, a centre and another member of its bucket, and their components. ``held`` is
+    marked with the centres."""
     c, m = centres.alias("c"), held.alias("m")
-    pairs = c.join(m, F.expr("c.bucket = m.bucket AND c.component <> m.component"))
-    fits = F.expr(f"100 * least(c.n, m.n) >= {LEAST} * greatest(c.n, m.n)")
-    off = sum(F.bit_count(F.col("c.bits")[i].bitwiseXOR(F.col("m.bits")[i])) for i in range(4))
-    pairs = pairs.where(fits & (off <= MOST_BITS)).select(
+    off = sum(F.bit_count(F.col("c.bits")[i].bitwiseXOR(F.col("m.bits")[i])) for i in range(BITS // 64))
+    common = "least(c.most, m.most)"
+    fits = F.expr(f"100 * {common} >= {LEAST} * (c.n + m.n - {common})") & (off <= MOST_BITS)
+    pairs = c.join(m, F.expr("c.bucket = m.bucket AND c.component <> m.component")).where(fits)
+    pairs = pairs.where("NOT m.centre OR c.class < m.class")  # two centres meet once
+    # A pair that meets in several buckets is compared in the first of them.
+    pairs = pairs.where(F.expr("c.among IS NULL OR c.bucket = array_min(array_intersect(c.among, m.among))"))
+    order = F.expr("c.class < m.class")
+    return pairs.select(
         F.least("c.class", "m.class").alias("a"), F.greatest("c.class", "m.class").alias("b"),
-        F.when(F.col("c.class") < F.col("m.class"), F.col("c.component")).otherwise(F.col("m.component")).alias("u"),
-        F.when(F.col("c.class") < F.col("m.class"), F.col("m.component")).otherwise(F.col("c.component")).alias("v"),
+        F.when(order, F.col("c.component")).otherwise(F.col("m.component")).alias("u"),
+        F.when(order, F.col("m.component")).otherwise(F.col("c.component")).alias("v"),
     ).distinct()
+
+
+def _with_most(held: DataFrame, sets: DataFrame) -> DataFrame:
+    """``held`` with ``most``, how many of a class's shingles stand in another class of ``held``, too, and ``among``,
+    the buckets of a class (one for each band at most)."""
+    each = sets.join(held.select("class").distinct(), "class", "left_semi").select("class", F.explode("shingles").alias("s"))
+    own = each.groupBy("s").agg(F.count("*").alias("times"), F.first("class").alias("class")).where("times = 1")
+    own = own.groupBy("class").agg(F.count("*").alias("own"))
+    lying = held.groupBy("class").agg(F.collect_list("bucket").alias("among"))
+    found = held.drop("among").join(lying, "class").join(own, "class", "left")
+    return found.withColumn("most", F.col("n") - F.coalesce("own", F.lit(0))).drop("own")
+
+
+def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """u, v: components of the pairs whose sets are similar enough."""
     of = lambda name: sets.select(F.col("class").alias(name), F.col("shingles").alias(f"{name}_set"))
     both = pairs.join(of("a"), "a").join(of("b"), "b")
     common = F.size(F.array_intersect("a_set", "b_set"))
@@ -215,23 +276,30 @@ def _links(centres: DataFrame, held: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def class_components(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """class, component for the classes in ``members`` (bucket, class, n, bits), by rounds of stars."""
+    """class, component for the classes in ``members`` (bucket, class, ABOUT), by rounds of stars."""
     labels = staged(members.select("class", F.col("class").alias("component")).distinct(), "labels")
-    turn = 0
+    turn, compared = 0, None
     while True:
         held = staged(_open(members, labels), "open-buckets")
         if turn and held.isEmpty():
             return labels
-        # A first round over few bands, one over all, and then 1, 8, 64... centres.
+        if turn == 2:
+            held = staged(_with_most(held, sets), "open-buckets")
+        # A first round over few bands, one over all, and then 8, 512... centres.
         now = held.where((F.col("bucket").bitwiseAND(63)) < FIRST_BANDS) if turn == 0 else held
-        centres = staged(_centres(now, 8 ** max(0, turn - 2), turn < 2), "centres")
-        found = components(_links(centres, now, sets))
-        found = found.select(F.col("node").alias("component"), F.col("component").alias("joined"))
-        labels = staged(
-            labels.join(found, "component", "left").select("class", F.coalesce("joined", "component").alias("component")),
-            "labels",
-        )
-        members = held.select("bucket", "class", "n", "bits").join(centres.select("bucket", "class"), ["bucket", "class"], "left_anti")
+        centres = staged(_centres(now, 1 if turn < 2 else 8 * 64 ** (turn - 2), turn < 2), "centres")
+        chosen = centres.select("bucket", "class", F.lit(True).alias("centre"))
+        marked = held.join(chosen, ["bucket", "class"], "left").withColumn("centre", F.coalesce("centre", F.lit(False)))
+        pairs = _pairs(centres, marked)
+        pairs = staged(pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
+        compared = pairs.select("a", "b") if compared is None else compared.union(pairs.select("a", "b"))
+        links = staged(_links(pairs, sets), "links")
+        if not links.isEmpty():
+            found = components(links)
+            found = found.select(F.col("node").alias("component"), F.col("component").alias("joined"))
+            joined = labels.join(found, "component", "left")
+            labels = staged(joined.select("class", F.coalesce("joined", "component").alias("component")), "labels")
+        members = marked.where("NOT centre").select("bucket", "class", *ABOUT)
         turn += 1
 
 
@@ -248,8 +316,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     schema = "doc_id long, text_key long, class long, n_shingles long, buckets array<long>, bits array<long>"
     rows = staged(keyed.mapInArrow(_sketch, schema), "sketches")
     members = staged(shared_buckets(rows), "buckets")
-    sets = staged(sets_of(rows, docs, members), "shingle-sets")
-    labels = class_components(members, sets)
+    spark, name = docs.sparkSession, f"fleetmart_sets_{uuid.uuid4().hex}"
+    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sets = sets_of(rows, docs, members).repartition(slices, "class")
+    sets.write.bucketBy(slices, "class").sortBy("class").format("parquet").saveAsTable(name)
+    labels = class_components(members, spark.table(name))
+    spark.sql(f"DROP TABLE {name}")
 
     classes = rows.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
     known = classes.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))

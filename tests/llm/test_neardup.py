@@ -1,47 +1,14 @@
 import random
-import re
 
 import numpy as np
 import pytest
 
 from fleetmart.llm import QUERIES, neardup
 from fleetmart.llm.components import components
-
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-
-
-def plain_set(text):
-    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-    if len(words) < 5:
-        return {tuple(words)} if words else set()
-    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
-
+from tests_llm_brute import groups
 
 def brute(rows):
-    """(doc_id, n_shingles, component_id, kept) by comparing all pairs of different sets."""
-    sets = [frozenset(plain_set(t)) for _, t in rows]
-    parent = {s: s for s in sets if s}
-
-    def root(s):
-        while parent[s] != s:
-            s = parent[s]
-        return s
-
-    different = list(parent)
-    for i, a in enumerate(different):
-        for b in different[:i]:
-            common = len(a & b)
-            if 100 * common >= 75 * (len(a) + len(b) - common):
-                parent[root(a)] = root(b)
-    least = {}
-    for (doc, _), s in zip(rows, sets):
-        if s and doc is not None:
-            least[root(s)] = min(doc, least.get(root(s), doc))
-    out = []
-    for (doc, _), s in zip(rows, sets):
-        component = least.get(root(s)) if s else doc
-        out.append((doc, len(s), component, doc == component))
-    return sorted(out, key=str)
+    return sorted(groups(rows), key=str)
 
 
 def run(spark, rows):
@@ -119,7 +86,8 @@ def test_buckets_meet_at_the_threshold():
         a, b = (np.unique(np.append(both, rng.integers(0, 2**64, size=20, dtype=np.uint64))) for _ in range(2))
         x, y = neardup.signature(a), neardup.signature(b)
         missed += not (neardup.buckets(x) == neardup.buckets(y)).any()
-        far += sum(int(v).bit_count() for v in (neardup.bits(x) ^ neardup.bits(y)).view(np.uint64)) > neardup.MOST_BITS
+        x, y = (neardup.bits(neardup.signature(s, neardup.BITS)) for s in (a, b))
+        far += sum(int(v).bit_count() for v in (x ^ y).view(np.uint64)) > neardup.MOST_BITS
     assert missed == 0 and far == 0
 
 
