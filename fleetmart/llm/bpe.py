@@ -24,10 +24,11 @@ import mmap
 import re
 import sys
 import unicodedata
+import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import cache
-from hashlib import sha256
+from itertools import chain
 
 import pyarrow as pa
 import regex
@@ -35,22 +36,43 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetmart.llm.base import shared_folder, write_file
+from fleetmart.llm.base import shared_folder, staged, write_file
 
 #: Frequent words in the transducer, at most.
 LEXICON = 50_000
 #: Words longer than this (in bytes) are merged, not looked up.
 LONGEST = 64
 #: Words whose ids a worker remembers, and those it counts before it hands counts on.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 COUNTED = 300_000
 #: Documents in one batch of results.
 BATCH = 500
 WORD_END = "</w>"
+_NO_RANK = 1 << 40
 # Fixed value: how the vocabulary's words are cut out of a normalised text.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
 
+#: Every code point below these is known.
+_LATER = re.compile("[^\\x00-\\u0377]")
+
+
+def _is_latin(text: str) -> bool:
+    """Whether all code points are among the first 256, for which there is a faster pattern."""
+    try:
+        return text.isascii() or bool(text.encode("latin-1"))
+    except UnicodeEncodeError:
+        return False
+
+
+@cache
+def _latin_words() -> re.Pattern:
+    """``WORDS`` for texts of the first 256 code points, with its classes written out."""
+    of = lambda kind: "".join(f"\\x{c:02x}" for c in range(256) if regex.match(kind, chr(c)))
+    letters, digits, blanks = of(r"\p{L}"), of(r"\p{N}"), of(r"\s")
+    return re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{digits}]|[^{blanks}{letters}{digits}]+")
+
+
 @cache
 def _unknown_points() -> re.Pattern:
     """Code points that this Python's tables don't know."""
@@ -83,7 +105,11 @@ class Vocabulary:
         with open(path, encoding="utf-8") as f:
             model = json.load(f)["model"]
         self.ids: dict[str, int] = model["vocab"]
-        self.ranks = {tuple(m.split(" ") if isinstance(m, str) else m): i for i, m in enumerate(model["merges"])}
+        pairs = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+        self.ranks = {(self.ids[a], self.ids[b]): i for i, (a, b) in enumerate(pairs)}
+        self.merged = [self.ids[a + b] for a, b in pairs]
+        self.byte_ids = [self.ids[s] for s in _byte_signs()]
+        self.last_ids = [self.ids[s + WORD_END] for s in _byte_signs()]
         special = self.library.get_added_tokens_decoder()
         self.special = {t.content: i for i, t in special.items()}
         self.marks = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")" if special else "(?!)")
@@ -94,11 +120,14 @@ class Vocabulary:
 
     def words(self, text: str) -> list[str]:
         """Words of a text without special tokens."""
-        if not text.isascii() and _unknown_points().search(text):
+        latin = _is_latin(text)
+        if not latin and _LATER.search(text) and _unknown_points().search(text):
             signs = {s: b for b, s in enumerate(_byte_signs())}
             cut = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
             return [bytes(signs[s] for s in word).decode("utf-8") for word, _ in cut]
         text = unicodedata.normalize("NFC", text)
+        if latin:  # and so still after composition
+            return _latin_words().findall(text.lower())
         return WORDS.findall(text.replace("Σ", "σ").lower())  # the library knows no final sigma
 
     def parts(self, text: str) -> Iterator[tuple[bool, list[str]]]:
@@ -109,12 +138,31 @@ class Vocabulary:
 
     def merge(self, word: str) -> tuple[int, ...]:
         """Ids of a word: the pair of least rank is merged, the first such pair first, until no pair has a rank."""
-        signs = _byte_signs()
-        parts: list[str | None] = [signs[b] for b in word.encode("utf-8")]
-        parts[-1] += WORD_END
+        data = word.encode("utf-8")
+        ids = [self.byte_ids[b] for b in data[:-1]]
+        ids.append(self.last_ids[data[-1]])
+        if len(data) > LONGEST:
+            return self._merge_long(ids)
+        ranks = [self.ranks.get(pair, _NO_RANK) for pair in zip(ids, ids[1:])]
+        while ranks:
+            least = min(ranks)
+            if least == _NO_RANK:
+                break
+            i = ranks.index(least)
+            ids[i : i + 2] = [self.merged[least]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = self.ranks.get((ids[i - 1], ids[i]), _NO_RANK)
+            if i < len(ranks):
+                ranks[i] = self.ranks.get((ids[i], ids[i + 1]), _NO_RANK)
+        return tuple(ids)
+
+    def _merge_long(self, ids: list[int]) -> tuple[int, ...]:
+        """The same with a queue of pairs, whose time doesn't grow with the square of the length."""
+        parts: list[int | None] = list(ids)
         after = [*range(1, len(parts)), -1]
         before = [*range(-1, len(parts) - 1)]
-        queue = []
+        queue: list[tuple] = []
 
         def offer(i: int) -> None:
             j = after[i]
@@ -125,18 +173,18 @@ class Vocabulary:
         for i in range(len(parts) - 1):
             offer(i)
         while queue:
-            _, i, left, right = heapq.heappop(queue)
+            rank, i, left, right = heapq.heappop(queue)
             j = after[i]
             if parts[i] != left or j < 0 or parts[j] != right:
                 continue  # one of the two has been merged meanwhile
-            parts[i], parts[j] = left + right, None
+            parts[i], parts[j] = self.merged[rank], None
             after[i] = after[j]
             if after[i] >= 0:
                 before[after[i]] = i
             if before[i] >= 0:
                 offer(before[i])
             offer(i)
-        return tuple(self.ids[p] for p in parts if p is not None)
+        return tuple(p for p in parts if p is not None)
 
     def decode(self, ids: Iterable[int]) -> str:
         """Tokens joined by blanks, as the library does for a vocabulary without a decoder."""
@@ -256,12 +304,14 @@ class Lexicon:
     def get(self, word: bytes) -> tuple[int, ...] | None:
         """Ids of a word, or None if it isn't here."""
         state, out = self.root, []
-        first, labels, base = self.first_arc, self.labels, self.labels_at
-        for label in word:
-            arc = labels.find(label.to_bytes(), base + first[state], base + first[state + 1]) - base
+        first, find, base, output = self.first_arc, self.labels.find, self.labels_at, self.output_start
+        for i in range(len(word)):
+            arc = find(word[i : i + 1], base + first[state], base + first[state + 1]) - base
             if arc < 0:
                 return None
-            out += self.pool[self.output_start[arc] : self.output_start[arc + 1]]
+            start, end = output[arc], output[arc + 1]
+            if start != end:
+                out += self.pool[start:end]
             state = self.targets[arc]
         if not self.final[state]:
             return None
@@ -292,8 +342,7 @@ def encode_text(memory: _Memory, text: str) -> list[int]:
         if special:
             out.append(memory.vocabulary.special[words[0]])
         else:
-            for word in words:
-                out += memory[word]
+            out.extend(chain.from_iterable(map(memory.__getitem__, words)))
     return out
 
 
@@ -332,17 +381,29 @@ def _count(path: str):
 
 
 def frequent_words(docs: DataFrame, vocabulary: str, most: int = LEXICON) -> list[str]:
-    """The words that occur most in all texts of ``docs``; ties by the alphabet."""
+    """The words that occur most in all texts of ``docs``, ``most`` of them at the utmost, and none that occurs once.
+
+    Words go in or stay out by levels of their count, a few thousand in all: so the driver gets the number of words
+    of each level, and then no more words than asked for, whatever the size of the corpus.
+    """
     counts = docs.select("text").mapInArrow(_count(vocabulary), "word string, n long")
     counts = counts.where(F.octet_length("word") <= LONGEST).groupBy("word").agg(F.sum("n").alias("n"))
-    return [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(most).collect()]
+    level = F.floor(F.log2("n") * 64).alias("level")
+    counts = staged(counts.where("n > 1").select("word", level), "word-counts")
+    lowest, room = None, most
+    for row in counts.groupBy("level").count().orderBy(F.desc("level")).collect():
+        room -= row["count"]
+        if room < 0:
+            break
+        lowest = row["level"]
+    return [] if lowest is None else [r["word"] for r in counts.where(F.col("level") >= lowest).collect()]
 
 
 def publish_lexicon(docs: DataFrame, vocabulary: str, most: int = LEXICON) -> str:
     """Compile the frequent words of ``docs`` and give the file to all executors; returns its name."""
     spark, words = docs.sparkSession, _vocabulary(vocabulary)
     data = compile_lexicon({w.encode("utf-8"): words.merge(w) for w in frequent_words(docs, vocabulary, most)})
-    name = f"lexicon-{sha256(data).hexdigest()[:24]}.bin"
+    name = f"lexicon-{uuid.uuid4().hex}.bin"
     uri = f"{shared_folder(spark, 'lexicon')}/{name}"
     write_file(spark, uri, data)
     spark.sparkContext.addFile(uri)

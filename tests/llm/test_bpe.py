@@ -70,7 +70,8 @@ def test_lexicon_is_minimal():
 def test_documents(spark, given):
     rows = [(1, None), (2, ""), (3, "The the THE and 42 <|endoftext|>"), (3, "twice"), (3, "twice"), (None, "é " * 40000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"ids": F.lit("x"), "word": F.lit(1)})
-    assert bpe.frequent_words(docs, PATH, 3) == ["é", "the", "twice"]
+    assert sorted(bpe.frequent_words(docs, PATH, 3)) == ["the", "twice", "é"]
+    assert sorted(bpe.frequent_words(docs, PATH, 2)) == ["the", "é"]
     name = bpe.publish_lexicon(docs, PATH, 5)
     out = sorted(((r.doc_id or 0, list(r.ids), r.decoded) for r in bpe.encode_documents(docs, PATH, name).collect()))
     expected = [(i or 0, LIBRARY.encode(t or "", add_special_tokens=False).ids) for i, t in rows]
