@@ -91,16 +91,15 @@ def solve(row: np.ndarray, col: np.ndarray, scale: np.ndarray, dense: np.ndarray
     return weights[:width] * scale, weights[width:-1], weights[-1]
 
 
-def fit_chain(texts: list[set[str]], labels: np.ndarray, folds: np.ndarray, tells: list[dict[str, float]]) -> list[Linear]:
+def fit_chain(texts: list[np.ndarray], names: list[str], labels: np.ndarray, folds: np.ndarray,
+              tells: list[dict[str, float]]) -> list[Linear]:
     """One model for each column of ``labels`` (NaN: not known), in their order.
 
-    ``tells`` has, for each column, how much each feature that may be used tells about it.
+    ``texts`` has the places of each text's features in ``names``, ``tells``, for each column, how much each feature
+    that may be used tells about it.
     """
-    names = sorted(set().union(*tells)) if tells else []
-    place = {name: i for i, name in enumerate(names)}
-    texts = [t & place.keys() for t in texts]
     row = np.repeat(np.arange(len(texts)), [len(t) for t in texts]).astype(np.int64)
-    col = np.array([place[f] for t in texts for f in sorted(t)], np.int64)
+    col = np.concatenate([np.empty(0, np.int64), *texts]).astype(np.int64)
     earlier = np.zeros((len(texts), 0))
     chain = []
     for y, weight in zip(labels.T, tells):
@@ -132,15 +131,18 @@ def fit_chain(texts: list[set[str]], labels: np.ndarray, folds: np.ndarray, tell
     return chain
 
 
-def _kept_features(kept):
-    def keep(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _places(names):
+    """The features of a text that are among ``names``, as sorted places there."""
+
+    def places(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = {name: i for i, name in enumerate(names.value)}
         for part in parts:
-            found = [sorted(kept.value.intersection(f)) for f in part["features"].to_pylist()]
+            found = [sorted(place[f] for f in text.as_py() if f in place) for text in part["features"]]
             columns = [part[c] for c in part.schema.names if c != "features"]
-            names = [c for c in part.schema.names if c != "features"]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.list_(pa.string()))], names=[*names, "features"])
+            kept = [c for c in part.schema.names if c != "features"]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.list_(pa.int32()))], names=[*kept, "places"])
 
-    return keep
+    return places
 
 
 def _text_features(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,13 +194,15 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGO
         told = counts.select("feature", (F.abs(F.log(share(1)) - F.log(share(0))) * F.sqrt("n")).alias("tells"))
         best = told.orderBy(F.desc("tells"), "feature").limit(FEATURES).collect()
         tells.append({r["feature"]: r["tells"] for r in best})
-    kept = docs.sparkSession.sparkContext.broadcast(set().union(*tells))
-    rows = held.select("fold", *categories, "features").mapInArrow(_kept_features(kept), held.schema).collect()
-    rows.sort(key=lambda r: (r["fold"], r["features"], str(r)))
+    names = sorted(set().union(*tells))
+    shared = docs.sparkSession.sparkContext.broadcast(names)
+    few = held.select("fold", *categories, "features").mapInArrow(_places(shared), f"fold int, {kinds}, places array<int>")
+    few = few.orderBy("fold", "places", *categories).toArrow()
     return fit_chain(
-        [set(r["features"]) for r in rows],
-        np.array([[np.nan if r[c] is None else r[c] for c in categories] for r in rows], float).reshape(len(rows), len(categories)),
-        np.array([r["fold"] for r in rows], int),
+        [np.array(p.as_py(), np.int64) for p in few["places"]],
+        names,
+        np.column_stack([few[c].to_numpy() for c in categories]).astype(float),
+        few["fold"].to_numpy(),
         tells,
     )
 

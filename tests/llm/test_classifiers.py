@@ -68,17 +68,17 @@ def test_language_query(spark, given):
 def test_chain_feeds_later_models():
     rng = np.random.default_rng(0)
     first = rng.integers(0, 2, 400).astype(float)
-    texts = [{"a" if f else "b", f"w{rng.integers(50)}"} for f in first]
+    texts = [np.array([0 if f else 1]) for f in first]
     labels = np.column_stack([first, first])
-    chain = toxicity.fit_chain(texts, labels, rng.integers(0, 3, 400), [dict.fromkeys("ab", 1.0)] * 2)
+    chain = toxicity.fit_chain(texts, ["a", "b"], labels, rng.integers(0, 3, 400), [dict.fromkeys("ab", 1.0)] * 2)
     assert len(chain) == 2 and chain[0].chain == () and len(chain[1].chain) == 1 and chain[1].chain[0] > 0
     low, high = (toxicity.probabilities(chain, t) for t in ("b", "a"))
     assert high[0] > 0.9 > 0.1 > low[0] and high[1] > 0.9 > 0.1 > low[1]
 
 
 def test_chain_without_labels():
-    assert toxicity.probabilities(toxicity.fit_chain([], np.zeros((0, 2)), np.zeros(0), [{}, {}]), "x")[1] < 0.01
-    only = toxicity.fit_chain([{"a"}, {"b"}], np.array([[1.0, np.nan], [1.0, np.nan]]), np.array([0, 1]), [{"a": 1.0}] * 2)
+    assert toxicity.probabilities(toxicity.fit_chain([], [], np.zeros((0, 2)), np.zeros(0), [{}, {}]), "x")[1] < 0.01
+    only = toxicity.fit_chain([np.array([0]), np.array([], int)], ["a"], np.array([[1.0, np.nan], [1.0, np.nan]]), np.array([0, 1]), [{"a": 1.0}] * 2)
     assert toxicity.probabilities(only, None)[0] > 0.99 and toxicity.probabilities(only, None)[1] < 0.01
 
 
