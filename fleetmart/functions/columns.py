@@ -87,7 +87,7 @@ def replace_last(c: Column, find: str, repl: str) -> Column:
         raise ValueError("find and repl are single characters")
     text = F.rtrim(c)
     changed = F.concat(_before_last(text, find), F.lit(repl), F.substring_index(text, find, -1))
-    return F.when(F.contains(c, F.lit(find)), changed).otherwise(c)
+    return F.when(F.contains(text, F.lit(find)), changed).otherwise(c)
 
 
 def build_path(path: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from fleetmart.functions.columns import cutoff, differs, moment
 from fleetmart.operators.ids import highest, with_dense_ids, with_new_ids
-from fleetmart.operators.joins import KEY_ROWS, settle
+from fleetmart.operators.joins import staged
 
 PURGED, UPDATED, INSERTED, UNCHANGED = "purged", "updated", "inserted", "unchanged"
 
@@ -74,7 +74,7 @@ def plan_upsert(
     )
     work = offered.join(held, offered["_key"] == held[key], "left").where(is_new | changed)
     delta = work.select("_key", is_new.alias("_new"), *[f"_new_{c}" for c in update]).distinct()
-    delta = settle(delta, KEY_ROWS)
+    delta = staged(delta, "upsert-delta")
     updates = delta.where("not _new").drop("_new")
     new_keys = delta.where("_new").select(F.col("_key").alias(key))
 

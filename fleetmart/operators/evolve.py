@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 from fleetmart.operators.joins import of_types
 
-COLUMN_LIMIT = 5000  # a wider extension is refused, not cut
-
 
 def missing_columns(
     dictionary: DataFrame, types: DataFrame, table: str, existing: Sequence[str]
@@ -61,7 +59,7 @@ def extend_schema(df: DataFrame, names: Sequence[str]) -> Extension:
     have = {c.lower() for c in df.columns}
     added, failed = [], []
     for name in names:
-        if not name.strip() or len(name) > 128 or name.lower() in have:
+        if not name.strip() or name.lower() in have:
             failed.append(name)
             continue
         added.append(name)
@@ -72,10 +70,8 @@ def extend_schema(df: DataFrame, names: Sequence[str]) -> Extension:
 
 
 def column_names(missing: Iterable[DataFrame]) -> dict[str, list[str]]:
-    """Names for :func:`extend_schema` by table; they become a schema, so they must be few."""
-    rows = extension_plan(missing).select("Tabelle", "Neue Spalte").take(COLUMN_LIMIT + 1)
-    if len(rows) > COLUMN_LIMIT:
-        raise ValueError(f"more than {COLUMN_LIMIT} new columns")
+    """Names for :func:`extend_schema` by table; they become a schema, which the driver holds."""
+    rows = extension_plan(missing).select("Tabelle", "Neue Spalte").collect()
     names: dict[str, list[str]] = {}
     for table, name in rows:
         names.setdefault(table, []).append(name)

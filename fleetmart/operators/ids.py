@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fleetmart.operators.joins import KEY_ROWS, if_small
-
 BUCKET_DIGITS = 4  # hexadecimal digits: 65,536 buckets at most
 
 
@@ -45,13 +43,10 @@ def with_new_ids(
 ) -> DataFrame:
     """The source rows of the new keys, reduced to one per key, with their ids.
 
-    Few new keys are broadcast, so that rows already known move nowhere; many are joined after
-    the reduction, which has the rows in place by key.
+    The join comes first, so that rows already known are not reduced; a shuffled join has the rows
+    in place by key for the reduction.
     """
-    small = if_small(new_ids, KEY_ROWS)
-    if small is not None:
-        return reduce(source.join(small, key))
-    return reduce(source).join(new_ids, key)
+    return reduce(source.join(new_ids, key))
 
 
 def highest(df: DataFrame, id_col: str) -> Column:

@@ -1,7 +1,6 @@
-"""Existence filters between tables, and the size check before a broadcast.
+"""Existence filters between tables, and staging of frames that several readers share.
 
-Only sides that pass :func:`settle` are hinted; for all others Catalyst and adaptive execution
-choose by the sizes they see.
+Nothing is hinted here: Catalyst and adaptive execution choose each join by the sizes they see.
 """
 
 from __future__ import annotations
@@ -10,34 +9,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetmart.functions.columns import ci_key
+from fleetmart.session import shared_dir
 
 
-SMALL_ROWS = 50_000
-KEY_ROWS = 500_000  # for rows of a key and a mark or two
-SMALL_BYTES = 16 * 2**20
+def staged(df: DataFrame, purpose: str = "staged") -> DataFrame:
+    """The frame, written to the shared folder and read again.
 
-
-def if_small(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame | None:
-    """The rows, computed now and marked for broadcast; nothing if they are more than ``limit`` or
-    take more than 16 MB."""
-    found = df.limit(limit + 1).toArrow()
-    if found.num_rows > limit or found.nbytes > SMALL_BYTES:
-        return None
-    return F.broadcast(df.sparkSession.createDataFrame(found, df.schema))
-
-
-def settle(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
-    """A lookup side, broadcast if it is small.
-
-    With the small side at hand the large side is joined where it is read, so a key that holds
-    most of its rows moves nowhere. A larger one is left to a shuffled join, which adaptive
-    execution can split at hot keys; it is checkpointed first, where the session names a folder
-    for that, so that its several readers do not compute it again.
+    For a frame with several readers: it is computed once, all of them see the same rows even if
+    its source changes meanwhile, lost executors cost nothing, and later joins know its size.
     """
-    small = if_small(df, limit)
-    if small is not None:
-        return small
-    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df
+    spark = df.sparkSession
+    path = shared_dir(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def active_types(types: DataFrame, flag: str | None = None) -> DataFrame:
@@ -47,7 +31,7 @@ def active_types(types: DataFrame, flag: str | None = None) -> DataFrame:
 
 
 def of_types(entities: DataFrame, types: DataFrame) -> DataFrame:
-    return entities.join(settle(types.distinct()), "ManagedEntityTypeRowId", "left_semi")
+    return entities.join(types.distinct(), "ManagedEntityTypeRowId", "left_semi")
 
 
 def same_name(df: DataFrame, column: str, others: DataFrame, other_column: str) -> DataFrame:
@@ -74,15 +58,14 @@ def exclude_names(df: DataFrame, column: str, excluded: DataFrame, name: str = "
     """``NOT IN``: rows with a NULL name go too, unless the list is empty; a NULL in the list
     removes every row.
 
-    Written as a plain anti join plus two one-row facts about the list, because Spark's own
+    Written as a plain anti join plus one row of facts about the list, because Spark's own
     null-aware anti join has to broadcast the list or fall back to a nested loop.
     """
     names = excluded.select(ci_key(F.col(name)).alias("_name"))
-    facts = names.agg(
+    facts = F.struct(
         F.count("*").alias("n"), F.count_if(F.col("_name").isNull()).alias("nulls")
     )
-    empty = facts.select(F.col("n") == 0).scalar()
-    has_null = facts.select(F.col("nulls") > 0).scalar()
-    hits = settle(names.where("_name is not null").distinct())
+    about = names.agg(facts.alias("_facts")).scalar()
+    hits = names.where("_name is not null").distinct()
     kept = df.join(hits, ci_key(df[column]) == hits["_name"], "left_anti")
-    return kept.where(empty | (kept[column].isNotNull() & ~has_null))
+    return kept.where((about["n"] == 0) | (kept[column].isNotNull() & (about["nulls"] == 0)))

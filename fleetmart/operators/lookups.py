@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetmart.functions.columns import NO_CUSTOMER, ci_key, label, truncate
-from fleetmart.operators.joins import settle
-
 DOMAIN_WIDTH = 100  # a looked-up domain is cut to this
 LIKE_MARKS = r"[%_\[]"
 UNCLOSED = r"\[[^\]]*$"  # an open bracket without its partner matches nothing
@@ -24,9 +22,7 @@ def key_lookup(
     """
     cols = list(dict.fromkeys(take.values()))
     one = dim.groupBy(F.col(dim_key).alias("_key")).agg(F.min(F.struct(*cols)).alias("_row"))
-    hits = settle(
-        one.select("_key", *[F.col("_row")[src].alias(new) for new, src in take.items()])
-    )
+    hits = one.select("_key", *[F.col("_row")[src].alias(new) for new, src in take.items()])
     return df.join(hits, df[column] == hits["_key"], "left").drop("_key")
 
 
@@ -40,24 +36,30 @@ def with_release(
 ) -> DataFrame:
     """Release of a version text by its longest listed prefix.
 
-    Every prefix of each *distinct* version meets the list in an equi-join, so nothing is compared
-    pairwise and the list may have any size.
+    Each *distinct* version offers its prefixes of the lengths that occur in the list, and these
+    meet the list in an equi-join, so nothing is compared pairwise and the list may have any size.
+    An empty listed prefix fits every version: it joins nothing and is the default instead.
     """
     keyed = df.withColumn("_version", ci_key(F.col(version)))
     distinct = keyed.select("_version").where("_version is not null").distinct()
-    lengths = F.sequence(F.lit(0), F.length("_version"))
-    prefixes = distinct.select("_version", F.explode(lengths).alias("_len")).select(
-        "_version", "_len", F.left("_version", F.col("_len")).alias("_prefix")
-    )
     listed = versions.groupBy(ci_key(F.col(prefix)).alias("_prefix")).agg(
         F.min(release).alias("_release")
     )
+    lengths = listed.agg(F.collect_set(F.length("_prefix")).alias("_lengths")).scalar()
+    fitting = F.array_intersect(F.sequence(F.lit(1), F.length("_version")), lengths)
+    filled = distinct.where("_version <> ''")
+    prefixes = filled.select("_version", F.explode(fitting).alias("_len")).select(
+        "_version", "_len", F.left("_version", F.col("_len")).alias("_prefix")
+    )
     best = (
         prefixes.join(listed, "_prefix")
         .groupBy("_version")
-        .agg(F.max_by("_release", "_len").alias(out))
+        .agg(F.max_by("_release", "_len").alias("_best"))
     )
-    return keyed.join(settle(best), "_version", "left").drop("_version")
+    default = listed.where("_prefix = ''").agg(F.min("_release").alias("_default")).scalar()
+    found = keyed.join(best, "_version", "left")
+    known = F.when(F.col("_version").isNotNull(), F.coalesce("_best", default))
+    return found.withColumn(out, known).drop("_version", "_best")
 
 
 def with_support(
@@ -139,7 +141,7 @@ def with_customer(
     hits = best.select(
         "_domain", *[F.col("_best.row")[src].alias(new) for new, src in take.items()]
     )
-    return keyed.join(settle(hits), "_domain", "left").drop("_domain")
+    return keyed.join(hits, "_domain", "left").drop("_domain")
 
 
 def _contained(distinct: DataFrame, listed: DataFrame, names: list[str]) -> DataFrame:

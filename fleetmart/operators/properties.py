@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetmart.functions.columns import ci_key, day, guid_key, not_blank, truncate
-from fleetmart.operators.joins import KEY_ROWS, if_small, settle
 from fleetmart.schemas import PROTECTED
 
 XML_SCHEMA = "Property array<struct<_Guid:string,_VALUE:string>>"
@@ -52,7 +51,7 @@ def named(
     if columns is not None:
         wanted = [c.lower() for c in columns]
         names = names.where(ci_key(F.col("PropertySystemName")).isin(wanted))
-    return shredded.join(settle(names.distinct()), "PropertyGuid")
+    return shredded.join(names.distinct(), "PropertyGuid")
 
 
 def show_properties(history: DataFrame, dictionary: DataFrame, entity: int | None = None) -> DataFrame:
@@ -77,16 +76,20 @@ def values_by_column(properties: DataFrame, columns: Sequence[str]) -> DataFrame
     """One row per entity with a column per property name.
 
     Names are compared without case. Among several values the newest version wins, then the
-    greatest guid and value. One shuffle on the entity: every column is its own conditional
-    maximum, reduced in each task first.
+    greatest guid and value. The winner of each entity and name is found first, reduced in each
+    task, whatever the number of columns; an entity's winners then make one map, from which the
+    columns are picked.
     """
-    name = ci_key(F.col("PropertySystemName"))
     ranked = F.struct("DWCreatedDateTime", "PropertyGuid", "PropertyValue")
-    picks = [
-        F.max(F.when(name == c.lower(), ranked))["PropertyValue"].alias(c) for c in columns
-    ]
-    wanted = properties.where(name.isin([c.lower() for c in columns]))
-    return wanted.groupBy("ManagedEntityRowId").agg(*picks)
+    keyed = properties.withColumn("_name", ci_key(F.col("PropertySystemName")))
+    wanted = keyed.where(F.col("_name").isin([c.lower() for c in columns]))
+    best = wanted.groupBy("ManagedEntityRowId", "_name").agg(F.max(ranked).alias("_best"))
+    entry = F.struct("_name", F.col("_best.PropertyValue"))
+    held = best.groupBy("ManagedEntityRowId").agg(
+        F.map_from_entries(F.collect_list(entry)).alias("_values")
+    )
+    picks = [F.col("_values")[c.lower()].alias(c) for c in columns]
+    return held.select("ManagedEntityRowId", *picks)
 
 
 def write_back(
@@ -135,14 +138,12 @@ def refresh_properties(
 ) -> DataFrame:
     """Write the current properties of all entities of an inventory back in one job.
 
-    A short list of entities is applied before the XML is taken apart. A long one is not, since
-    moving the texts to their entities costs more: foreign values meet no target row in the end.
+    The history is reduced to the target's entities before the XML is taken apart.
     """
     columns = list(columns) if columns is not None else writable_columns(target)
     rows = current_only(history)
-    ids = if_small(target.select("ManagedEntityRowId").distinct(), KEY_ROWS)
-    if ids is not None:
-        rows = rows.join(ids, "ManagedEntityRowId", "left_semi")
+    ids = target.select("ManagedEntityRowId").distinct()
+    rows = rows.join(ids, "ManagedEntityRowId", "left_semi")
     properties = named(shred(rows), dictionary, columns)
     return write_back(target, properties, as_of, columns=columns, **options)
 

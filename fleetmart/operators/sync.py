@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fleetmart.functions.columns import moment
 from fleetmart.operators.ids import highest, with_dense_ids, with_new_ids
-from fleetmart.operators.joins import KEY_ROWS, settle
+from fleetmart.operators.joins import staged
 
 KEEP, REVIVED = "keep", "revived"
 NEWLY_MISSING, STILL_MISSING = "newly_missing", "still_missing"
@@ -83,7 +83,7 @@ def classify(
 ) -> DataFrame:
     """Target rows with the state a sync would find them in."""
     delta = key_delta(target, source, key=key, match_on=key, missing_col=missing_col)
-    return with_state(target, settle(delta, KEY_ROWS), key, missing_col)
+    return with_state(target, delta, key, missing_col)
 
 
 def sync_snapshot(
@@ -106,13 +106,13 @@ def sync_snapshot(
     again. ``match_on`` names the source column compared with the target's key when it is another
     one than ``key``.
 
-    Keys are compared before any full row moves. After a usual run few keys changed; these are
-    broadcast, and both tables are then joined where they are read.
+    Keys are compared before any full row moves, and what changed is written to the shared folder
+    once. After a usual run that is little, and both tables are then joined where they are read.
     """
     match_on = match_on or key
     source = source.where(F.col(key).isNotNull())
     delta = key_delta(target, source, key=key, match_on=match_on, missing_col=missing_col)
-    delta = settle(delta, KEY_ROWS)
+    delta = staged(delta, "sync-delta")
     now = moment(as_of)
     types = {f.name: f.dataType for f in target.schema.fields}
     state = F.col("_state")
@@ -134,7 +134,7 @@ def sync_snapshot(
         known = target.select(F.col(key).alias("_known")).distinct()
         pairs = source.select(key, match_on).distinct()
         unmatched = pairs.join(known, pairs[match_on] == known["_known"], "left_anti")
-        new_keys = settle(unmatched.select(key).distinct(), KEY_ROWS)
+        new_keys = staged(unmatched.select(key).distinct(), "sync-keys")
     new_ids = with_dense_ids(new_keys, [key], id_col, highest(target, id_col))
     inserts = with_new_ids(source, new_ids, key, lambda df: one_per_key(df, key))
     defaults = defaults or {}

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from fleetmart.operators import evolve
 from fleetmart.operators.events import ALERT_DAYS, MAINTENANCE_DAYS, import_metrics
-from fleetmart.operators.joins import active_types, known_entities, settle
+from fleetmart.operators.joins import active_types, known_entities
+from fleetmart.operators.joins import staged as written_once
 from fleetmart.operators.properties import current_only, named, shred, writable_columns, write_back
 from fleetmart.plans import inventory as I
 from fleetmart.schemas import DERIVED, PROTECTED, struct_of
@@ -32,7 +33,7 @@ class TypeTables:
     def settled(self) -> TypeTables:
         """The same tables, computed once for the several steps that read them."""
         tables = (self.servers, self.computers, self.databases, self.excluded)
-        return TypeTables(*[settle(df.distinct()) for df in tables])
+        return TypeTables(*[written_once(df.distinct()) for df in tables])
 
     def active(self) -> dict[str, DataFrame]:
         return {
@@ -100,7 +101,7 @@ def refresh(
         return stage(table, filled, "properties")
 
     types = types.settled()
-    dictionary = settle(warehouse.dictionary.distinct())
+    dictionary = written_once(warehouse.dictionary.distinct())
     state = store.read_all([*INVENTORIES, "AlertHistory", "MaintenanceHistory"])
     targets = {t: state[t] for t in INVENTORIES}
     missing = new_columns(dictionary, types, targets)

@@ -27,7 +27,7 @@ def _text_functions() -> dict[str, str]:
     after_dot = "substr({x}, instr({x}, '.') + 1, 255)"
     dotted = DOTTED.replace("{x}", "fullname")
     tail = after_dot.replace("{x}", f"({after_colon.replace('{x}', f'({dotted})')})")
-    replaced = """if(contains(input, find),
+    replaced = """if(contains(rtrim(input), find),
         concat(left(rtrim(input), length(rtrim(input)) - length(substring_index(rtrim(input), find, -1)) - 1),
                repl, substring_index(rtrim(input), find, -1)), input)"""
     return {
@@ -47,9 +47,9 @@ def _one(value: str, table: str, where: str) -> str:
 
 
 def _lookup_functions() -> dict[str, str]:
-    domain = """domain <> '' AND contains(lower(DomainDnsName), lower(rtrim(left(domain, 100))))"""
+    domain = """domain <> '' AND contains(lower(rtrim(DomainDnsName)), lower(rtrim(left(domain, 100))))"""
     best = "struct(-length(DomainDnsName), DomainId)"
-    prefix = "startswith(ver, productversion)"
+    prefix = "startswith(lower(rtrim(ver)), lower(rtrim(productversion)))"
     release = "min_by(sqlversion, struct(-length(productversion), sqlversion))"
     key = "CustomerId = customer"
     type_id = "ManagedEntityTypeRowId = type_id"

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -34,12 +33,8 @@ def build_session(app: str = "fleetmart", master: str | None = None, **conf: str
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder for written tables, below the folder named in ``spark.checkpoint.dir``.
 
-    Executors on other machines must reach it, so a machine-local folder is only chosen when the
-    session itself runs in local mode and names none.
+    Executors on other machines must reach it. A session that names none uses its warehouse, which
+    they reach as well; the rule is the same in local mode and on a cluster.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-        return tempfile.mkdtemp(prefix=f"fleetmart-{purpose}-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/fleetmart/{purpose}-{uuid.uuid4().hex}"

@@ -35,11 +35,12 @@ def rows():
 
 
 @pytest.fixture(params=["small", "large"])
-def side(request, monkeypatch):
-    """Runs a test with lookup sides broadcast, and with all of them taken for large."""
+def side(request, spark):
+    """Runs a test with joins as Spark picks them, and with none of them broadcast."""
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
     if request.param == "large":
-        from fleetmart.operators import ids, joins, properties
-
-        for module in (ids, joins, properties):
-            monkeypatch.setattr(module, "if_small", lambda df, limit=0: None)
-    return request.param
+        for name in names:
+            spark.conf.set(name, "-1")
+    yield request.param
+    for name in names:
+        spark.conf.unset(name)

@@ -50,6 +50,12 @@ def test_replace_last(spark, text, out):
     assert apply(spark, text, lambda c: X.replace_last(c, ".", ";")) == out
 
 
+def test_replace_last_of_trailing_blanks(spark):
+    """Trailing blanks don't count: neither as a place to cut nor in what is cut."""
+    assert apply(spark, "abc ", lambda c: X.replace_last(c, " ", ";")) == "abc "
+    assert apply(spark, "a b ", lambda c: X.replace_last(c, " ", ";")) == "a;b"
+
+
 def test_replace_last_takes_single_characters():
     with pytest.raises(ValueError):
         X.replace_last(F.lit("x"), "ab", "c")

@@ -50,11 +50,8 @@ def test_containment_with_wildcards(spark):
     }
 
 
-@pytest.mark.parametrize("limit", [0, 10_000])
-def test_hot_domain(spark, monkeypatch, limit):
+def test_hot_domain(spark, side):
     """Most rows share a domain; the result is the same whether or not the lookup is broadcast."""
-    settle = J.settle
-    monkeypatch.setattr(L, "settle", lambda df: settle(df, limit))
     df = spark.range(3000).selectExpr(
         "id", "case when id < 2000 then 'oak.test' else concat('d', id, '.test') end as Domain"
     )
@@ -64,13 +61,21 @@ def test_hot_domain(spark, monkeypatch, limit):
     assert found.where("short = 'Oak'").count() == 2000
 
 
-def test_settle_checks_the_size(spark):
-    small, large = spark.range(5), spark.range(6)
-    hinted = J.settle(small, 5)
-    assert "ResolvedHint" in hinted._jdf.queryExecution().analyzed().toString()
-    assert sorted(r[0] for r in hinted.collect()) == list(range(5))
-    assert J.if_small(large, 5) is None
-    assert sorted(r[0] for r in J.settle(large, 5).collect()) == list(range(6))
+def test_staged_is_computed_once(spark):
+    df = J.staged(spark.range(5).selectExpr("id", "rand() AS x"))
+    assert sorted(df.collect()) == sorted(df.collect())
+    assert "parquet" in df._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_prefixes_of_listed_lengths_only(spark):
+    """Many versions of one first letter; an empty listed prefix is the default of all but NULL."""
+    listed = [("1", "one"), ("12", "twelve"), ("", "any"), (None, "no")]
+    versions = spark.createDataFrame(listed, "productversion string, sqlversion string")
+    df = spark.range(20000).selectExpr("concat('1', lpad(id, 30, '3')) AS v")
+    odd = spark.createDataFrame([("12.5",), ("x",), ("",), (None,)], "v string")
+    found = L.with_release(df.union(odd), "v", versions)
+    counts = {r[0]: r[1] for r in found.groupBy("VersionNr").count().collect()}
+    assert counts == {"one": 20000, "twelve": 1, "any": 2, None: 1}
 
 
 def test_release_and_support(spark, side):

@@ -46,6 +46,7 @@ def sql(spark):
         ("fn_CustDomainCount(9)", 0),
         ("GetDatabaseType(30)", "Db.New"),
         ("GetSQLVersion('21.5.1')", "3001R2"),
+        ("GetSQLVersion('21.5.1  ')", "3001R2"),
         ("GetEndOfMainstream('21.0')", "3006-02-03"),
         ("GetEndofExtended('22.1')", "3012-02-03"),
         ("GetEndofExtended('21.5')", None),
@@ -60,9 +61,10 @@ def test_text_functions_equal_the_columns(spark, sql):
     df = spark.createDataFrame([(v,) for v in values], "v string")
     df.createOrReplaceTempView("texts")
     v = F.col("v")
-    expected = df.select(X.domain_of(v), X.machine_of(v), X.build_path(v), X.replace_last(v, ";", "-"))
+    expected = df.select(X.domain_of(v), X.machine_of(v), X.build_path(v), X.replace_last(v, ";", "-"), X.replace_last(v, " ", "-"))
     found = sql(
-        "SELECT CutDomain(v), CutMaschine(v), BuildPath(v), ReplaceLastOccurrence(v, ';', '-') FROM texts"
+        "SELECT CutDomain(v), CutMaschine(v), BuildPath(v), ReplaceLastOccurrence(v, ';', '-'), "
+        "ReplaceLastOccurrence(v, ' ', '-') FROM texts"
     )
     assert found == [tuple(r) for r in expected.collect()]
 
