@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 UNKNOWN = "(unbekannt)"  # fixed value: label of a missing group
 NO_CUSTOMER = "???"  # fixed value: domain known, customer name missing
+# Widths of the original columns, for callers that want its cuts.
+NAME_WIDTH, DOMAIN_WIDTH, VALUE_WIDTH = 255, 100, 100
 
 
 def moment(as_of: datetime) -> Column:
@@ -25,8 +27,9 @@ def cutoff(as_of: datetime, days: int) -> datetime:
     return as_of - timedelta(days=days)
 
 
-def truncate(c: Column, width: int) -> Column:
-    return F.substring(c, 1, width)
+def truncate(c: Column, width: int | None) -> Column:
+    """The first ``width`` characters; the whole text without a width."""
+    return c if width is None else F.substring(c, 1, width)
 
 
 def ci_key(c: Column) -> Column:
@@ -59,26 +62,29 @@ def _before_last(c: Column, mark: str) -> Column:
     ).otherwise(c)
 
 
-def _after_first(c: Column, mark: str, width: int) -> Column:
-    return F.substring(c, F.instr(c, mark) + F.lit(1), F.lit(width))
+def _after_first(c: Column, mark: str) -> Column:
+    return F.right(c, F.length(c) - F.instr(c, mark))
 
 
-def domain_of(full_name: Column) -> Column:
-    """Domain part of an entity's full name ``type:host.domain.instance``; NULL without a colon."""
-    text = _dotted(F.rtrim(truncate(full_name, 255)))
-    tail = F.when(F.contains(text, F.lit(":")), _after_first(text, ":", 255))
-    return _before_last(_after_first(tail, ".", 255), ".")
+def domain_of(full_name: Column, width: int | None = None) -> Column:
+    """Domain part of an entity's full name ``type:host.domain.instance``; NULL without a colon.
 
+    Like the two below it reads the whole text, or its first ``width`` characters if asked.
+    """
+    text = _dotted(F.rtrim(truncate(full_name, width)))
+    tail = F.when(F.contains(text, F.lit(":")), _after_first(text, ":"))
+    return _before_last(_after_first(tail, "."), ".")
 
-def machine_of(name: Column, first_dot: bool = False) -> Column:
+
+def machine_of(name: Column, first_dot: bool = False, width: int | None = None) -> Column:
     """Machine name: what stands before the last dot, or before the first if asked."""
-    text = _dotted(F.rtrim(truncate(name, 255)))
+    text = _dotted(F.rtrim(truncate(name, width)))
     return F.substring_index(text, ".", 1) if first_dot else _before_last(text, ".")
 
 
-def entity_path(full_name: Column) -> Column:
-    """Text after the first colon, semicolons shown as dots."""
-    return _dotted(_after_first(full_name, ":", 255))
+def entity_path(full_name: Column, width: int | None = None) -> Column:
+    """Text after the first colon, semicolons shown as dots; at most ``width`` characters of it."""
+    return _dotted(truncate(_after_first(full_name, ":"), width))
 
 
 def replace_last(c: Column, find: str, repl: str) -> Column:
@@ -109,10 +115,6 @@ def missing_days(since: Column, as_of: datetime) -> Column:
     return F.datediff(day(as_of.date()), since)
 
 
-def iso_date(c: Column) -> Column:
-    return c.cast("date").cast("string")
-
-
 def code_label(code: Column, names: list[str]) -> Column:
     """Names for the codes 0, 1, 2 …; any other code as text."""
     shown = code.cast("string")

@@ -54,11 +54,17 @@ def plan_upsert(
     Old rows outside the retention window are purged. An incoming row inside it updates the old
     row of its key if one of ``compare`` changed, or is inserted. Of several incoming rows with
     one key the greatest by ``prefer`` counts; rows without a key are left out.
+
+    Where the old rows carry the day they are kept under (``_day``), inserted ones get theirs. The
+    delta and the inserts are written to the shared folder once, so every reader of the plan sees
+    the same.
     """
     now = moment(as_of)
     limit = moment(cutoff(as_of, days))
     order = [*prefer] or [*compare]
     inside = recent(new, ts_col, as_of, days).where(F.col(key).isNotNull())
+    if "_day" in old.columns:
+        inside = inside.withColumn("_day", F.to_date(ts_col))
 
     # What changed, found on the compared columns alone, before any full row moves.
     values = list(dict.fromkeys([*compare, *update]))
@@ -94,7 +100,7 @@ def plan_upsert(
     inserts = with_new_ids(inside, new_ids, key, lambda df: latest_per_key(df, key, order))
     inserts = inserts.withColumn(stamp_col, now)
     columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in old.schema.fields]
-    inserted = inserts.select(*columns, F.lit(INSERTED).alias("_action"))
+    inserted = staged(inserts.select(*columns, F.lit(INSERTED).alias("_action")), "upsert-inserts")
     return marked.select(*old.columns, "_action").unionByName(inserted)
 
 

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetmart.functions.columns import NO_CUSTOMER, ci_key, label, truncate
-DOMAIN_WIDTH = 100  # a looked-up domain is cut to this
+
 LIKE_MARKS = r"[%_\[]"
 UNCLOSED = r"\[[^\]]*$"  # an open bracket without its partner matches nothing
+OPEN = r"^[%_]*$"  # no literal at all
 
 
 def key_lookup(
@@ -101,13 +102,10 @@ def domain_dimension(domains: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def _winner(names: list[str]) -> Column:
+def _winner() -> Column:
     """The longest domain, then the lowest id."""
-    rank = F.struct(
-        (-F.length("DomainDnsName")).alias("a"), F.col("DomainId").alias("b")
-    )
-    row = F.struct(*[label(F.col(n), NO_CUSTOMER).alias(n) for n in names])
-    return F.min(F.struct(rank.alias("rank"), row.alias("row"))).alias("_best")
+    rank = F.struct((-F.length("DomainDnsName")).alias("size"), "DomainId")
+    return F.min(rank)["DomainId"].alias("_hit")
 
 
 def with_customer(
@@ -116,50 +114,70 @@ def with_customer(
     dimension: DataFrame,
     take: Mapping[str, str],
     like: bool = False,
+    width: int | None = None,
 ) -> DataFrame:
     """Customer of a domain: the listed domains that *contain* it, the longest first.
 
     ``take`` maps new columns to dimension columns. No match gives NULL; a match without a name
-    gives ``???``. Instead of comparing all pairs, each listed domain offers its substrings (a
-    number bounded by its own length) and the distinct domains look themselves up among them.
+    gives ``???``. Instead of comparing all pairs, each listed domain offers its substrings of the
+    lengths that are looked for, with nothing but its id, and the distinct domains meet these in an
+    equi-join; the names follow for the winners only.
 
     By default the text is taken literally and an empty one matches nothing. With ``like`` the
-    marks ``%``, ``_`` and ``[…]`` inside it act as wildcards and an empty text matches all.
+    marks ``%``, ``_`` and ``[…]`` inside it act as wildcards and an empty text matches all. The
+    whole text is looked up, or its first ``width`` characters.
     """
-    names = list(dict.fromkeys(take.values()))
-    keyed = df.withColumn("_domain", ci_key(truncate(F.col(domain), DOMAIN_WIDTH)))
+    keyed = df.withColumn("_domain", ci_key(truncate(F.col(domain), width)))
     distinct = keyed.select("_domain").where("_domain is not null").distinct()
     listed = dimension.select(
-        "DomainId", "DomainDnsName", *names, ci_key(F.col("DomainDnsName")).alias("_text")
-    )
+        "DomainId", "DomainDnsName", ci_key(F.col("DomainDnsName")).alias("_text")
+    ).distinct()
     plain = distinct.where("_domain <> ''")
     if like:
         plain = plain.where(~F.rlike("_domain", F.lit(LIKE_MARKS)))
-    best = _contained(plain, listed, names)
+    best = _contained(plain, listed)
     if like:
-        best = best.unionByName(_matched(distinct, listed, names))
-    hits = best.select(
-        "_domain", *[F.col("_best.row")[src].alias(new) for new, src in take.items()]
-    )
+        best = best.unionByName(_matched(distinct, listed)).unionByName(_open(distinct, listed))
+    named = key_lookup(best, "_hit", dimension, "DomainId", take)
+    hits = named.select("_domain", *[label(F.col(new), NO_CUSTOMER).alias(new) for new in take])
     return keyed.join(hits, "_domain", "left").drop("_domain")
 
 
-def _contained(distinct: DataFrame, listed: DataFrame, names: list[str]) -> DataFrame:
-    starts = F.explode(F.sequence(F.lit(1), F.length("_text"))).alias("_from")
-    suffixes = listed.where("_text <> ''").select("*", starts)
-    longest = F.least(F.length("_text") - F.col("_from") + 1, F.lit(DOMAIN_WIDTH))
-    ends = F.explode(F.sequence(F.lit(1), longest))
-    pieces = suffixes.select("*", ends.alias("_len")).withColumn(
-        "_domain", F.substring(F.col("_text"), F.col("_from"), F.col("_len"))
+def _contained(distinct: DataFrame, listed: DataFrame) -> DataFrame:
+    return _pieces(listed, distinct, "_domain").groupBy("_domain").agg(_winner())
+
+
+def _pieces(listed: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
+    """Listed domains beside each of their substrings that occurs in a column of ``wanted``."""
+    lengths = wanted.agg(F.collect_set(F.length(name)).alias("_lengths")).scalar()
+    sized = listed.where("_text <> ''").select("*", F.explode(lengths).alias("_len"))
+    fitting = sized.where(F.length("_text") >= F.col("_len"))
+    last = F.length("_text") - F.col("_len") + 1
+    starts = fitting.select("*", F.explode(F.sequence(F.lit(1), last)).alias("_from"))
+    piece = F.substring(F.col("_text"), F.col("_from"), F.col("_len"))
+    pieces = starts.withColumn(name, piece).drop("_from", "_len").distinct()
+    return pieces.join(wanted.select(name).distinct(), name, "left_semi")
+
+
+def _open(distinct: DataFrame, listed: DataFrame) -> DataFrame:
+    """Texts of ``%`` and ``_`` alone ask for a least length only, so the longest domain of the
+    whole list wins or nothing does: one row beside each of them, no join."""
+    first = listed.groupBy().agg(
+        F.min(F.struct((-F.length("DomainDnsName")).alias("size"), "DomainId", "_text")).alias("_top")
     )
-    wanted = pieces.join(distinct, "_domain", "left_semi")
-    return wanted.groupBy("_domain").agg(_winner(names))
+    top = first.select("_top").scalar()
+    asked = distinct.where(F.rlike("_domain", F.lit(OPEN)))
+    least = F.length(F.replace("_domain", F.lit("%"), F.lit("")))
+    return asked.where(F.length(top["_text"]) >= least).select("_domain", top["DomainId"].alias("_hit"))
+
 
+def _matched(distinct: DataFrame, listed: DataFrame) -> DataFrame:
+    """Domains with wildcards: joined on their longest literal piece, then tested in full.
 
-def _matched(distinct: DataFrame, listed: DataFrame, names: list[str]) -> DataFrame:
-    """Domains with wildcards: joined on their longest literal piece, then tested in full."""
-    marked = distinct.where(F.rlike("_domain", F.lit(LIKE_MARKS)) | (F.col("_domain") == ""))
-    marked = marked.where(~F.rlike("_domain", F.lit(UNCLOSED)))
+    Only a text that holds sets and not one literal character has to be tested against every domain.
+    """
+    marked = distinct.where(F.rlike("_domain", F.lit(LIKE_MARKS)))
+    marked = marked.where(~F.rlike("_domain", F.lit(UNCLOSED)) & ~F.rlike("_domain", F.lit(OPEN)))
     pieces = F.split("_domain", r"%|_|\[[^\]]*\]?")
     sized = F.transform(pieces, lambda p: F.struct(F.length(p).alias("n"), p.alias("p")))
     longest = F.array_max(sized)
@@ -168,14 +186,6 @@ def _matched(distinct: DataFrame, listed: DataFrame, names: list[str]) -> DataFr
     outside = r"(?![^\[]*\])"
     pattern = F.regexp_replace(F.regexp_replace(quoted, "%" + outside, ".*"), "_" + outside, ".")
     wild = marked.select("_domain", longest["p"].alias("_anchor"), pattern.alias("_pattern"))
-    starts = F.explode(F.sequence(F.lit(1), F.length("_text") + 1)).alias("_from")
-    suffixes = listed.select("*", starts)
-    ends = F.explode(F.sequence(F.lit(0), F.length("_text") - F.col("_from") + 1))
-    anchors = (
-        suffixes.select("*", ends.alias("_len"))
-        .withColumn("_anchor", F.substring(F.col("_text"), F.col("_from"), F.col("_len")))
-        .drop("_from", "_len")
-        .distinct()
-    )
+    anchors = _pieces(listed, wild, "_anchor")
     tested = wild.join(anchors, "_anchor").where(F.rlike("_text", F.col("_pattern")))
-    return tested.groupBy("_domain").agg(_winner(names))
+    return tested.groupBy("_domain").agg(_winner())

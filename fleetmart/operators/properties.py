@@ -13,7 +13,6 @@ from fleetmart.schemas import PROTECTED
 
 XML_SCHEMA = "Property array<struct<_Guid:string,_VALUE:string>>"
 XML_OPTIONS = {"mode": "PERMISSIVE", "ignoreSurroundingSpaces": "false"}
-VALUE_WIDTH = 100
 
 
 def current_only(history: DataFrame) -> DataFrame:
@@ -21,11 +20,11 @@ def current_only(history: DataFrame) -> DataFrame:
     return history.where(F.col("ToDateTime").isNull())
 
 
-def shred(history: DataFrame) -> DataFrame:
+def shred(history: DataFrame, width: int | None = None) -> DataFrame:
     """One row per property of every given version: (entity, created, guid, value).
 
-    An empty element gives an empty value; a text that is no XML gives no rows. Values are cut to
-    100 characters.
+    An empty element gives an empty value; a text that is no XML gives no rows. Values are whole,
+    or cut to ``width`` characters.
     """
     parsed = F.from_xml("PropertyXML", XML_SCHEMA, XML_OPTIONS)["Property"]
     items = history.select(
@@ -36,7 +35,7 @@ def shred(history: DataFrame) -> DataFrame:
         "ManagedEntityRowId",
         "DWCreatedDateTime",
         guid_key(F.col("_p._Guid")).alias("PropertyGuid"),
-        truncate(value, VALUE_WIDTH).alias("PropertyValue"),
+        truncate(value, width).alias("PropertyValue"),
     )
 
 
@@ -54,12 +53,17 @@ def named(
     return shredded.join(names.distinct(), "PropertyGuid")
 
 
-def show_properties(history: DataFrame, dictionary: DataFrame, entity: int | None = None) -> DataFrame:
+def show_properties(
+    history: DataFrame,
+    dictionary: DataFrame,
+    entity: int | None = None,
+    width: int | None = None,
+) -> DataFrame:
     """Current properties by name, of one entity or of all."""
     rows = current_only(history)
     if entity is not None:
         rows = rows.where(F.col("ManagedEntityRowId") == entity)
-    shown = named(shred(rows), dictionary).select(
+    shown = named(shred(rows, width), dictionary).select(
         "ManagedEntityRowId", "PropertyGuid", "PropertySystemName", "PropertyValue"
     )
     return shown.orderBy("PropertySystemName", "ManagedEntityRowId")
@@ -134,6 +138,7 @@ def refresh_properties(
     as_of: datetime,
     *,
     columns: Sequence[str] | None = None,
+    width: int | None = None,
     **options,
 ) -> DataFrame:
     """Write the current properties of all entities of an inventory back in one job.
@@ -144,7 +149,7 @@ def refresh_properties(
     rows = current_only(history)
     ids = target.select("ManagedEntityRowId").distinct()
     rows = rows.join(ids, "ManagedEntityRowId", "left_semi")
-    properties = named(shred(rows), dictionary, columns)
+    properties = named(shred(rows, width), dictionary, columns)
     return write_back(target, properties, as_of, columns=columns, **options)
 
 

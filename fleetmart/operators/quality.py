@@ -3,10 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetmart.schemas import (
+    FOREIGN_KEYS,
+    KEYS,
+    NATURAL_KEYS,
+    REQUIRED,
+    conform,
+    declared_widths,
+)
+
 
 def duplicates(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their number of rows."""
@@ -44,3 +54,39 @@ def widths(df: DataFrame, declared: Mapping[str, int]) -> DataFrame:
         for name, width in declared.items()
     ]
     return found.select(F.inline(F.array(*rows)))
+
+
+def audit_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(table_name, rule, column_name, n_bad) of every declared rule that a given table breaks.
+
+    ``n_bad`` counts keys that occur several times, rows without a parent, empty cells and texts
+    that are too long. Columns a frame lacks count as NULL. A foreign key is checked if both of its
+    tables are given.
+    """
+    full = {name: conform(df, name) for name, df in tables.items()}
+    found = []
+
+    def note(table: str, rule: str, column: str, bad: DataFrame) -> None:
+        count = bad.agg(F.count("*").alias("n_bad"))
+        found.append(_finding(table, rule, F.lit(column), count))
+
+    for table, df in full.items():
+        for rule, keys in (("key", KEYS), ("natural key", NATURAL_KEYS)):
+            if table in keys:
+                note(table, rule, ", ".join(keys[table]), duplicates(df, keys[table]))
+        if table in REQUIRED:
+            empty = nulls(df, REQUIRED[table]).withColumnRenamed("n_null", "n_bad")
+            found.append(_finding(table, "required", F.col("column_name"), empty))
+        if declared := declared_widths(table):
+            long = widths(df, declared).withColumnRenamed("n_too_long", "n_bad")
+            found.append(_finding(table, "width", F.col("column_name"), long))
+    for child, column, parent, parent_key in FOREIGN_KEYS:
+        if child in full and parent in full:
+            note(child, "foreign key", column, orphans(full[child], column, full[parent], parent_key))
+    return reduce(DataFrame.unionByName, found).where("n_bad > 0")
+
+
+def _finding(table: str, rule: str, column: Column, counted: DataFrame) -> DataFrame:
+    return counted.select(
+        F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), column.alias("column_name"), "n_bad"
+    )

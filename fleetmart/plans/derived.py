@@ -28,7 +28,7 @@ class Lookups:
 
 def with_server_columns(servers: DataFrame, lookups: Lookups, as_of: datetime) -> DataFrame:
     take = {"SQLMandantNameShort": "CustomerShortName", "SQLMandantName": "CustomerName"}
-    named = with_customer(servers, "Domain", lookups.domain_names(), take)
+    named = with_customer(servers, "Domain", lookups.domain_names(), take, width=X.DOMAIN_WIDTH)
     dated = with_support(named, "Version", lookups.versions, lookups.support)
     return dated.select(
         "*",
@@ -39,7 +39,9 @@ def with_server_columns(servers: DataFrame, lookups: Lookups, as_of: datetime) -
 
 def with_computer_columns(computers: DataFrame, lookups: Lookups, as_of: datetime) -> DataFrame:
     take = {"SQLCustomer": "CustomerName"}
-    named = with_customer(computers, "DomainDnsName", lookups.domain_names(), take)
+    named = with_customer(
+        computers, "DomainDnsName", lookups.domain_names(), take, width=X.DOMAIN_WIDTH
+    )
     days = X.missing_days(F.col("NotFoundSince"), as_of)
     return named.withColumn("NotFoundSinceDays", days)
 

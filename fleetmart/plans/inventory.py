@@ -38,9 +38,9 @@ def server_source(entities: DataFrame, properties: DataFrame, types: DataFrame)
         "TopLevelHostManagedEntityRowId",
         "ManagedEntityDefaultName",
         "FullName",
-        X.entity_path(F.col("FullName")).alias("Path"),
-        X.machine_of(F.col("Name")).alias("Maschine"),
-        X.domain_of(F.col("FullName")).alias("Domain"),
+        X.entity_path(F.col("FullName"), X.NAME_WIDTH).alias("Path"),
+        X.machine_of(F.col("Name"), width=X.NAME_WIDTH).alias("Maschine"),
+        X.domain_of(F.col("FullName"), X.NAME_WIDTH).alias("Domain"),
         X.minute_of(F.col("_created")).alias("DWCreatedDateTime"),
         F.col("Changes").cast("int").alias("Changes"),
     )
@@ -71,7 +71,7 @@ def computer_source(entities: DataFrame, types: DataFrame, servers: DataFrame) -
         "Path",
         "FullName",
         "DisplayName",
-        X.machine_of(F.col("Name")).alias("Maschine"),
+        X.machine_of(F.col("Name"), width=X.NAME_WIDTH).alias("Maschine"),
         "ManagedEntityTypeRowId",
         "ManagedEntityDefaultName",
         X.minute_of(F.col("DWCreatedDateTime")).alias("DWCreatedDateTime"),

@@ -8,12 +8,14 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetmart.functions.columns import VALUE_WIDTH
 from fleetmart.operators import evolve
-from fleetmart.operators.events import ALERT_DAYS, MAINTENANCE_DAYS, import_metrics
+from fleetmart.operators.events import ALERT_DAYS, MAINTENANCE_DAYS
 from fleetmart.operators.joins import active_types, known_entities
 from fleetmart.operators.joins import staged as written_once
 from fleetmart.operators.properties import current_only, named, shred, writable_columns, write_back
 from fleetmart.plans import inventory as I
+from fleetmart.plans.histories import stage_load
 from fleetmart.schemas import DERIVED, PROTECTED, struct_of
 from fleetmart.sources.readers import Warehouse
 from fleetmart.sources.snapshots import Snapshots
@@ -82,11 +84,13 @@ def refresh(
     alert_days: int = ALERT_DAYS,
     maintenance_days: int = MAINTENANCE_DAYS,
     match_host: bool = False,
+    value_width: int | None = VALUE_WIDTH,
 ) -> RefreshReport:
     """Extend the schemas, sync each inventory with its properties, load both histories.
 
     Each step writes a staged version that the next one reads, which also keeps the plans short;
-    the last ones become current together at the end. A failed run leaves the former state.
+    the last ones become current together at the end. A failed run leaves the former state. Of the
+    histories only the changed days are written. ``value_width=None`` keeps property values whole.
     """
     spark, report = store.spark, RefreshReport()
     attempt = f"v{store.last_commit() + 1:08d}"
@@ -102,8 +106,7 @@ def refresh(
 
     types = types.settled()
     dictionary = written_once(warehouse.dictionary.distinct())
-    state = store.read_all([*INVENTORIES, "AlertHistory", "MaintenanceHistory"])
-    targets = {t: state[t] for t in INVENTORIES}
+    targets = store.read_all(INVENTORIES)
     missing = new_columns(dictionary, types, targets)
     names = evolve.column_names(missing.values())
     for table in INVENTORIES:
@@ -114,7 +117,7 @@ def refresh(
 
     # Every XML text is taken apart once, where it is read; all inventories share the values.
     wanted = sorted({c for names in columns.values() for c in names})
-    items = named(shred(current_only(warehouse.properties)), dictionary, wanted)
+    items = named(shred(current_only(warehouse.properties), value_width), dictionary, wanted)
     values = spark.read.schema(items.schema).parquet(
         store.stage("PropertyValues", items, attempt)
     )
@@ -136,14 +139,15 @@ def refresh(
 
     known = known_entities(servers, computers)
     source = I.alert_source(warehouse.alerts, known)
-    loads = {"AlertHistory": I.plan_alerts(state["AlertHistory"], source, as_of, alert_days)}
-    source = I.maintenance_source(warehouse.windows, warehouse.entities, computers)
-    history = state["MaintenanceHistory"]
-    loads["MaintenanceHistory"] = I.plan_maintenance(history, source, as_of, maintenance_days)
-    for table, planned in loads.items():
-        # Counted by a query of its own: accumulators would count a repeated task twice.
-        report.metrics[table] = import_metrics(planned).first().asDict()
-        stage(table, I.kept_rows(planned), "load")
+    windows = I.maintenance_source(warehouse.windows, warehouse.entities, computers)
+    loads = {
+        "AlertHistory": lambda old: I.plan_alerts(old, source, as_of, alert_days),
+        "MaintenanceHistory": lambda old: I.plan_maintenance(old, windows, as_of, maintenance_days),
+    }
+    for table, plan in loads.items():
+        load = stage_load(store, table, plan, attempt)
+        staged |= load.paths
+        report.metrics[table] = load.metrics
 
     report.commit = store.commit(staged, tag=f"refresh {as_of.isoformat()}")
     return report

@@ -49,7 +49,7 @@ def types(t: Tables):
               FROM ({FULL_NAMES}) x) y""",
 )
 def cut_domain(t: Tables):
-    return t.sql(FULL_NAMES).select("c_custkey", X.domain_of(F.col("FullName")).alias("Domain"))
+    return t.sql(FULL_NAMES).select("c_custkey", X.domain_of(F.col("FullName"), X.NAME_WIDTH).alias("Domain"))
 
 
 @query(
@@ -62,8 +62,8 @@ def cut_machine(t: Tables):
     name = F.col("FullName")
     return t.sql(FULL_NAMES).select(
         "c_custkey",
-        X.machine_of(name).alias("Maschine"),
-        X.machine_of(name, first_dot=True).alias("first_part"),
+        X.machine_of(name, width=X.NAME_WIDTH).alias("Maschine"),
+        X.machine_of(name, first_dot=True, width=X.NAME_WIDTH).alias("first_part"),
     )
 
 
@@ -73,7 +73,7 @@ def cut_machine(t: Tables):
         FROM ({FULL_NAMES}) x""",
 )
 def path_of_entity(t: Tables):
-    return t.sql(FULL_NAMES).select("c_custkey", X.entity_path(F.col("FullName")).alias("Path"))
+    return t.sql(FULL_NAMES).select("c_custkey", X.entity_path(F.col("FullName"), X.NAME_WIDTH).alias("Path"))
 
 
 @query(

@@ -133,13 +133,25 @@ def window_rows(df, *more):
     return shown(df.select(*more, *MAINTENANCE_COLUMNS), *WINDOW_TIMES)
 
 
-@query("maintenance_import", f"{MAINTENANCE_PLAN} SELECT ID, {SHOWN_WINDOWS} FROM result")
-def maintenance_import(t: Tables):
+def planned_windows(t: Tables, **options):
     source = I.maintenance_source(
         t.sql(S.WINDOWS), t.sql(S.NAMED_ENTITIES), t.sql(S.KNOWN_COMPUTERS)
     )
-    planned = I.plan_maintenance(t.sql(S.MAINTENANCE_HISTORY), source, S.ORDERS_AS_OF)
-    return window_rows(I.kept_rows(planned), "ID")
+    return I.plan_maintenance(t.sql(S.MAINTENANCE_HISTORY), source, S.ORDERS_AS_OF, **options)
+
+
+@query("maintenance_import", f"{MAINTENANCE_PLAN} SELECT ID, {SHOWN_WINDOWS} FROM result")
+def maintenance_import(t: Tables):
+    return window_rows(I.kept_rows(planned_windows(t)), "ID")
+
+
+# The original rule: a date that was NULL, or becomes so, is no change.
+LITERAL_PLAN = MAINTENANCE_PLAN.replace("IS DISTINCT FROM", "<>").replace("AS hit", "IS TRUE AS hit", 1)
+
+
+@query("maintenance_import_literal", f"{LITERAL_PLAN} SELECT ID, {SHOWN_WINDOWS} FROM result")
+def maintenance_import_literal(t: Tables):
+    return window_rows(I.kept_rows(planned_windows(t, null_safe=False)), "ID")
 
 
 def replayed(t: Tables, text: str, order: str, root: str):

@@ -50,6 +50,35 @@ def lookup_contains(t: Tables):
     return named_servers(t).select("ManagedEntityRowId", "Domain", "SQLMandantName")
 
 
+# Looked-up texts with wildcards, without a literal, and empty.
+PATTERNS = """
+SELECT s_suppkey AS ManagedEntityRowId,
+       CASE WHEN s_acctbal < 500 THEN '' WHEN s_acctbal < 1000 THEN '%'
+            WHEN s_acctbal < 1500 THEN repeat('_', 18) WHEN s_acctbal < 2000 THEN repeat('_', 40)
+            WHEN s_acctbal < 5000 THEN replace(lower(n_name), 'a', '_')
+            WHEN s_acctbal < 8000 THEN concat(substr(n_name, 1, 2), '%.', substr(lower(r_name), 1, 3))
+            ELSE n_name END AS Domain
+FROM {supplier} JOIN {nation} ON n_nationkey = s_nationkey JOIN {region} ON r_regionkey = n_regionkey"""
+
+
+@query(
+    "lookup_like",
+    f"""SELECT s.ManagedEntityRowId, s.Domain,
+               CASE WHEN b.DomainId IS NOT NULL THEN coalesce(b.CustomerName, '???') END AS SQLMandantName
+        FROM ({PATTERNS}) s LEFT JOIN (
+            SELECT x.Domain AS wanted, d.*, row_number() OVER (
+                       PARTITION BY x.Domain ORDER BY length(d.DomainDnsName) DESC, d.DomainId) AS rn
+            FROM (SELECT DISTINCT Domain FROM ({PATTERNS}) a) x
+            JOIN ({DIMENSION}) d
+              ON lower(d.DomainDnsName) LIKE concat('%', lower(x.Domain), '%')) b
+          ON b.wanted = s.Domain AND b.rn = 1""",
+)
+def lookup_like(t: Tables):
+    dimension = L.domain_dimension(t.sql(S.DOMAINS), t.sql(S.CUSTOMERS))
+    take = {"SQLMandantName": "CustomerName"}
+    return L.with_customer(t.sql(PATTERNS), "Domain", dimension, take, like=True)
+
+
 @query(
     "enrich_chain",
     f"""SELECT ManagedEntityRowId, Short AS SQLMandantNameShort, Long AS SQLMandantName

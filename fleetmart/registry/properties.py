@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from fleetmart.functions.columns import VALUE_WIDTH
 from fleetmart.operators import properties as P
 from fleetmart.plans import views
 from fleetmart.registry import standins as S
@@ -43,7 +44,7 @@ FROM {lineitem} WHERE l_linestatus <> 'F'"""
     f"SELECT ManagedEntityRowId, guid AS PropertyGuid, value AS PropertyValue FROM ({COMPUTER_ITEMS}) i",
 )
 def property_shred(t: Tables):
-    return P.shred(P.current_only(t.sql(S.COMPUTER_HISTORY))).drop("DWCreatedDateTime")
+    return P.shred(P.current_only(t.sql(S.COMPUTER_HISTORY)), VALUE_WIDTH).drop("DWCreatedDateTime")
 
 
 @query(
@@ -52,7 +53,7 @@ def property_shred(t: Tables):
         FROM ({COMPUTER_NAMED}) i GROUP BY name""",
 )
 def property_names(t: Tables):
-    items = P.shred(P.current_only(t.sql(S.COMPUTER_HISTORY)))
+    items = P.shred(P.current_only(t.sql(S.COMPUTER_HISTORY)), VALUE_WIDTH)
     named = P.named(items, t.sql(S.COMPUTER_DICTIONARY))
     return named.groupBy("PropertySystemName").agg(
         F.count("*").alias("n"), F.countDistinct("ManagedEntityRowId").alias("entities")
@@ -110,7 +111,7 @@ IDS = ["ID", "ManagedEntityRowId"]
 def property_writeback(t: Tables):
     """The operator on named properties, values kept in their own case."""
     items = P.named(
-        P.shred(P.current_only(t.sql(S.COMPUTER_HISTORY))), t.sql(S.COMPUTER_DICTIONARY)
+        P.shred(P.current_only(t.sql(S.COMPUTER_HISTORY)), VALUE_WIDTH), t.sql(S.COMPUTER_DICTIONARY)
     )
     rows = P.write_back(
         t.sql(S.COMPUTER_TARGET), items, S.ORDERS_AS_OF, columns=COMPUTER_CELLS, lowercase=False

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetmart import schemas
 from fleetmart.operators import evolve, quality
 from fleetmart.operators.joins import active_types
 from fleetmart.registry import standins as S
@@ -224,3 +225,53 @@ WIDTHS = {"p_name": 9, "p_brand": 7, "p_type": 255}
 )
 def audit_widths(t: Tables):
     return quality.widths(t.part, WIDTHS)
+
+
+# The reporting tables with faults: a customer left out, empty and long texts, repeated keys.
+FAULTY = {
+    "Customer": f"SELECT * FROM ({S.CUSTOMERS}) x WHERE Name <> 'ASIA'",
+    "CustomerDomain": f"""SELECT DomainId, CustomerId,
+        CASE WHEN length(DomainDnsName) < 17 THEN DomainDnsName END AS DomainDnsName
+        FROM ({S.DOMAINS}) x""",
+    "ExcludeDB": "SELECT repeat(o_orderpriority, 6) AS Name FROM {orders}",
+    "SQLVersion": S.RELEASES,
+    "SQLServer": S.SERVER_TARGET,
+    "Computer": f"""SELECT ManagedEntityRowId AS ID, Inserted, repeat(DisplayName, 20) AS DisplayName,
+        CASE WHEN WindowsOS IS NULL THEN IsSCOM END AS IsSCOM FROM ({S.COMPUTER_TARGET}) x""",
+    "SQLDatabase": f"SELECT TopLevelHostManagedEntityRowId AS ID, Inserted FROM ({S.DATABASE_TARGET}) x",
+    "AlertHistory": f"""SELECT ID, substr(AlertGuid, 1, 3) AS AlertGuid, ManagedEntityRowId, Imported
+        FROM ({S.ALERT_HISTORY}) x""",
+    "MaintenanceHistory": f"""SELECT ID, MaintenanceRowId, ManagedEntityRowId,
+        CASE WHEN UserId <> '1-URGENT' THEN Imported END AS Imported FROM ({S.MAINTENANCE_HISTORY}) x""",
+}
+TOO_LONG = [("ExcludeDB", "Name", 50), ("Computer", "DisplayName", 256)]
+
+
+def _counted(table: str, rule: str, column: str, bad: str) -> str:
+    return f"""SELECT '{table}' AS table_name, '{rule}' AS rule, '{column}' AS column_name, count(*) AS n_bad
+               FROM ({bad}) b"""
+
+
+def _audit_sql() -> str:
+    parts = []
+    for rule, keys in (("key", schemas.KEYS), ("natural key", schemas.NATURAL_KEYS)):
+        for table in FAULTY:
+            for key in keys.get(table, []):
+                repeated = f"SELECT {key} FROM ({FAULTY[table]}) f GROUP BY {key} HAVING count(*) > 1"
+                parts.append(_counted(table, rule, key, repeated))
+    for table, text in FAULTY.items():
+        for column in schemas.REQUIRED[table]:
+            empty = f"SELECT 1 FROM ({text}) f WHERE {column} IS NULL"
+            parts.append(_counted(table, "required", column, empty))
+    for table, column, width in TOO_LONG:
+        long = f"SELECT 1 FROM ({FAULTY[table]}) f WHERE length(rtrim({column})) > {width}"
+        parts.append(_counted(table, "width", column, long))
+    orphans = f"""SELECT 1 FROM ({FAULTY["CustomerDomain"]}) d
+                  WHERE CustomerId NOT IN (SELECT CustomerId FROM ({FAULTY["Customer"]}) c)"""
+    parts.append(_counted("CustomerDomain", "foreign key", "CustomerId", orphans))
+    return f"SELECT * FROM ({' UNION ALL '.join(parts)}) a WHERE n_bad > 0"
+
+
+@query("audit_tables", _audit_sql())
+def audit_tables(t: Tables):
+    return quality.audit_tables({name: t.sql(text) for name, text in FAULTY.items()})

@@ -115,6 +115,9 @@ KEYS = {
 }
 NATURAL_KEYS = {"AlertHistory": ["AlertGuid"], "MaintenanceHistory": ["MaintenanceRowId"]}
 
+# Fixed values: (table, column, parent table, parent column).
+FOREIGN_KEYS = [("CustomerDomain", "CustomerId", "Customer", "CustomerId")]
+
 # Columns that may not be NULL.
 REQUIRED = {
     "Computer": ["ID", "Inserted", "IsSCOM"],
@@ -202,6 +205,10 @@ PROTECTED = [
 ]
 
 
+#: Column that tells the day an event history keeps a row under.
+EVENT_TIMES = {"AlertHistory": "RaisedDateTime", "MaintenanceHistory": "StartDateTime"}
+
+
 def struct_of(name: str) -> T.StructType:
     """Schema of a reporting table or warehouse source."""
     ddl = TABLES[name] if name in TABLES else SOURCES[name]

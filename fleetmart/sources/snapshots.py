@@ -3,19 +3,26 @@
 A table version is a folder that is written once. The commit log, itself a small parquet table,
 says which folder is current, so a run that fails leaves the former state in force and a reader
 never sees half a table. One writer at a time is assumed.
+
+The two event histories are kept by day: each day is a folder of its own with its own entry in the
+log, so a load replaces the days it changes and drops the days it purges. Rows without a date form
+one more such part.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmart.schemas import struct_of
+from fleetmart.schemas import EVENT_TIMES, struct_of
 
 LOG = "commit long, tag string, table string, path string"
+DAY, LOAD, NO_DAY = "_day", "_load", "__HIVE_DEFAULT_PARTITION__"
+GONE = ""  # path of a day that has no rows any more
 
 
 class Snapshots:
@@ -40,32 +47,63 @@ class Snapshots:
         return not self.log().where(F.col("tag") == tag).isEmpty()
 
     def paths(self, commit: int | None = None) -> dict[str, str]:
-        """Folder of every table as of now or of an earlier commit; one row per table."""
+        """Folder of every table, or of each of its days, as of now or of an earlier commit.
+
+        One row per table and kept day: bounded by the retention window, not by the events.
+        """
         log = self.log() if commit is None else self.log().where(F.col("commit") <= commit)
         latest = log.groupBy("table").agg(F.max_by("path", "commit").alias("path"))
-        return {row["table"]: row["path"] for row in latest.collect()}
+        return {row["table"]: row["path"] for row in latest.where(F.col("path") != GONE).collect()}
 
     def read_all(self, tables: Sequence[str], commit: int | None = None) -> dict[str, DataFrame]:
         """Versions of several tables that belong together; empty ones before the first commit."""
         paths = self.paths(commit)
         return {
-            t: self.spark.read.parquet(paths[t])
+            t: self._by_day(t, paths).drop(DAY)
+            if t in EVENT_TIMES
+            else self.spark.read.parquet(paths[t])
             if t in paths
             else self.spark.createDataFrame([], struct_of(t))
             for t in tables
         }
 
+    def read_days(self, table: str) -> DataFrame:
+        """An event history with the day each row is kept under; filters on it prune folders."""
+        return self._by_day(table, self.paths())
+
+    def _by_day(self, table: str, paths: Mapping[str, str]) -> DataFrame:
+        days = [path for name, path in paths.items() if name.startswith(f"{table}/")]
+        if not days:
+            empty = self.spark.createDataFrame([], struct_of(table))
+            return empty.withColumn(DAY, F.lit(None).cast("date"))
+        found = self.spark.read.option("basePath", f"{self.root}/{table}").parquet(*days).drop(LOAD)
+        if found.schema[DAY].dataType.typeName() != "date":  # only rows without a date
+            found = found.withColumn(DAY, F.col(DAY).cast("date"))
+        return found
+
     def read(self, table: str, commit: int | None = None) -> DataFrame:
         return self.read_all([table], commit)[table]
 
-    def stage(
-        self, table: str, df: DataFrame, attempt: str, partition_by: Sequence[str] = ()
-    ) -> str:
+    def stage(self, table: str, df: DataFrame, attempt: str) -> str:
         """Write a version that is not current yet; ``attempt`` keeps runs apart."""
         path = f"{self.root}/{table}/{attempt}"
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        df.write.mode("overwrite").parquet(path)
         return path
 
+    def stage_days(
+        self, table: str, df: DataFrame, attempt: str, days: Mapping[date | None, bool]
+    ) -> dict[str, str]:
+        """Write the days for which ``days`` holds true; log entries for these and the dropped rest.
+
+        ``df`` carries the day of each row. A large day is spread over several tasks and files.
+        """
+        root = f"{self.root}/{table}/{LOAD}={attempt}"
+        if any(days.values()):
+            spread = df.hint("rebalance", F.col(DAY))
+            spread.write.mode("overwrite").partitionBy(DAY).parquet(root)
+        names = {day: f"{DAY}={NO_DAY if day is None else day.isoformat()}" for day in days}
+        return {f"{table}/{names[d]}": f"{root}/{names[d]}" if kept else GONE for d, kept in days.items()}
+
     def commit(self, paths: Mapping[str, str], tag: str = "", number: int | None = None) -> int:
         """Make staged versions current, all in one append."""
         number = number or self.last_commit() + 1
@@ -77,5 +115,17 @@ class Snapshots:
     def write(self, tables: Mapping[str, DataFrame], tag: str = "") -> int:
         """Stage and commit."""
         number = self.last_commit() + 1
-        paths = {t: self.stage(t, df, f"v{number:08d}") for t, df in tables.items()}
+        paths: dict[str, str] = {}
+        for table, df in tables.items():
+            if table in EVENT_TIMES:
+                paths |= self._all_days(table, df, f"v{number:08d}")
+            else:
+                paths[table] = self.stage(table, df, f"v{number:08d}")
         return self.commit(paths, tag, number)
+
+    def _all_days(self, table: str, df: DataFrame, attempt: str) -> dict[str, str]:
+        dated = df.withColumn(DAY, F.to_date(EVENT_TIMES[table]))
+        before = self.read_days(table).select(DAY).distinct().collect()
+        now = dated.select(DAY).distinct().collect()
+        days = {row[DAY]: False for row in before} | {row[DAY]: True for row in now}
+        return self.stage_days(table, dated, attempt, days)

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fleetmart.operators.events import ALERT_DAYS, MAINTENANCE_DAYS
 from fleetmart.plans import inventory as I
+from fleetmart.plans.histories import stage_load
 from fleetmart.sources.snapshots import Snapshots
 
 Plan = Callable[[DataFrame, DataFrame], DataFrame]
@@ -20,18 +21,20 @@ def start_upsert(
 ) -> StreamingQuery:
     """Feed every micro-batch into a history, then stop when the input is used up.
 
-    Each batch becomes one snapshot version. A batch that is delivered again after a failure finds
+    Each batch becomes one commit and writes the days it changes only. A batch that is delivered again after a failure finds
     its tag in the commit log and is skipped, so each one counts once.
     """
 
-    def load(batch: DataFrame, batch_id: int) -> None:
+    def upsert(batch: DataFrame, batch_id: int) -> None:
         tag = f"{checkpoint}#{batch_id}"
         if store.has_tag(tag):
             return
-        store.write({table: I.kept_rows(plan(store.read(table), batch))}, tag=tag)
+        number = store.last_commit() + 1
+        load = stage_load(store, table, lambda old: plan(old, batch), f"v{number:08d}")
+        store.commit(load.paths, tag, number)
 
     return (
-        stream.writeStream.foreachBatch(load)
+        stream.writeStream.foreachBatch(upsert)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

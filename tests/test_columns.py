@@ -66,7 +66,8 @@ def test_paths(spark):
     assert apply(spark, "a;b", X.entity_path) == "a.b"
     assert apply(spark, "16.0;m;db", X.database_path) == "16.0:m:db"
     assert apply(spark, "a." * 200, X.build_path) == ("a." * 125)
-    assert len(apply(spark, "T:" + "x" * 400, X.entity_path)) == 255
+    assert len(apply(spark, "T:" + "x" * 400, lambda c: X.entity_path(c, 255))) == 255
+    assert len(apply(spark, "T:" + "x" * 400, X.entity_path)) == 400
 
 
 def test_codes(spark):

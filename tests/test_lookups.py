@@ -35,7 +35,7 @@ def test_containment(spark, side):
 
 
 def test_containment_with_wildcards(spark):
-    values = ["o_k", "%", "o[a-c]k", "f%r.t", "o[a", "", "oak", "x_y"]
+    values = ["o_k", "%", "o[a-c]k", "f%r.t", "o[a", "", "oak", "x_y", "_%_", "_" * 300, "[o]"]
     found = domain_lookup(spark, values, like=True)
     elm, oak = ("Elm Foods Ltd", "Elm"), ("Oak Mills Ltd", "Oak")
     assert found == {
@@ -47,6 +47,9 @@ def test_containment_with_wildcards(spark):
         "": elm,
         "oak": oak,
         "x_y": (None, None),
+        "_%_": elm,
+        "[o]": elm,
+        "_" * 300: (None, None),
     }
 
 

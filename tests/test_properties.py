@@ -17,7 +17,7 @@ def history(spark, *texts):
 
 
 def shredded(spark, *texts):
-    found = P.shred(history(spark, *texts)).collect()
+    found = P.shred(history(spark, *texts), 100).collect()
     return sorted((r.ManagedEntityRowId, r.PropertyGuid, r.PropertyValue) for r in found)
 
 

@@ -1,11 +1,15 @@
-from datetime import datetime, timedelta
+import re
+from datetime import date, datetime, timedelta
 
 import fixtures
 import pytest
+from pyspark.sql import functions as F
 
 from fleetmart.plans import derived as D
+from fleetmart.plans import inventory as I
 from fleetmart.plans import refresh as R
 from fleetmart.plans import views
+from fleetmart.plans.histories import of_days, stage_load
 from fleetmart.sources.snapshots import Snapshots
 from fleetmart.streaming import upserts
 
@@ -146,3 +150,46 @@ def test_batch_delivered_twice_counts_once(spark, tmp_path):
     stream = spark.readStream.schema(base.schema).parquet(f"{tmp_path}/feed")
     upserts.stream_alerts(stream, store, known, NOW, f"{tmp_path}/progress").awaitTermination()
     assert store.read("AlertHistory").isEmpty()
+
+
+def test_a_load_writes_the_days_it_changes(spark, tmp_path, rows):
+    """Other days keep their files, purged days go, rows without a date have a part of their own."""
+    store = Snapshots(spark, f"{tmp_path}/state")
+    old = spark.sql(
+        """SELECT id AS ID, concat('A-', id) AS AlertGuid, 1L AS ManagedEntityRowId, 'c' AS Category,
+                  'd' AS DisplayName, 'n' AS Alertname, CAST(NULL AS STRING) AS AlertDescription,
+                  CASE WHEN id < 40 THEN timestamp_ntz'2030-01-01 08:00:00' + make_dt_interval(CAST(id % 4 AS INT)) END
+                      AS RaisedDateTime,
+                  'old' AS Severity, 'old' AS Priority, 1 AS RepeatCount,
+                  timestamp_ntz'2030-01-05' AS Imported
+           FROM range(1, 50)"""
+    )
+    store.write({"AlertHistory": old})
+    before = store.paths()
+    assert len(before) == 5
+    assert rows(store.read("AlertHistory")) == rows(old)
+    source = old.where("ID IN (5, 45)").withColumn("RepeatCount", F.lit(9)).unionByName(
+        old.where("ID = 3").withColumns(
+            {"AlertGuid": F.lit("B-1"), "RaisedDateTime": F.expr("timestamp_ntz'2030-02-01'")}
+        )
+    ).drop("ID", "Imported")
+    as_of = datetime(2030, 3, 1)
+
+    def plan(history):
+        return I.plan_alerts(history, source, as_of, days=58)  # from 2 January on
+
+    load = stage_load(store, "AlertHistory", plan, "v00000002")
+    assert load.metrics == {"imported": 2, "deleted": 9}
+    store.commit(load.paths)
+    after = store.paths()
+    day = "AlertHistory/_day="
+    assert f"{day}2030-01-01" in before and f"{day}2030-01-01" not in after
+    assert {d for d in after if after[d] != before.get(d)} == {f"{day}2030-01-02", f"{day}2030-02-01"}
+    history = store.read("AlertHistory")
+    assert history.where("AlertGuid = 'A-5'").first().RepeatCount == 9
+    assert history.agg(F.count("*"), F.countDistinct("ID"), F.max("ID")).first() == (41, 41, 50)
+    pruned = of_days(store.read_days("AlertHistory"), [date(2030, 1, 3), None])
+    assert re.search(r"PartitionFilters: \[[^\]]*_day", pruned._jdf.queryExecution().toString())
+    assert pruned.count() == 20
+    store.write({"AlertHistory": old.where("ID = 45")})
+    assert rows(store.read("AlertHistory")) == rows(old.where("ID = 45"))
