@@ -5,8 +5,9 @@ host's pages into one template: nodes that simple tree matching aligns become on
 it, the text it holds if that never varies, and the amount of text. The templates of the tasks are merged in the
 same way, first in parts and then per host, so all pages are used and no group of pages is gathered. In a
 host's template, nodes whose text is the same on all of ``SUPPORT`` pages or more are its frame; of the varying ones,
-that with most of the text becomes the content. A page is then aligned with its host's wrapper, and the text below the
-content node is taken, without frame nodes and without blocks that are named as menus, adverts and the like.
+that with most of the text becomes the content. A page is then aligned with its host's wrapper, and its text is taken
+in page order, without frame nodes, without what never varies beside the content node and the nodes around it, and
+without blocks that are named as menus, adverts and the like. What varies beside the content node stays.
 
 Defined results: a NULL or empty html, and one without text, give an empty text; a NULL or unreadable URL counts
 as a host of its own; a page that has no node where its host's wrapper puts the content is taken as its own template;
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 #: Pages on which a text must be the same to belong to the frame.
 SUPPORT = 5
-#: Share of the text that a node must hold for its parent to be passed by.
+#: Share of the varying text that a node must hold for what never varies beside it to be left out.
 DOMINANT = 0.6
 #: Elements nested more deeply are not told apart from what surrounds them; their text is kept.
 DEPTH = 150
@@ -212,7 +213,7 @@ def varying(t: dict) -> int:
 
 
 def induce(t: dict) -> dict:
-    """The wrapper of a template: the nodes down to the content node, and the tree with frame nodes marked.
+    """The wrapper of a template: its tree, with the content node, frame nodes and nodes with frame text marked.
 
     From the root, the child with most of the varying text is entered as long as it holds ``DOMINANT`` of it and isn't
     a paragraph or the like; an article or main element that holds that much ends the descent.
@@ -227,34 +228,34 @@ def induce(t: dict) -> dict:
         path.append(best)
         node = child
 
-    def shape(x: dict) -> dict:
+    def shape(x: dict, path: list[int] | None, beside: bool = False) -> dict:
         # Plain headings and paragraphs may agree by chance, as in copies; a named or other block doesn't.
-        frame = x["check"] and x["pages"] >= SUPPORT and x["key"] not in TEXTUAL
-        return {"key": x["key"], "frame": bool(frame), "kids": [shape(k) for k in x["kids"]]}
+        same = bool(x["check"] and x["pages"] >= SUPPORT and x["key"] not in TEXTUAL)
+        still = (same or beside) and not varying(x)
+        kids = [shape(k, path[1:] if path and i == path[0] else None, bool(path) and i != path[0]) for i, k in enumerate(x["kids"])]
+        return {"key": x["key"], "frame": still, "mute": same and not still, "content": path == [], "kids": kids}
 
-    return {"path": path, "tree": shape(t), "varies": bool(varying(node))}
+    return {"tree": shape(t, path), "varies": bool(varying(node))}
 
 
 def extract(page: str, wrapper: dict | None) -> str:
     """The page's blocks of content, joined by line ends."""
     group = Group("html", [parse(page)])
+    known = wrapper is not None
     if wrapper is None:
         wrapper = induce(group.template())
-    content, part = group, wrapper["tree"]
-    for step in wrapper["path"]:
-        part, content = next((pair for pair in aligned(part["kids"], content.kids) if pair[0] is part["kids"][step]), (None, None))
-        if content is None:
-            return extract(page, None)
     frame: set[int] = set()
+    mute: set[int] = set()
 
-    def mark(x: dict, g: Group) -> None:
-        for a, b in aligned(x["kids"], g.kids):
-            if a and b:
-                if a["frame"] and wrapper["varies"]:
-                    frame.update(map(id, b.nodes))
-                mark(a, b)
+    def mark(x: dict, g: Group) -> bool:
+        """Whether the content node was met."""
+        if wrapper["varies"] and (x["frame"] or x["mute"]):
+            (frame if x["frame"] else mute).update(map(id, g.nodes))
+        met = [mark(a, b) for a, b in aligned(x["kids"], g.kids) if a and b]
+        return x["content"] or any(met)
 
-    mark(part, content)
+    if not mark(wrapper["tree"], group) and known:
+        return extract(page, None)
     out: list[str] = []
     held: list[str] = []
 
@@ -266,7 +267,8 @@ def extract(page: str, wrapper: dict | None) -> str:
     def walk(node: Node) -> None:
         for child in node.children:
             if isinstance(child, str):
-                held.append(child)
+                if id(node) not in mute:
+                    held.append(child)
             elif child.skipped and child.tag in INLINE:
                 continue
             else:
@@ -275,7 +277,7 @@ def extract(page: str, wrapper: dict | None) -> str:
                     walk(child)
                     flush()
 
-    for node in content.nodes:
+    for node in group.nodes:
         walk(node)
         flush()
     return "\n".join(out)

@@ -43,6 +43,31 @@ def test_frame_and_slots():
     assert wrappers.extract("<p>other page</p>", wrapper) == "other page"
 
 
+def wrapper_of(pages):
+    whole = None
+    for page in pages:
+        t = wrappers.Group("html", [wrappers.parse(page)]).template()
+        whole = wrappers.merge(whole, t) if whole else t
+    return wrappers.induce(whole)
+
+
+@pytest.mark.parametrize("page", [
+    "<ul><li>Home<li>About</ul><div id=content>{same}<h1>Title {i}</h1><div class=body><p>{long}</p></div></div><div><p>Imprint</p></div>",
+    "<h1>Title {i}</h1><div>{same}<article><p>{long}</p></article></div>",
+    "<div class=first><h1>Title {i}</h1><p>{long}</p></div><ol>{same}<li>one<li>two</ol><div class=second><p>{more}</p></div>",
+    "<section>Title {i}<div class=by>{same}<p>{more}</p></div><div><p>{long}</p></div></section>",
+])
+def test_what_varies_beside_the_content_stays(page):
+    """A headline beside the body, an article over two blocks, own text around them; the frame goes."""
+    fill = lambda i: {"i": i, "same": "Our site", "long": f"text w{i} " * 65, "more": f"rest v{i} " * 35}
+    pages = [page.format(**fill(i)) for i in range(8)]
+    wrapper = wrapper_of(pages)
+    for i in range(8):
+        parts = sorted((page.find("{" + name + "}"), name) for name in ("i", "long", "more") if "{" + name + "}" in page)
+        text = [f"Title {i}" if name == "i" else fill(i)[name].strip() for _, name in parts]
+        assert wrappers.extract(pages[i], wrapper) == "\n".join(text)
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None), (2, "not a url", "<p>a</p>"), (2, "not a url", "<p>a</p>"), (None, "http://h/x", ""),
             (3, "http://h/y", "<div>" * 30000 + "deep" + "</div>" * 30000), (4, "http://h/z", "<p>w</p>" * 20000)]
