@@ -7,7 +7,9 @@ same way, first in parts and then per host, so all pages are used and no group o
 host's template, nodes whose text is the same on all of ``SUPPORT`` pages or more are its frame; of the varying ones,
 that with most of the text becomes the content. A page is then aligned with its host's wrapper, and its text is taken
 in page order, without frame nodes, without what never varies beside the content node and the nodes around it, and
-without blocks that are named as menus, adverts and the like. What varies beside the content node stays.
+without blocks that are named as menus, adverts and the like. What varies beside the content node stays. A name is a
+whole class, id or role without digits, ``-`` and ``_``, and rules no article or main element. A named block that holds
+most of its page's text besides frame stays, unless an article or main element outside of named blocks has text.
 
 Defined results: a NULL or empty html, and one without text, give an empty text; a NULL or unreadable URL counts
 as a host of its own; a page that has no node where its host's wrapper puts the content is taken as its own template;
@@ -54,6 +56,9 @@ WORDS = frozenset(
     "gdpr notice alert popup modal overlay subscribe newsletter signup login search share sharing social comment comments "
     "disqus replies reply respond related recommended pagination pager widget toolbar skip".split()
 )
+WHOLE = frozenset("article main".split())
+#: Begins the key of a named block, and no tag.
+NAMED = "!"
 TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 li pre blockquote td th dt dd figcaption caption".split())
 CLOSES = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
@@ -67,20 +72,25 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
-_WORD = re.compile(r"[a-z]+")
 _DIGITS = re.compile(r"[\d_-]+")
 
 
 class Node:
-    """An element that is a block, or an inline one that is to be left out. Children are nodes and texts."""
+    """An element that is a block, or an inline one that may be left out. Children are nodes and texts.
 
-    __slots__ = ("tag", "key", "children", "skipped")
+    ``skipped`` ones always are; ``named`` ones are by their class, id or role, which their key shows.
+    """
+
+    __slots__ = ("tag", "key", "children", "skipped", "named")
 
     def __init__(self, tag: str, attributes: str = ""):
         names = [] if not attributes else [(a.lower(), v.strip("\"'")) for a, v in _ATTRIBUTE.findall(attributes)]
         self.tag = tag
         self.key = ".".join([tag, *sorted(_DIGITS.sub("", v).lower() for a, v in names if a != "role")])
-        self.skipped = tag in NEVER or any(w in WORDS for _, v in names for w in _WORD.findall(v.lower()))
+        self.skipped = tag in NEVER
+        self.named = tag not in WHOLE and any(w in WORDS for _, v in names for w in _DIGITS.sub("", v).lower().split())
+        if self.named:
+            self.key = NAMED + self.key
         self.children: list[Node | str] = []
 
 
@@ -105,9 +115,10 @@ def parse(page: str) -> Node:
             if tag in INLINE:
                 if tag == "br":
                     stack[-1].children.append(" ")
-                elif attributes != ">" and tag not in VOID and (node := Node(tag, attributes)).skipped:
+                elif attributes != ">" and tag not in VOID and (node := Node(tag, attributes)).named:
                     stack[-1].children.append(node)
-                    stack.append(node)
+                    if len(stack) < DEPTH or not stack[-1].named:
+                        stack.append(node)
                 continue
             for i in range(len(stack) - 1, 0, -1):  # a block ends a paragraph, and some end their like
                 if stack[i].tag == "p" or stack[i].tag in CLOSES.get(tag, ()):
@@ -117,7 +128,9 @@ def parse(page: str) -> Node:
                     break
             node = Node(tag, attributes)
             stack[-1].children.append(node)
-            if tag not in VOID and not attributes.endswith("/>") and (len(stack) < DEPTH or node.skipped):
+            if tag not in VOID and not attributes.endswith("/>") and (
+                len(stack) < DEPTH or node.skipped or node.named and not stack[-1].named
+            ):
                 stack.append(node)
         elif closing:
             tag = closing.lower()
@@ -206,24 +219,28 @@ def merge(a: dict, b: dict) -> dict:
     }
 
 
-def varying(t: dict) -> int:
-    """Amount of text below a node, without what is the same on all of its pages."""
+def varying(t: dict, named: bool = True) -> int:
+    """Amount of text below a node, without what is the same on all of its pages, and with named blocks or without."""
+    if not named and t["key"].startswith(NAMED):
+        return 0
     own = 0 if t["check"] is not None and t["pages"] >= SUPPORT else t["size"]
-    return own + sum(map(varying, t["kids"]))
+    return own + sum(varying(k, named) for k in t["kids"])
 
 
 def induce(t: dict) -> dict:
     """The wrapper of a template: its tree, with the content node, frame nodes and nodes with frame text marked.
 
     From the root, the child with most of the varying text is entered as long as it holds ``DOMINANT`` of it and isn't
-    a paragraph or the like; an article or main element that holds that much ends the descent.
+    a paragraph or the like; an article or main element that holds that much ends the descent. Named blocks do not
+    count, unless nothing else varies.
     """
+    named = not varying(t, False)
     path, node = [], t
-    while node["kids"] and node["key"].split(".")[0] not in ("article", "main"):
-        all_text = varying(node)
-        best = max(range(len(node["kids"])), key=lambda i: varying(node["kids"][i]))
+    while node["kids"] and node["key"].split(".")[0] not in WHOLE:
+        all_text = varying(node, named)
+        best = max(range(len(node["kids"])), key=lambda i: varying(node["kids"][i], named))
         child = node["kids"][best]
-        if child["key"].split(".")[0] in TEXTUAL or varying(child) < DOMINANT * all_text or not all_text:
+        if child["key"].split(".")[0] in TEXTUAL or varying(child, named) < DOMINANT * all_text or not all_text:
             break
         path.append(best)
         node = child
@@ -235,7 +252,32 @@ def induce(t: dict) -> dict:
         kids = [shape(k, path[1:] if path and i == path[0] else None, bool(path) and i != path[0]) for i, k in enumerate(x["kids"])]
         return {"key": x["key"], "frame": still, "mute": same and not still, "content": path == [], "kids": kids}
 
-    return {"tree": shape(t, path), "varies": bool(varying(node))}
+    return {"tree": shape(t, path), "varies": bool(varying(t))}
+
+
+def _left_out(root: Node, frame: set[int], mute: set[int]) -> set[int]:
+    """Frame nodes, and the named blocks of a page that go. ``mute`` are nodes whose own text is frame."""
+    sizes: list[tuple[Node, int, bool]] = []
+    outside = False
+
+    def weigh(node: Node, inside: bool) -> tuple[int, bool]:
+        """Amount of text, and whether an article or main element has some of it."""
+        nonlocal outside
+        size, whole = 0, False
+        for child in node.children:
+            if isinstance(child, str):
+                size += 0 if id(node) in mute else len(clean(child))
+            elif not child.skipped and id(child) not in frame:
+                more, held = weigh(child, inside or node.named)
+                size, whole = size + more, whole or held
+        whole = whole or node.tag in WHOLE and size > 0
+        outside = outside or whole and not (inside or node.named)
+        if node.named:
+            sizes.append((node, size, whole))
+        return size, whole
+
+    total, _ = weigh(root, False)
+    return frame | {id(n) for n, size, whole in sizes if 2 * size <= total or outside and not whole}
 
 
 def extract(page: str, wrapper: dict | None) -> str:
@@ -256,6 +298,7 @@ def extract(page: str, wrapper: dict | None) -> str:
 
     if not mark(wrapper["tree"], group) and known:
         return extract(page, None)
+    gone = _left_out(group.nodes[0], frame, mute)
     out: list[str] = []
     held: list[str] = []
 
@@ -269,11 +312,12 @@ def extract(page: str, wrapper: dict | None) -> str:
             if isinstance(child, str):
                 if id(node) not in mute:
                     held.append(child)
-            elif child.skipped and child.tag in INLINE:
-                continue
+            elif child.tag in INLINE:
+                if id(child) not in gone:
+                    walk(child)
             else:
                 flush()
-                if not child.skipped and id(child) not in frame:
+                if not child.skipped and id(child) not in gone:
                     walk(child)
                     flush()
 

@@ -68,6 +68,29 @@ def test_what_varies_beside_the_content_stays(page):
         assert wrappers.extract(pages[i], wrapper) == "\n".join(text)
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<article class='post has-sidebar'><p>long text</p></article><div class=ad>no</div>", "long text"),
+    ("<article class=ad><p>a</p></article><div class=comments><p>a longer comment</p></div>", "a"),
+    ("<div id='content' class='no-comments'><p>a</p></div><p>other words</p>", "a\nother words"),
+    ("<main class='with-banner' role=main><p>long text</p></main>", "long text"),
+    ("<div id='search-results'><p>long text</p></div><div id=search><p>no</p></div>", "long text"),
+    ("<div class=search><p>long text here</p><div class='share-2'>no</div></div><p>b</p>", "long text here\nb"),
+    ("<div class=modal><main><p>long text</p></main></div><div class=promo><article>no</article></div>", "long text"),
+    ("<p>long text <span class=share>no</span>here</p><div role=alert>no</div>", "long text here"),
+    ("<div class=notice>Gone</div>", "Gone"), ("<div class=ad>" * 30000 + "deep", "deep"), ("<i class=ad>" * 30000 + "deep", "deep"),
+])
+def test_names_rule_small_blocks(page, text):
+    assert one(page) == text
+
+
+def test_named_block_among_other_pages():
+    """One page of a host is a list of results, the others have a search box of the same name."""
+    pages = [f"<p>Our site</p><div class=body><p>{f'text w{i} ' * 20}</p></div><div class=search><p>box {i}</p></div>" for i in range(8)]
+    pages.append("<p>Our site</p><div class=body></div><div class=search><p>results</p></div>")
+    wrapper = wrapper_of(pages)
+    assert [wrappers.extract(p, wrapper) for p in pages] == [f"text w{i} " * 19 + f"text w{i}" for i in range(8)] + ["results"]
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None), (2, "not a url", "<p>a</p>"), (2, "not a url", "<p>a</p>"), (None, "http://h/x", ""),
             (3, "http://h/y", "<div>" * 30000 + "deep" + "</div>" * 30000), (4, "http://h/z", "<p>w</p>" * 20000)]
