@@ -4,7 +4,8 @@ Each page is parsed to a tree of blocks; same-named siblings count as one node.
 host's pages into one template: nodes that simple tree matching aligns become one, with the number of pages that have
 it, the text it holds if that never varies, and the amount of text. The templates of the tasks are merged in the
 same way, first in parts and then per host, so all pages are used and no group of pages is gathered. In a
-host's template, nodes whose text is the same on all of ``SUPPORT`` pages or more are its frame; of the varying ones,
+host's template, nodes whose text is the same on all pages that have them are its frame, if those are ``SUPPORT`` or
+more different pages and a ``SHARE`` of the host's; copies of a page, with the same text, count once. Of the varying ones,
 that with most of the text becomes the content. A page is then aligned with its host's wrapper, and its text is taken
 in page order, without frame nodes, without what never varies beside the content node and the nodes around it, and
 without blocks that are named as menus, adverts and the like. What varies beside the content node stays. A name is a
@@ -27,11 +28,15 @@ from zlib import crc32
 
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Pages on which a text must be the same to belong to the frame.
+#: Different pages on which a text must be the same to belong to the frame, and their share of the host's.
 SUPPORT = 5
+SHARE = 0.2
+#: Digests of different pages that a node keeps, the least: all of so many, or else an even sample that shows the share.
+SAMPLE = 64
 #: Share of the varying text that a node must hold for what never varies beside it to be left out.
 DOMINANT = 0.6
 #: Elements nested more deeply are not told apart from what surrounds them; their text is kept.
@@ -161,11 +166,24 @@ class Group:
                     same.setdefault(child.key, []).append(child)
         self.kids = [Group(k, n) for k, n in same.items()]
 
-    def template(self) -> dict:
-        """A template of one page: key, pages, check (of the own text, None if it varies), size and kids."""
+    def template(self, seen: list[int] | None = None) -> dict:
+        """A template of one page: key, pages, seen (digests of different pages), check (of the own text, None if it
+        varies), size and kids."""
         own = clean(" ".join(c for n in self.nodes for c in n.children if isinstance(c, str)))
-        return {"key": self.key, "pages": 1, "check": crc32(own.encode()) if own else 0, "size": len(own),
-                "kids": [k.template() for k in self.kids]}
+        shared = [] if seen is None else seen
+        out = {"key": self.key, "pages": 1, "seen": shared, "check": crc32(own.encode()) if own else 0, "size": len(own),
+               "kids": [k.template(shared) for k in self.kids]}
+        if seen is None:
+            shared.append(xxhash.xxh32_intdigest(repr(list(_checks(out)))))
+        return out
+
+
+def _checks(t: dict) -> Iterator[int]:
+    """What tells the text of a page from others."""
+    if t["check"]:
+        yield t["check"]
+    for k in t["kids"]:
+        yield from _checks(k)
 
 
 def _kids(x) -> list:
@@ -210,21 +228,40 @@ def aligned(left: list, right: list) -> list[tuple]:
     return out[::-1]
 
 
+def _sampled(a: list[int], b: list[int]) -> list[int]:
+    if a == b or len(a) == SAMPLE and b[0] > a[-1]:
+        return a
+    return sorted({*a, *b})[:SAMPLE]
+
+
 def merge(a: dict, b: dict) -> dict:
     """The template of all pages of two templates whose roots match."""
     return {
-        "key": a["key"], "pages": a["pages"] + b["pages"], "check": a["check"] if a["check"] == b["check"] else None,
+        "key": a["key"], "pages": a["pages"] + b["pages"], "seen": _sampled(a["seen"], b["seen"]), "check": a["check"] if a["check"] == b["check"] else None,
         "size": a["size"] + b["size"],
         "kids": [merge(x, y) if x and y else x or y for x, y in aligned(a["kids"], b["kids"])],
     }
 
 
-def varying(t: dict, named: bool = True) -> int:
-    """Amount of text below a node, without what is the same on all of its pages, and with named blocks or without."""
+def unvarying(t: dict) -> set[int]:
+    """The nodes of a host's template whose own text is the same on enough different pages."""
+    whole, out = set(t["seen"]), set()
+
+    def look(x: dict) -> None:
+        if x["check"] is not None and len(x["seen"]) >= SUPPORT and len(whole.intersection(x["seen"])) >= SHARE * len(whole):
+            out.add(id(x))
+        for k in x["kids"]:
+            look(k)
+
+    look(t)
+    return out
+
+
+def varying(t: dict, same: set[int], named: bool = True) -> int:
+    """Amount of text below a node, without the own text of the nodes in ``same``, and with named blocks or without."""
     if not named and t["key"].startswith(NAMED):
         return 0
-    own = 0 if t["check"] is not None and t["pages"] >= SUPPORT else t["size"]
-    return own + sum(varying(k, named) for k in t["kids"])
+    return (0 if id(t) in same else t["size"]) + sum(varying(k, same, named) for k in t["kids"])
 
 
 def induce(t: dict) -> dict:
@@ -234,25 +271,26 @@ def induce(t: dict) -> dict:
     a paragraph or the like; an article or main element that holds that much ends the descent. Named blocks do not
     count, unless nothing else varies.
     """
-    named = not varying(t, False)
+    same = unvarying(t)
+    named = not varying(t, same, False)
     path, node = [], t
     while node["kids"] and node["key"].split(".")[0] not in WHOLE:
-        all_text = varying(node, named)
-        best = max(range(len(node["kids"])), key=lambda i: varying(node["kids"][i], named))
+        all_text = varying(node, same, named)
+        best = max(range(len(node["kids"])), key=lambda i: varying(node["kids"][i], same, named))
         child = node["kids"][best]
-        if child["key"].split(".")[0] in TEXTUAL or varying(child, named) < DOMINANT * all_text or not all_text:
+        if child["key"].split(".")[0] in TEXTUAL or varying(child, same, named) < DOMINANT * all_text or not all_text:
             break
         path.append(best)
         node = child
 
     def shape(x: dict, path: list[int] | None, beside: bool = False) -> dict:
         # Plain headings and paragraphs may agree by chance, as in copies; a named or other block doesn't.
-        same = bool(x["check"] and x["pages"] >= SUPPORT and x["key"] not in TEXTUAL)
-        still = (same or beside) and not varying(x)
+        own = bool(x["check"] and id(x) in same and x["key"] not in TEXTUAL)
+        still = (own or beside) and not varying(x, same)
         kids = [shape(k, path[1:] if path and i == path[0] else None, bool(path) and i != path[0]) for i, k in enumerate(x["kids"])]
-        return {"key": x["key"], "frame": still, "mute": same and not still, "content": path == [], "kids": kids}
+        return {"key": x["key"], "frame": still, "mute": own and not still, "content": path == [], "kids": kids}
 
-    return {"tree": shape(t, path), "varies": bool(varying(t))}
+    return {"tree": shape(t, path), "varies": bool(varying(t, same))}
 
 
 def _left_out(root: Node, frame: set[int], mute: set[int]) -> set[int]:

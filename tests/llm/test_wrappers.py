@@ -91,6 +91,20 @@ def test_named_block_among_other_pages():
     assert [wrappers.extract(p, wrapper) for p in pages] == [f"text w{i} " * 19 + f"text w{i}" for i in range(8)] + ["results"]
 
 
+def test_copies_are_no_support():
+    """Copies of one page, among others and alone, and a few changed copies on a large host lose nothing."""
+    other = lambda i: f"<div class=top>Our site</div><div class=body><p>{f'text w{i} ' * 20}</p></div>"
+    copy = lambda d: f"<div class=top>Our site</div><div class=body><div class=lead>In short</div><p>{'copy ' * 20}</p>{d}</div>"
+    text = "In short\n" + "copy " * 19 + "copy"
+    wrapper = wrapper_of([other(i) for i in range(20)] + [copy("")] * 40)
+    assert wrappers.extract(copy(""), wrapper) == text
+    assert wrappers.extract(other(3), wrapper) == "text w3 " * 19 + "text w3"
+    assert wrappers.extract(copy(""), wrapper_of([copy("")] * 9)) == "Our site\n" + text
+    changed = [copy(f"<p>{i}</p>") for i in range(6)]
+    wrapper = wrapper_of([other(i) for i in range(300)] + changed * 3)
+    assert wrappers.extract(changed[2], wrapper) == text + "\n2"
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None), (2, "not a url", "<p>a</p>"), (2, "not a url", "<p>a</p>"), (None, "http://h/x", ""),
             (3, "http://h/y", "<div>" * 30000 + "deep" + "</div>" * 30000), (4, "http://h/z", "<p>w</p>" * 20000)]
