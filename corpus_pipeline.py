@@ -11,10 +11,13 @@ from fleetmart.llm.base import shared_folder, ship, staged, table
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts in which no language can be told, as they are NULL or hold no letter, go."""
+    """Texts in which no language can be told, as they are NULL or hold no letter, go, and no others do. A NULL ``lang``
+    becomes the language that the model tells, and stays NULL if nothing could be learned."""
     ship(spark)
     model = language.fit(docs.where(~language.held_out()))
-    return language.scored(docs, model).where(F.col("p.lang_pred") != language.UNKNOWN).select("row.*")
+    found = language.scored(docs, model).where("p.letters")
+    told = F.when(F.col("p.lang_pred") != language.UNKNOWN, F.col("p.lang_pred")).cast(docs.schema["lang"].dataType)
+    return found.select("row.*", told.alias("_told")).withColumn("lang", F.coalesce("lang", "_told")).select(*docs.columns)
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -136,6 +136,11 @@ def fit(docs: DataFrame) -> Model:
 
 def scores(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
     """Language and its posterior probability for each text."""
+    return _scores(model, texts)[:2]
+
+
+def _scores(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """``scores``, and whether each text has a letter."""
     total = np.zeros((len(texts), len(model.languages)))
     letters = np.zeros(len(texts), np.int64)
     for points, owners in batches(texts):
@@ -146,25 +151,26 @@ def scores(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray
                 starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
                 total[own[starts]] += np.add.reduceat(model.matrix[buckets], starts, axis=0)
     if not model.languages:
-        return [UNKNOWN] * len(texts), np.zeros(len(texts))
+        return [UNKNOWN] * len(texts), np.zeros(len(texts)), letters > 0
     total += model.prior
     best = total.argmax(axis=1)
     share = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
     known = letters > 0
-    return [model.languages[b] if k else UNKNOWN for b, k in zip(best, known)], np.where(known, share, 0.0)
+    return [model.languages[b] if k else UNKNOWN for b, k in zip(best, known)], np.where(known, share, 0.0), known
 
 
 def scorer(model: Model, spark) -> Column:
-    """A function of a text column: struct of lang_pred and score."""
+    """A function of a text column: struct of lang_pred, score and letters (whether there is one). It is called
+    nondeterministic so that a filter on its result does not compute it twice."""
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, letters boolean")
     def predict_language(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for part in texts:
-            lang, score = scores(shared.value, part.astype(object).where(part.notna(), None).to_list())
-            yield pd.DataFrame({"lang_pred": lang, "score": score})
+            lang, score, letters = _scores(shared.value, part.astype(object).where(part.notna(), None).to_list())
+            yield pd.DataFrame({"lang_pred": lang, "score": score, "letters": letters})
 
-    return predict_language
+    return predict_language.asNondeterministic()
 
 
 def held_out() -> Column:
@@ -173,7 +179,7 @@ def held_out() -> Column:
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """row, a struct of all columns of ``docs``, and p, a struct of lang_pred and score."""
+    """row, a struct of all columns of ``docs``, and p, a struct of lang_pred, score and letters."""
     predict = scorer(model, docs.sparkSession)
     return docs.select(F.struct(*docs.columns).alias("row"), predict("text").alias("p"))
 

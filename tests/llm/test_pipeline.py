@@ -34,6 +34,21 @@ def test_language_keeps_what_has_letters(stages):
     assert rows(stages[1]) == [r for r in rows(stages[0]) if re.search(r"[^\W\d_]", r[1] or "")]
 
 
+def test_language_of_unlabelled_texts(spark, given):
+    """Unlabelled corpora lose no text with letters; where some rows have labels, the others get the model's."""
+    texts = ["the cat sat on the mat", "le chat est sur la table", "12 !", None]
+    docs = spark.createDataFrame([(i, texts[i % 4]) for i in range(40)], "doc_id long, text string")
+    bare = docs.withColumn("lang", F.lit(None).cast("string"))
+    out = corpus_pipeline.known_language(spark, bare, given.folder)
+    assert sorted((r.doc_id, r.lang) for r in out.collect()) == [(i, None) for i in range(40) if i % 4 < 2]
+    right = F.when(F.col("doc_id") % 4 == 0, "und").when(F.col("doc_id") % 4 == 1, "fr")
+    some = docs.withColumn("lang", F.when(F.col("doc_id") < 30, right))
+    out = corpus_pipeline.known_language(spark, some, given.folder)
+    assert "".join(out._jdf.queryExecution().executedPlan().toString()).count("ArrowEvalPython") == 1
+    assert {(r.doc_id, r.lang) for r in out.collect()} == {
+        (i, None if i >= 30 and i % 4 == 0 else ["und", "fr"][i % 4]) for i in range(40) if i % 4 < 2}
+
+
 def test_toxic_go(stages, given):
     toxic = {r.doc_id for r in given.labels.where("toxic = 1").collect()}
     clean = {r.doc_id for r in given.labels.where("toxic = 0").collect()}
