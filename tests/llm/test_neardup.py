@@ -91,6 +91,16 @@ def test_buckets_meet_at_the_threshold():
     assert missed == 0 and far == 0
 
 
+def test_short_sets_are_linked_whatever_their_bits(spark):
+    """Three of four shingles: similarity 0.75, five buckets in common, and 197 of 1024 bits differ."""
+    words = [f"w3249x{i}" for i in range(8)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:7])), (3, "some other text of a few words")]
+    a, b = (neardup.bits(neardup.signature(neardup.shingles(t), neardup.BITS)) for _, t in rows[:2])
+    assert int(np.bitwise_count((a ^ b).view(np.uint64)).sum()) == 197 > neardup.MOST_BITS
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r.doc_id, r.component_id) for r in neardup.near_duplicates(docs).collect()} == {(1, 1), (2, 1), (3, 3)}
+
+
 def test_components(spark):
     path = [(i, i + 1) for i in range(60)] + [(100, 105), (105, 103), (7, 7), (200, 201), (201, 200)]
     out = {r.node: r.component for r in components(spark.createDataFrame(path, "u long, v long")).collect()}
