@@ -56,6 +56,9 @@ MOST_BITS = 192
 SHORT = 64
 #: Bands whose stars make the first round.
 FIRST_BANDS = 8
+#: Centres that one share of a bucket chooses. Spark cuts to so many before they are dealt out, as it is under
+#: spark.sql.optimizer.windowGroupLimitThreshold (1000).
+SHARE = 512
 #: Bits of the map of wanted texts, whatever their number: the more are wanted, the more others pass it, too.
 MAP_BITS = 1 << 23
 #: Rows of one class are spread over so many keys when they meet their component.
@@ -185,15 +188,14 @@ def _with_text_key(docs: DataFrame) -> DataFrame:
 def shared_buckets(rows: DataFrame) -> DataFrame:
     """bucket, class, ABOUT of all classes that share a bucket with another class.
 
-    Copies are put together before their buckets are spread out; a class that has neither a class before nor one
-    after it in a bucket is alone there.
+    Copies are put together before their buckets are spread out. The buckets with more than one class are found by
+    partial aggregates, so no task holds a whole bucket.
     """
     about = rows.where("class IS NOT NULL").groupBy("class").agg(
         F.first("buckets").alias("buckets"), F.first("n_shingles").alias("n"), F.first("bits").alias("bits"))
     each = about.select(F.explode("buckets").alias("bucket"), "class")
-    beside = Window.partitionBy("bucket").orderBy("class")
-    each = each.withColumns({"before": F.lag("class").over(beside), "after": F.lead("class").over(beside)})
-    members = each.where("before IS NOT NULL OR after IS NOT NULL").select("bucket", "class")
+    many = each.groupBy("bucket").agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a <> b")
+    members = each.join(many, "bucket", "left_semi")
     return members.join(about.select("class", "n", F.col("n").alias("most"), "bits", F.lit(None).cast("array<long>").alias("among")), "class")
 
 
@@ -232,14 +234,16 @@ def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _centres(held: DataFrame, count: int, at_random: bool) -> DataFrame:
-    """The ``count`` classes of each bucket that are compared with the others next."""
+    """The ``count`` classes of each bucket that are compared with the others next, some fewer where they are dealt
+    unevenly: where there are many, shares of a bucket choose theirs apart, so few that each task sends no more on."""
     order = [F.xxhash64("class", "bucket")]
     if not at_random:
         sizes = held.groupBy("bucket", "component").agg(F.count("*").alias("size"))
         held = held.join(sizes, ["bucket", "component"])
         order = [F.col("size"), *order]
-    ranked = held.withColumn("place", F.row_number().over(Window.partitionBy("bucket").orderBy(*order, "class")))
-    return ranked.where(F.col("place") <= count).select("bucket", "class", *ABOUT, "component")
+    share = F.pmod(F.xxhash64("class"), F.lit(max(1, count // SHARE)))
+    ranked = held.withColumn("place", F.row_number().over(Window.partitionBy("bucket", share).orderBy(*order, "class")))
+    return ranked.where(F.col("place") <= min(count, SHARE)).select("bucket", "class", *ABOUT, "component")
 
 
 def _pairs(centres: DataFrame, held: DataFrame) -> DataFrame:

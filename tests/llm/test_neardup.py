@@ -101,6 +101,22 @@ def test_short_sets_are_linked_whatever_their_bits(spark):
     assert {(r.doc_id, r.component_id) for r in neardup.near_duplicates(docs).collect()} == {(1, 1), (2, 1), (3, 3)}
 
 
+def test_no_task_sorts_a_bucket(spark):
+    """Shared buckets come from aggregates, and tasks cut to the centres before they deal out."""
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    rows = spark.sql("SELECT id AS class, 3L AS n_shingles, array(id, 1000L, 2000L + id DIV 2) AS buckets, array(0L) AS bits FROM range(9)")
+    shared = neardup.shared_buckets(rows)
+    assert "Window" not in plan(shared)
+    assert sorted((r.bucket, r["class"]) for r in shared.collect()) == sorted(
+        [(1000, i) for i in range(9)] + [(2000 + i // 2, i) for i in range(8)])
+    about = "3L AS n, 3L AS most, array(0L) AS bits, CAST(NULL AS array<long>) AS among, id AS component"
+    held = spark.sql(f"SELECT id % 2 AS bucket, id AS class, {about} FROM range(2000)")
+    for count in (1, 8, 512, 32768):
+        centres = neardup._centres(held, count, count == 1)
+        assert any("WindowGroupLimit" in line and "Partial" in line for line in plan(centres).splitlines())
+        assert {r.bucket: r["count"] for r in centres.groupBy("bucket").count().collect()} == dict.fromkeys((0, 1), min(count, 1000))
+
+
 def test_components(spark):
     path = [(i, i + 1) for i in range(60)] + [(100, 105), (105, 103), (7, 7), (200, 201), (201, 200)]
     out = {r.node: r.component for r in components(spark.createDataFrame(path, "u long, v long")).collect()}
