@@ -162,7 +162,7 @@ def _pieces(listed: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
 def _open(distinct: DataFrame, listed: DataFrame) -> DataFrame:
     """Texts of ``%`` and ``_`` alone ask for a least length only, so the longest domain of the
     whole list wins or nothing does: one row beside each of them, no join."""
-    first = listed.groupBy().agg(
+    first = listed.where("DomainDnsName IS NOT NULL").groupBy().agg(
         F.min(F.struct((-F.length("DomainDnsName")).alias("size"), "DomainId", "_text")).alias("_top")
     )
     top = first.select("_top").scalar()

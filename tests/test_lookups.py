@@ -1,5 +1,6 @@
 import fixtures
 import pytest
+from pyspark.sql import functions as F
 
 from fleetmart.operators import joins as J
 from fleetmart.operators import lookups as L
@@ -53,6 +54,14 @@ def test_containment_with_wildcards(spark):
     }
 
 
+def test_wildcards_beside_a_domain_without_name(spark):
+    listed = fixtures.lookups(spark).domain_names()
+    nameless = listed.limit(1).withColumns({"DomainId": F.lit(0), "DomainDnsName": F.lit(None).cast("string")})
+    df = spark.createDataFrame([("%",), ("",), ("__",)], "Domain string")
+    found = L.with_customer(df, "Domain", listed.unionByName(nameless), TAKE, like=True)
+    assert {r.Domain: (r.long, r.short) for r in found.collect()} == dict.fromkeys(["%", "", "__"], ("Elm Foods Ltd", "Elm"))
+
+
 def test_hot_domain(spark, side):
     """Most rows share a domain; the result is the same whether or not the lookup is broadcast."""
     df = spark.range(3000).selectExpr(
