@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetmart.functions.columns import ci_key, day, guid_key, not_blank, truncate
+from fleetmart.functions.columns import VALUE_WIDTH, ci_key, day, guid_key, not_blank, truncate
 from fleetmart.schemas import PROTECTED
 
 XML_SCHEMA = "Property array<struct<_Guid:string,_VALUE:string>>"
@@ -20,11 +20,11 @@ def current_only(history: DataFrame) -> DataFrame:
     return history.where(F.col("ToDateTime").isNull())
 
 
-def shred(history: DataFrame, width: int | None = None) -> DataFrame:
+def shred(history: DataFrame, width: int | None) -> DataFrame:
     """One row per property of every given version: (entity, created, guid, value).
 
-    An empty element gives an empty value; a text that is no XML gives no rows. Values are whole,
-    or cut to ``width`` characters.
+    An empty element gives an empty value; a text that is no XML gives no rows. Values are cut to
+    ``width`` characters, or whole where that is None; no caller can forget to say which.
     """
     parsed = F.from_xml("PropertyXML", XML_SCHEMA, XML_OPTIONS)["Property"]
     items = history.select(
@@ -57,9 +57,9 @@ def show_properties(
     history: DataFrame,
     dictionary: DataFrame,
     entity: int | None = None,
-    width: int | None = None,
+    width: int | None = VALUE_WIDTH,
 ) -> DataFrame:
-    """Current properties by name, of one entity or of all."""
+    """Current properties by name, of one entity or of all; ``width=None`` shows whole values."""
     rows = current_only(history)
     if entity is not None:
         rows = rows.where(F.col("ManagedEntityRowId") == entity)
@@ -138,7 +138,7 @@ def refresh_properties(
     as_of: datetime,
     *,
     columns: Sequence[str] | None = None,
-    width: int | None = None,
+    width: int | None = VALUE_WIDTH,
     **options,
 ) -> DataFrame:
     """Write the current properties of all entities of an inventory back in one job.
