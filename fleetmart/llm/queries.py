@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmart.llm import bpe, chat, language, neardup, neighbours, packing, secrets, topk, toxicity, wrappers
+from fleetmart.llm import (
+    alignment, bpe, chat, language, neardup, neighbours, packing, repeats, resampling, secrets, topk, toxicity, wrappers,
+)
 from fleetmart.llm.base import query, shared_folder, table
 
 
@@ -145,3 +147,68 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query("op11_repeated_bytes")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.repeated_bytes(table(spark, folder, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
+    )
+
+
+OP12_SQL = r"""
+WITH RECURSIVE given AS (
+  SELECT 's' AS side, doc_id, text FROM documents UNION ALL SELECT 't', NULL, text FROM benchmark
+), numbered AS (SELECT *, row_number() OVER () AS place FROM given
+), texts AS (
+  SELECT *, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM numbered
+), register AS (
+  SELECT i, list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+  FROM (SELECT CAST(range AS BIGINT) AS i FROM range(256))
+), lookup AS (SELECT list(c ORDER BY i) AS of_byte FROM register
+), vocabulary AS (SELECT DISTINCT unnest(words) AS word FROM texts
+), coded AS (SELECT word, hex(encode(word)) AS code FROM vocabulary
+), hashed AS (
+  SELECT word, xor(list_reduce([4294967295] || list_transform(range(length(code) // 2), lambda k:
+             CAST('0x' || substr(code, CAST(2 * k + 1 AS BIGINT), 2) AS BIGINT)),
+           lambda c, b: xor(c >> 8, of_byte[xor(c, b) % 256 + 1])), 4294967295) % 10000 AS bucket
+  FROM coded, lookup
+), each AS (
+  SELECT place, side, bucket, count(*) AS n
+  FROM (SELECT place, side, unnest(words) AS word FROM texts) w JOIN hashed USING (word) GROUP BY ALL
+), counts AS (
+  SELECT bucket, coalesce(sum(n) FILTER (side = 's'), 0) AS s, coalesce(sum(n) FILTER (side = 't'), 0) AS t FROM each GROUP BY bucket
+), totals AS (SELECT coalesce(sum(s), 0) AS all_s, coalesce(sum(t), 0) AS all_t FROM counts
+), gain AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST(t + 1 AS DOUBLE) * CAST(all_s + 10000 AS DOUBLE)
+                                     / (CAST(s + 1 AS DOUBLE) * CAST(all_t + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+  FROM counts, totals
+), weight AS (SELECT place, sum(n) AS n, sum(n * gain) AS weight FROM each JOIN gain USING (bucket) WHERE side = 's' GROUP BY place
+), scored AS (
+  SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_features, CAST(coalesce(w.weight, 0) AS BIGINT) AS weight,
+         CAST(coalesce(w.weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || left(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 8)
+              AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM texts LEFT JOIN weight w USING (place) WHERE side = 's'
+), ranked AS (
+  SELECT *, row_number() OVER (ORDER BY n_features < 20, score DESC, doc_id NULLS FIRST) AS place,
+         floor(10 * count(*) FILTER (n_features >= 20) OVER () / 100) AS drawn
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= drawn THEN place END AS rank FROM ranked
+"""
+
+
+@query("op12_importance_resampling", OP12_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return resampling.resample(docs, table(spark, folder, "benchmark"))
+
+
+@query("op13_tokenizer_alignment")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    files = [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model")]
+    return alignment.align(docs, *files)[0]
