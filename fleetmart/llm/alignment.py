@@ -3,7 +3,7 @@
 A text is tokenized whole by both. Where a token that is marked by a leading blank begins at the same byte on both sides, both
 sides' earlier tokens end there, too: these verified shared ends split a document into windows, mostly one word each. A
 window is named by the two tuples of its token ids; what it holds (its groups, cut where tokens of both sides end, and its links,
-all pairs of tokens in one group) is worked out once and remembered.
+all pairs of tokens in one group) is worked out once a block and looked up from then on.
 
 Documents are aligned in blocks of about ``BLOCK`` bytes. A block keeps its documents as lists of window numbers, its
 windows as lists of id pairs, and in how many of its documents each pair is linked. The corpus-wide counts of its pairs come
@@ -33,9 +33,8 @@ from fleetmart.llm.base import staged
 BLOCK = 1 << 20
 #: Texts with a longer run without (or of) white space go to the slower of the two encoders for A, whose time stays in proportion.
 LONG_RUN = 1000
-#: Windows that a worker remembers beyond a block.
-REMEMBERED = 200_000
 LINK = 32  # an id pair is one number: A's id in the upper half, B's in the lower
+B_MARK = np.int32(1 << 30)  # tells B's ids from A's in a window's name
 
 
 class Tokenizers:
@@ -54,32 +53,39 @@ class Tokenizers:
         self._slow.encode_special_tokens = True  # special tokens' strings are plain text
         self._blank = re.compile(rf"\s{{{LONG_RUN}}}")
         self._model = sentencepiece.SentencePieceProcessor(model_file=pieces)
-        self.a_bytes = [b""] * (max(table.values()) + 1)
+        a_bytes = [b""] * (max(table.values()) + 1)
         for token, i in table.items():
-            self.a_bytes[i] = token
-        self.b_bytes = []
-        for i in range(self._model.get_piece_size()):
-            piece = self._model.id_to_piece(i)
-            byte = self._model.is_byte(i)
-            self.b_bytes.append(bytes([int(piece[3:5], 16)]) if byte else piece.replace("▁", " ").encode())
-        self.a_length, self.b_length = (np.array([len(t) for t in side]) for side in (self.a_bytes, self.b_bytes))
-        self.a_marked, self.b_marked = (np.array([t[:1] == b" " for t in side]) for side in (self.a_bytes, self.b_bytes))
-
-    def a(self, text: str) -> list[int]:
-        if self._blank.search(text) or max(map(len, text.split()), default=0) > LONG_RUN:
-            return self._slow.encode(text, add_special_tokens=False).ids
-        return self._fast.encode_ordinary(text)
-
-    def b(self, text: str) -> list[int]:
-        return self._model.encode(text)
-
-    def tokens(self, text: str | None) -> tuple[list[int], list[int]] | None:
+            a_bytes[i] = token
+        names = [self._model.id_to_piece(i) for i in range(self._model.get_piece_size())]
+        byte = [self._model.is_byte(i) for i in range(len(names))]
+        self.b_bytes = [bytes([int(n[3:5], 16)]) if b else n.replace("▁", " ").encode() for n, b in zip(names, byte)]
+        self.a_length, self.b_length = (np.array([len(t) for t in side]) for side in (a_bytes, self.b_bytes))
+        self.a_marked, self.b_marked = (np.array([t[:1] == b" " for t in side]) for side in (a_bytes, self.b_bytes))
+        # A token's text in a window's groups: with what follows it inside its group, and at its group's end.
+        a, b = range(len(a_bytes)), range(len(names))
+        self.told = [f"{i}," for i in a] + [f"{i}|" for i in a] + [f"{i}," for i in b] + [f"{i};" for i in b]
+
+    def a(self, text: str) -> np.ndarray:
+        if len(text) > LONG_RUN and (self._blank.search(text) or max(map(len, text.split()), default=0) > LONG_RUN):
+            return np.array(self._slow.encode(text, add_special_tokens=False).ids, np.int32)
+        return self._fast.encode_to_numpy(text, disallowed_special=()).view(np.int32)
+
+    def b(self, text: str) -> np.ndarray | None:
+        """B's ids; None where they don't give back a blank and the text."""
+        ids = self._model.encode(text)
+        same = b"".join([self.b_bytes[i] for i in ids]) == f" {text}".encode()
+        return np.array(ids, np.int32) if same else None
+
+    def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
         """A's and B's ids, if both cover a blank and the text to the byte."""
         if not text:
             return None
         whole = f" {text}"
-        raw, a, b = whole.encode(), self.a(whole), self.b(text)
-        same = b"".join([self.a_bytes[i] for i in a]) == raw == b"".join([self.b_bytes[i] for i in b])
+        b = self.b(text)
+        if b is None:
+            return None
+        a = self.a(whole)
+        same = self.a_length[a].sum() == self.b_length[b].sum()  # A's tokens are bytes, B's were compared
         return (a, b) if same else None
 
 
@@ -88,39 +94,11 @@ def tokenizers(vocabulary: str, ranks: str, pieces: str) -> Tokenizers:
     return Tokenizers(vocabulary, ranks, pieces)
 
 
-class Window:
-    """Groups of one window: as text, their number, and the id pairs of all links (with repeats, sorted)."""
-
-    __slots__ = ("text", "groups", "links")
-
-    def __init__(self, a: np.ndarray, b: np.ndarray, of: Tokenizers):
-        a_ends, b_ends = np.cumsum(of.a_length[a]), np.cumsum(of.b_length[b])
-        shared = np.intersect1d(a_ends, b_ends, assume_unique=True)
-        a_cuts = np.append(0, np.searchsorted(a_ends, shared) + 1)
-        b_cuts = np.append(0, np.searchsorted(b_ends, shared) + 1)
-        parts, links = [], []
-        for i in range(len(shared)):
-            left, right = a[a_cuts[i] : a_cuts[i + 1]], b[b_cuts[i] : b_cuts[i + 1]]
-            parts.append(f"{','.join(map(str, left.tolist()))}|{','.join(map(str, right.tolist()))}")
-            links.append(np.add.outer(left.astype(np.int64) << LINK, right).ravel())
-        self.text, self.groups, self.links = ";".join(parts), len(shared), np.sort(np.concatenate(links))
-
-
-class Windows(dict):
-    """Number of a window within its block, by its ids; windows are worked out when first met."""
+class Numbers(dict):
+    """Numbers names from 0 on as they come."""
 
-    def __init__(self, of: Tokenizers, known: dict):
-        self.of, self.known, self.held = of, known, []
-
-    def __missing__(self, key: tuple[bytes, bytes]) -> int:
-        window = self.known.get(key)
-        if window is None:
-            window = Window(np.frombuffer(key[0], np.int32), np.frombuffer(key[1], np.int32), self.of)
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[key] = window
-        self[key] = number = len(self.held)
-        self.held.append(window)
+    def __missing__(self, name: bytes) -> int:
+        self[name] = number = len(self)
         return number
 
 
@@ -132,83 +110,131 @@ def splits(a: np.ndarray, b: np.ndarray, a_firsts: np.ndarray, b_firsts: np.ndar
     a_mark[a_firsts] = b_mark[b_firsts] = True
     a_at, b_at = np.flatnonzero(a_mark), np.flatnonzero(b_mark)
     a_byte, b_byte = (np.cumsum(a_length) - a_length)[a_at], (np.cumsum(b_length) - b_length)[b_at]
-    _, left, right = np.intersect1d(a_byte, b_byte, assume_unique=True, return_indices=True)
+    left, right = _meeting(a_byte, b_byte)
     return a_at[left], b_at[right]
 
 
+def _meeting(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the values that two rising arrays share."""
+    at = np.searchsorted(y, x)
+    left = np.flatnonzero(y[np.minimum(at, len(y) - 1)] == x) if len(y) else np.empty(0, np.int64)
+    return left, at[left]
+
+
 def _expand(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """All places of runs that begin at ``starts``."""
     ends = np.cumsum(sizes)
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
-LISTS = "doc_id n_a n_b n_groups n_links n_windows windows starts links pairs linked".split()
-BLOCK_SCHEMA = "block long, " + ", ".join(f"{c} array<long>" for c in LISTS) + ", groups_sha256 array<string>"
-
-
-def align_block(ids: list, texts: list[str | None], of: Tokenizers, known: dict) -> dict[str, object]:
-    """One block: lists by document, by window (``starts`` into ``links``, which point into ``pairs``), and by id pair."""
-    found = [of.tokens(t) for t in texts]
-    held = [f for f in found if f]
-    n_a, n_b = (np.array([len(f[side]) if f else 0 for f in found], np.int64) for side in (0, 1))
-    windows = Windows(of, known)
-    if held:
-        a, b = (np.concatenate([np.array(f[side], np.int32) for f in held]) for side in (0, 1))
-        a_first, b_first = ((np.cumsum(n) - n)[n > 0] for n in (n_a, n_b))
-        left, right = splits(a, b, a_first, b_first, of)
-        firsts = np.searchsorted(left, a_first)
-        a_cuts, b_cuts = (np.append(c, len(s)) * 4 for c, s in ((left, a), (right, b)))
-        a_raw, b_raw, a_cuts, b_cuts = a.tobytes(), b.tobytes(), a_cuts.tolist(), b_cuts.tolist()
-        keys = zip(a_cuts, a_cuts[1:], b_cuts, b_cuts[1:])
-        numbers = [windows[a_raw[s:e], b_raw[u:v]] for s, e, u, v in keys]
-        per_held = np.diff(np.append(firsts, len(numbers)))
-    else:
-        numbers, per_held = [], np.empty(0, np.int64)
-    n_windows = np.zeros(len(texts), np.int64)
-    n_windows[n_a > 0] = per_held
-    ends = np.cumsum(n_windows)
-    parts = [w.text for w in windows.held]
-    told = [";".join([parts[w] for w in numbers[e - n : e]]) for n, e in zip(n_windows.tolist(), ends.tolist())]
-    sizes = np.array([len(w.links) for w in windows.held], np.int64)
-    groups = np.array([w.groups for w in windows.held], np.int64)
-    links = np.concatenate([w.links for w in windows.held]) if held else np.empty(0, np.int64)
-    pairs, links = np.unique(links, return_inverse=True)
-    number = np.array(numbers, np.int64)
-    add = lambda each: _sums(each[number], n_windows)
-    return {
-        "doc_id": ids, "n_a": n_a, "n_b": n_b, "n_groups": add(groups), "n_links": add(sizes), "n_windows": n_windows,
-        "windows": number, "starts": np.append(0, np.cumsum(sizes)), "links": links, "pairs": pairs,
-        "linked": _documents(number, n_windows, sizes, links, len(pairs)),
-        "groups_sha256": [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in told],
-    }
-
-
 def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of runs of ``values``."""
     total, ends = np.append(0, np.cumsum(values)), np.cumsum(sizes)
     return total[ends] - total[ends - sizes]
 
 
+class Windows:
+    """Groups and links of windows, all at once: ``a`` and ``b`` are their ids end to end, ``a_sizes`` and ``b_sizes`` the
+    windows' numbers of tokens. A window has as many bytes on both sides, so ends are shared where running sums are equal."""
+
+    def __init__(self, a: np.ndarray, b: np.ndarray, a_sizes: np.ndarray, b_sizes: np.ndarray, of: Tokenizers):
+        a_last, b_last = _meeting(np.cumsum(of.a_length[a]), np.cumsum(of.b_length[b]))
+        n_a, n_b = np.diff(a_last, prepend=-1), np.diff(b_last, prepend=-1)
+        self.groups = np.diff(np.searchsorted(a_last, np.cumsum(a_sizes) - 1, "right"), prepend=0)
+        pairs = n_a * n_b
+        group = np.repeat(np.arange(len(pairs)), pairs)
+        within = _expand(np.zeros(len(pairs), np.int64), pairs)
+        left = a[(a_last + 1 - n_a)[group] + within // n_b[group]].astype(np.int64)
+        self.links = (left << LINK) | b[(b_last + 1 - n_b)[group] + within % n_b[group]]
+        self.sizes = _sums(pairs, self.groups)
+        # Each group's tokens as text: A's, a bar, B's, a semicolon.
+        named = np.empty(len(a) + len(b), np.int64)
+        a_code, b_code = a.astype(np.int64), b + 2 * len(of.a_length)
+        a_code[a_last] += len(of.a_length)
+        b_code[b_last] += len(of.b_length)
+        group_of = lambda n: np.repeat(np.arange(len(n)), n)
+        named[np.arange(len(a)) + (np.cumsum(n_b) - n_b)[group_of(n_a)]] = a_code
+        named[np.arange(len(b)) + np.cumsum(n_a)[group_of(n_b)]] = b_code
+        words = list(map(of.told.__getitem__, named.tolist()))
+        ends = np.cumsum(a_sizes + b_sizes).tolist()
+        self.text = ["".join(words[s:e]) for s, e in zip([0, *ends], ends)]
+
+
 def _documents(windows: np.ndarray, n_windows: np.ndarray, sizes: np.ndarray, links: np.ndarray, n_pairs: int) -> np.ndarray:
     """In how many documents each pair is linked."""
     if not n_pairs:
         return np.empty(0, np.int64)
-    doc = np.repeat(np.arange(len(n_windows)), n_windows)
-    once = np.unique(doc * len(sizes) + windows)
+    once = _unique(np.repeat(np.arange(len(n_windows)), n_windows) * len(sizes) + windows)
     doc, window = np.divmod(once, len(sizes))
     each = np.repeat(doc, sizes[window]) * n_pairs + links[_expand((np.cumsum(sizes) - sizes)[window], sizes[window])]
-    return np.bincount(np.unique(each) % n_pairs, minlength=n_pairs)
+    return np.bincount(_unique(each) % n_pairs, minlength=n_pairs)
+
+
+def _unique(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])]
+
+
+#: Lists of numbers of a block that only Python reads, each packed as the narrowest kind that holds it.
+PACKED = "n_a n_b n_groups n_links n_windows windows sizes links".split()
+BLOCK_SCHEMA = (
+    "block long, doc_id array<long>, groups_sha256 array<string>, pairs array<long>, linked array<long>, "
+    + ", ".join(f"{c} binary" for c in PACKED)
+)
+
+
+def _pack(x: np.ndarray) -> bytes:
+    kind = next(k for k in ("u1", "<u2", "<u4", "<u8") if not len(x) or int(x.max()) <= np.iinfo(k).max)
+    return kind[-1].encode() + x.astype(kind).tobytes()
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[:1].decode()}", offset=1).astype(np.int64)
+
+
+def align_block(texts: list[str | None], of: Tokenizers) -> dict[str, object]:
+    """One block: numbers and digest of each document, its windows' numbers, each window's links (as places in ``pairs``), the id
+    pairs and in how many of the block's documents each is linked."""
+    found = [of.tokens(t) for t in texts]
+    held = [f for f in found if f]
+    n_a, n_b = (np.array([len(f[side]) if f else 0 for f in found], np.int64) for side in (0, 1))
+    a, b = (np.concatenate([f[side] for f in held]) if held else np.empty(0, np.int32) for side in (0, 1))
+    a_first, b_first = ((np.cumsum(n) - n)[n > 0] for n in (n_a, n_b))
+    left, right = splits(a, b, a_first, b_first, of)
+    # A window's name is made of its two tuples of ids.
+    a_cuts, b_cuts = np.append(left, len(a)), np.append(right, len(b))
+    a_raw, b_raw = a.tobytes(), (b | B_MARK).tobytes()
+    at = [(4 * c).tolist() for c in (a_cuts, b_cuts)]
+    numbers = Numbers()
+    number = np.array([numbers[a_raw[s:e] + b_raw[u:v]] for s, e, u, v in zip(at[0], at[0][1:], at[1], at[1][1:])], np.int64)
+    _, first = np.unique(number, return_index=True)
+    a_sizes, b_sizes = np.diff(a_cuts)[first], np.diff(b_cuts)[first]
+    windows = Windows(a[_expand(left[first], a_sizes)], b[_expand(right[first], b_sizes)], a_sizes, b_sizes, of)
+    n_windows = np.zeros(len(texts), np.int64)
+    n_windows[n_a > 0] = np.diff(np.append(np.searchsorted(left, a_first), len(number)))
+    ends, parts, order = np.cumsum(n_windows).tolist(), windows.text, number.tolist()
+    told = ["".join([parts[w] for w in order[e - n : e]])[:-1] for n, e in zip(n_windows.tolist(), ends)]
+    pairs, links = np.unique(windows.links, return_inverse=True)
+    return {
+        "n_a": n_a, "n_b": n_b, "n_groups": _sums(windows.groups[number], n_windows),
+        "n_links": _sums(windows.sizes[number], n_windows), "n_windows": n_windows, "windows": number, "sizes": windows.sizes,
+        "links": links, "pairs": pairs, "linked": _documents(number, n_windows, windows.sizes, links, len(pairs)),
+        "groups_sha256": [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in told],
+    }
 
 
 def _aligned(paths: tuple[str, str, str], block_bytes: int) -> Callable:
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, known = tokenizers(*paths), {}
+        of = tokenizers(*paths)
         ids, texts, size, number = [], [], 0, TaskContext.get().partitionId() << 40
 
         def block() -> pa.RecordBatch:
-            lists = align_block(ids, texts, of, known)
-            columns = [pa.array([number], pa.int64()), *[pa.array([lists[c]], pa.list_(pa.int64())) for c in LISTS]]
+            lists = align_block(texts, of)
+            columns = [pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64()))]
             columns.append(pa.array([lists["groups_sha256"]], pa.list_(pa.string())))
-            return pa.RecordBatch.from_arrays(columns, names=["block", *LISTS, "groups_sha256"])
+            columns += [pa.array([lists[c]], pa.list_(pa.int64())) for c in ("pairs", "linked")]
+            columns += [pa.array([_pack(lists[c])], pa.binary()) for c in PACKED]
+            return pa.RecordBatch.from_arrays(columns, names=["block", "doc_id", "groups_sha256", "pairs", "linked", *PACKED])
 
         for batch in batches:
             for i in range(batch.num_rows):
@@ -231,18 +257,16 @@ OUT_SCHEMA = ", ".join(f"{f.name} {'string' if f.type == pa.string() else 'long'
 
 def _with_counts(blocks: pa.Table, counts: pa.Table) -> pa.Table:
     """The documents of one block, with the sums that need the counts of its pairs."""
-    held = {c: blocks[c].combine_chunks()[0].values for c in [*LISTS, "groups_sha256"]}
-    of = lambda c: held[c].to_numpy(zero_copy_only=False)
-    place = counts["place"].to_numpy()
-    n, best = (np.zeros(len(held["pairs"]), np.int64) for _ in range(2))
+    of = {c: _unpack(blocks[c][0].as_py()) for c in PACKED}
+    listed = {c: blocks[c].combine_chunks()[0].values for c in ("doc_id", "groups_sha256")}
+    place, n_pairs = counts["place"].to_numpy(), counts.num_rows
+    n, best = (np.zeros(n_pairs, np.int64) for _ in range(2))
     n[place], best[place] = counts["n"].to_numpy(), counts["best"].to_numpy()
-    sizes, links = np.diff(of("starts")), of("links")
     # Sums of a window's links, and of a document's windows.
-    by_window = [_sums(v[links], sizes) for v in (best, n)]
-    n_best, count_sum = (_sums(v[of("windows")], of("n_windows")) for v in by_window)
-    columns = [held[c] for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")]
-    columns += [pa.array(n_best), pa.array(count_sum), held["groups_sha256"]]
-    return pa.Table.from_arrays(columns, schema=OUT)
+    by_window = [_sums(v[of["links"]], of["sizes"]) for v in (best, n)]
+    n_best, count_sum = (_sums(v[of["windows"]], of["n_windows"]) for v in by_window)
+    numbers = [pa.array(x) for x in (*(of[c] for c in ("n_a", "n_b", "n_groups", "n_links")), n_best, count_sum)]
+    return pa.Table.from_arrays([listed["doc_id"], *numbers, listed["groups_sha256"]], schema=OUT)
 
 
 def align(docs: DataFrame, vocabulary: str, ranks: str, pieces: str, block_bytes: int = BLOCK) -> tuple[DataFrame, DataFrame]:
@@ -266,6 +290,6 @@ def align(docs: DataFrame, vocabulary: str, ranks: str, pieces: str, block_bytes
     counts = counts.join(most, "a").withColumn("best", (F.col("n") == F.col("most")).cast("long"))
     told = each.drop("n").join(counts.select("pair", "n", "best"), "pair")
     told = told.select(F.col("block").alias("of_block"), F.col("place").cast("long").alias("place"), "n", "best")
-    documents = blocks.groupBy("block").cogroup(told.groupBy("of_block")).applyInArrow(_with_counts, OUT_SCHEMA)
+    documents = blocks.drop("pairs", "linked").groupBy("block").cogroup(told.groupBy("of_block")).applyInArrow(_with_counts, OUT_SCHEMA)
     shown = counts.select("a", F.col("pair").bitwiseAND((1 << LINK) - 1).alias("b"), "n", (F.col("best") == 1).alias("best"))
     return documents, shown
