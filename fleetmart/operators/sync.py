@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -97,6 +97,7 @@ def sync_snapshot(
     missing_col: str = "NotFoundSince",
     modified_col: str | None = None,
     defaults: Mapping[str, Column] | None = None,
+    claim: Callable[[int, int], int] | None = None,
 ) -> DataFrame:
     """Bring an inventory in line with its source.
 
@@ -108,6 +109,9 @@ def sync_snapshot(
 
     Keys are compared before any full row moves, and what changed is written to the shared folder
     once. After a usual run that is little, and both tables are then joined where they are read.
+
+    ``claim(count, used)`` gives the number after which fresh ids follow, as ``Snapshots.claim_ids`` does for a stored
+    table; without it they follow the highest id in the target.
     """
     match_on = match_on or key
     source = source.where(F.col(key).isNotNull())
@@ -135,7 +139,10 @@ def sync_snapshot(
         pairs = source.select(key, match_on).distinct()
         unmatched = pairs.join(known, pairs[match_on] == known["_known"], "left_anti")
         new_keys = staged(unmatched.select(key).distinct(), "sync-keys")
-    new_ids = with_dense_ids(new_keys, [key], id_col, highest(target, id_col))
+    after = highest(target, id_col)
+    if claim is not None:
+        after = claim(new_keys.count(), target.agg(F.max(id_col)).first()[0] or 0)
+    new_ids = with_dense_ids(new_keys, [key], id_col, after)
     inserts = with_new_ids(source, new_ids, key, lambda df: one_per_key(df, key))
     defaults = defaults or {}
 

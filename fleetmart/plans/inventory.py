@@ -47,7 +47,7 @@ def server_source(entities: DataFrame, properties: DataFrame, types: DataFrame)
 
 
 def sync_servers(
-    target: DataFrame, source: DataFrame, as_of: datetime, match_host: bool = False
+    target: DataFrame, source: DataFrame, as_of: datetime, match_host: bool = False, **options
 ) -> DataFrame:
     """``match_host`` compares the stored entity id with the source's *host* id, the
     original rule; such rows never find themselves again when the two differ."""
@@ -58,6 +58,7 @@ def sync_servers(
         match_on="TopLevelHostManagedEntityRowId" if match_host else None,
         as_of=as_of,
         defaults={"Inserted": X.moment(as_of), "IsSCOM": F.lit(True)},
+        **options,
     )
 
 
@@ -78,13 +79,14 @@ def computer_source(entities: DataFrame, types: DataFrame, servers: DataFrame) -
     )
 
 
-def sync_computers(target: DataFrame, source: DataFrame, as_of: datetime) -> DataFrame:
+def sync_computers(target: DataFrame, source: DataFrame, as_of: datetime, **options) -> DataFrame:
     synced = sync_snapshot(
         target,
         source,
         key="ManagedEntityRowId",
         as_of=as_of,
         defaults={"Inserted": X.moment(as_of), "IsSCOM": F.lit(False)},
+        **options,
     )
     return keep_first(synced, ["ManagedEntityRowId"], ["ID"])
 
@@ -119,7 +121,7 @@ def database_source(
     )
 
 
-def sync_databases(target: DataFrame, source: DataFrame, as_of: datetime) -> DataFrame:
+def sync_databases(target: DataFrame, source: DataFrame, as_of: datetime, **options) -> DataFrame:
     return sync_snapshot(
         target,
         source,
@@ -127,6 +129,7 @@ def sync_databases(target: DataFrame, source: DataFrame, as_of: datetime) -> Dat
         as_of=as_of,
         modified_col="Modified",
         defaults={"Inserted": X.moment(as_of)},
+        **options,
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -15,8 +17,9 @@ from fleetmart.operators.joins import active_types, known_entities
 from fleetmart.operators.joins import staged as written_once
 from fleetmart.operators.properties import current_only, named, shred, writable_columns, write_back
 from fleetmart.plans import inventory as I
-from fleetmart.plans.histories import stage_load
+from fleetmart.plans.histories import load_history
 from fleetmart.schemas import DERIVED, PROTECTED, struct_of
+from fleetmart.sources.commitlog import AppendedTable
 from fleetmart.sources.readers import Warehouse
 from fleetmart.sources.snapshots import Snapshots
 
@@ -45,6 +48,27 @@ class TypeTables:
         }
 
 
+class Journal:
+    """Steps that a run has ended, with what came out of each: staged paths, columns, counts.
+
+    An entry belongs to a run's tag and to the commit the run began at, so it counts only while that state is in force.
+    """
+
+    def __init__(self, store: Snapshots, run: str):
+        self.run, self.base = run, store.last_commit()
+        self._table = AppendedTable(store.spark, f"{store.root}/journal", "run string, base long, step string, outcome string")
+        rows = [r for r in self._table.rows() if (r["run"], r["base"]) == (run, self.base)]
+        self.ended: dict[str, dict] = {r["step"]: json.loads(r["outcome"]) for r in rows}
+
+    def once(self, step: str, make: Callable[[], dict]) -> dict:
+        """The outcome of a step, from the journal if it has ended before."""
+        if step not in self.ended:
+            outcome = make()
+            self._table.append([(self.run, self.base, step, json.dumps(outcome))])
+            self.ended[step] = outcome
+        return self.ended[step]
+
+
 @dataclass
 class RefreshReport:
     commit: int = 0
@@ -89,67 +113,104 @@ def refresh(
     """Extend the schemas, sync each inventory with its properties, load both histories.
 
     Each step writes a staged version that the next one reads, which also keeps the plans short;
-    the last ones become current together at the end. A failed run leaves the former state. Of the
-    histories only the changed days are written. ``value_width=None`` keeps property values whole.
+    the last ones become current together at the end. A failed run leaves the former state, and a journal of the steps
+    it ended: called again with the same ``as_of``, before any other commit, it goes on at the step that failed. Of
+    the histories only the changed days are written. ``value_width=None`` keeps property values whole.
     """
     spark, report = store.spark, RefreshReport()
     attempt = f"v{store.last_commit() + 1:08d}"
+    tag = f"refresh {as_of.isoformat()}"
+    steps = Journal(store, tag)
     staged: dict[str, str] = {}
 
-    def stage(table: str, df: DataFrame, step: str) -> DataFrame:
-        staged[table] = store.stage(table, df, f"{attempt}/{step}")
-        return spark.read.schema(df.schema).parquet(staged[table])
+    def stage(table: str, df: DataFrame, step: str) -> dict:
+        return {"paths": {table: store.stage(table, df, f"{attempt}/{step}")}}
+
+    def done(step: str, make: Callable[[], dict]) -> dict:
+        outcome = steps.once(step, make)
+        staged.update(outcome.get("paths", {}))
+        return outcome
 
-    def with_properties(table: str, df: DataFrame) -> DataFrame:
-        filled = write_back(df, values, as_of, columns=columns[table])
+    def read(table: str) -> DataFrame:
+        return spark.read.parquet(staged[table])
+
+    def claim(table: str) -> Callable[[int, int], int]:
+        return lambda count, used: store.claim_ids(table, count, used)
+
+    def with_properties(table: str) -> dict:
+        filled = write_back(read(table), values, as_of, columns=columns[table])
         return stage(table, filled, "properties")
 
     types = types.settled()
     dictionary = written_once(warehouse.dictionary.distinct())
     targets = store.read_all(INVENTORIES)
-    missing = new_columns(dictionary, types, targets)
-    names = evolve.column_names(missing.values())
-    for table in INVENTORIES:
-        outcome = evolve.extend_schema(targets[table], names.get(table, []))
-        targets[table] = outcome.df
-        report.added[table], report.failed[table] = outcome.added, outcome.failed
-    columns = fillable(dictionary, targets)
+
+    def find_columns() -> dict:
+        names = evolve.column_names(new_columns(dictionary, types, targets).values())
+        outcomes = {t: evolve.extend_schema(targets[t], names.get(t, [])) for t in INVENTORIES}
+        columns = fillable(dictionary, {t: o.df for t, o in outcomes.items()})
+        return {
+            "added": {t: o.added for t, o in outcomes.items()},
+            "failed": {t: o.failed for t, o in outcomes.items()},
+            "columns": columns,
+        }
+
+    found = done("extend schemas", find_columns)
+    report.added, report.failed, columns = found["added"], found["failed"], found["columns"]
+    targets = {t: evolve.extend_schema(targets[t], report.added[t]).df for t in INVENTORIES}
 
     # Every XML text is taken apart once, where it is read; all inventories share the values.
     wanted = sorted({c for names in columns.values() for c in names})
-    items = named(shred(current_only(warehouse.properties), value_width), dictionary, wanted)
-    values = spark.read.schema(items.schema).parquet(
-        store.stage("PropertyValues", items, attempt)
-    )
-
-    found = I.server_source(warehouse.entities, warehouse.properties, types.servers)
-    synced = I.sync_servers(targets["SQLServer"], found, as_of, match_host)
-    servers = with_properties("SQLServer", stage("SQLServer", synced, "sync"))
-
-    found = I.computer_source(warehouse.entities, types.computers, servers)
-    synced = I.sync_computers(targets["Computer"], found, as_of)
-    filled = with_properties("Computer", stage("Computer", synced, "sync"))
-    computers = stage("Computer", I.update_os(filled, warehouse.entities), "system")
-
-    found = I.database_source(
-        warehouse.entities, warehouse.properties, types.databases, types.excluded
-    )
-    synced = I.sync_databases(targets["SQLDatabase"], found, as_of)
-    with_properties("SQLDatabase", stage("SQLDatabase", synced, "sync"))
-
-    known = known_entities(servers, computers)
-    source = I.alert_source(warehouse.alerts, known)
-    windows = I.maintenance_source(warehouse.windows, warehouse.entities, computers)
-    loads = {
-        "AlertHistory": lambda old: I.plan_alerts(old, source, as_of, alert_days),
-        "MaintenanceHistory": lambda old: I.plan_maintenance(old, windows, as_of, maintenance_days),
-    }
-    for table, plan in loads.items():
-        load = stage_load(store, table, plan, attempt)
-        staged |= load.paths
-        report.metrics[table] = load.metrics
 
-    report.commit = store.commit(staged, tag=f"refresh {as_of.isoformat()}")
+    def take_apart() -> dict:
+        items = named(shred(current_only(warehouse.properties), value_width), dictionary, wanted)
+        return {"values": store.stage("PropertyValues", items, attempt)}
+
+    values = spark.read.parquet(done("take properties apart", take_apart)["values"])
+
+    def servers_step() -> dict:
+        source = I.server_source(warehouse.entities, warehouse.properties, types.servers)
+        synced = I.sync_servers(targets["SQLServer"], source, as_of, match_host, claim=claim("SQLServer"))
+        return stage("SQLServer", synced, "sync")
+
+    def computers_step() -> dict:
+        source = I.computer_source(warehouse.entities, types.computers, read("SQLServer"))
+        synced = I.sync_computers(targets["Computer"], source, as_of, claim=claim("Computer"))
+        return stage("Computer", synced, "sync")
+
+    def databases_step() -> dict:
+        source = I.database_source(
+            warehouse.entities, warehouse.properties, types.databases, types.excluded
+        )
+        synced = I.sync_databases(targets["SQLDatabase"], source, as_of, claim=claim("SQLDatabase"))
+        return stage("SQLDatabase", synced, "sync")
+
+    def load_step(table: str, source: Callable[[], DataFrame], days: int) -> Callable[[], dict]:
+        def load() -> dict:
+            loaded = load_history(store, table, source(), as_of, attempt, days=days)
+            return {"paths": loaded.paths, "metrics": loaded.metrics}
+
+        return load
+
+    done("sync servers", servers_step)
+    done("server properties", lambda: with_properties("SQLServer"))
+    done("sync computers", computers_step)
+    done("computer properties", lambda: with_properties("Computer"))
+    done("operating systems", lambda: stage("Computer", I.update_os(read("Computer"), warehouse.entities), "system"))
+    done("sync databases", databases_step)
+    done("database properties", lambda: with_properties("SQLDatabase"))
+
+    def alerts() -> DataFrame:
+        return I.alert_source(warehouse.alerts, known_entities(read("SQLServer"), read("Computer")))
+
+    def windows() -> DataFrame:
+        return I.maintenance_source(warehouse.windows, warehouse.entities, read("Computer"))
+
+    loads = {"AlertHistory": (alerts, alert_days), "MaintenanceHistory": (windows, maintenance_days)}
+    for table, (source, days) in loads.items():
+        report.metrics[table] = done(f"load {table}", load_step(table, source, days))["metrics"]
+
+    report.commit = store.commit(staged, tag=tag)
     return report
 
 

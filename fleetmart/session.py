@@ -30,11 +30,16 @@ def build_session(app: str = "fleetmart", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder for written tables, below the folder named in ``spark.checkpoint.dir``.
+def shared_root(spark: SparkSession) -> str:
+    """Where all written work tables lie, below the folder named in ``spark.checkpoint.dir``.
 
     Executors on other machines must reach it. A session that names none uses its warehouse, which
     they reach as well; the rule is the same in local mode and on a cluster.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/fleetmart/{purpose}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/fleetmart"
+
+
+def shared_dir(spark: SparkSession, purpose: str) -> str:
+    """A new folder for written tables."""
+    return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"

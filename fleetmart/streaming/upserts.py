@@ -8,21 +8,22 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from fleetmart.operators.events import ALERT_DAYS, MAINTENANCE_DAYS
 from fleetmart.plans import inventory as I
-from fleetmart.plans.histories import stage_load
-from fleetmart.sources.snapshots import Snapshots
+from fleetmart.plans.histories import load_history
+from fleetmart.sources.snapshots import GONE, Snapshots
 
-Plan = Callable[[DataFrame, DataFrame], DataFrame]
+Source = Callable[[DataFrame], DataFrame]
+#: Commits after which the small days of a history are put together.
+PACK_EVERY = 24
 
 
 def start_upsert(
-    stream: DataFrame, store: Snapshots, table: str, plan: Plan, checkpoint: str
+    stream: DataFrame, store: Snapshots, table: str, source: Source, as_of: datetime, checkpoint: str, days: int | None
 ) -> StreamingQuery:
     """Feed every micro-batch into a history, then stop when the input is used up.
 
-    Each batch becomes one commit and writes the days it changes only. A batch that is delivered again after a failure finds
-    its tag in the commit log and is skipped, so each one counts once.
+    Each batch becomes one commit; it reads the days that may hold one of its keys and writes those it changes. A batch that
+    is delivered again after a failure finds its tag in the commit log and is skipped, so each one counts once.
     """
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
@@ -30,8 +31,11 @@ def start_upsert(
         if store.has_tag(tag):
             return
         number = store.last_commit() + 1
-        load = stage_load(store, table, lambda old: plan(old, batch), f"v{number:08d}")
-        store.commit(load.paths, tag, number)
+        load = load_history(store, table, source(batch), as_of, f"v{number:08d}", days=days)
+        # A batch that changes nothing is on record, too.
+        store.commit(load.paths or {f"{table}-batch": GONE}, tag, number)
+        if (batch_id + 1) % PACK_EVERY == 0:
+            store.pack(table)
 
     return (
         stream.writeStream.foreachBatch(upsert)
@@ -47,14 +51,14 @@ def stream_alerts(
     known: DataFrame,
     as_of: datetime,
     checkpoint: str,
-    days: int = ALERT_DAYS,
+    days: int | None = None,
 ) -> StreamingQuery:
     """Alert details as a stream; late alerts beyond the retention window are left out."""
 
-    def plan(old: DataFrame, batch: DataFrame) -> DataFrame:
-        return I.plan_alerts(old, I.alert_source(batch, known), as_of, days)
+    def source(batch: DataFrame) -> DataFrame:
+        return I.alert_source(batch, known)
 
-    return start_upsert(details, store, "AlertHistory", plan, checkpoint)
+    return start_upsert(details, store, "AlertHistory", source, as_of, checkpoint, days)
 
 
 def stream_maintenance(
@@ -64,12 +68,11 @@ def stream_maintenance(
     computers: DataFrame,
     as_of: datetime,
     checkpoint: str,
-    days: int = MAINTENANCE_DAYS,
+    days: int | None = None,
 ) -> StreamingQuery:
     """Maintenance windows as a stream."""
 
-    def plan(old: DataFrame, batch: DataFrame) -> DataFrame:
-        source = I.maintenance_source(batch, entities, computers)
-        return I.plan_maintenance(old, source, as_of, days)
+    def source(batch: DataFrame) -> DataFrame:
+        return I.maintenance_source(batch, entities, computers)
 
-    return start_upsert(windows, store, "MaintenanceHistory", plan, checkpoint)
+    return start_upsert(windows, store, "MaintenanceHistory", source, as_of, checkpoint, days)

@@ -83,7 +83,7 @@ def test_failed_run_leaves_the_old_state(spark, done, monkeypatch, rows):
     def fail(*_args, **_options):
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(R.I, "plan_maintenance", fail)
+    monkeypatch.setattr(R.I, "maintenance_source", fail)
     with pytest.raises(RuntimeError):
         R.refresh(store, fixtures.warehouse(spark), fixtures.types(spark), NOW + timedelta(days=1))
     assert store.last_commit() == commit
@@ -193,3 +193,44 @@ def test_a_load_writes_the_days_it_changes(spark, tmp_path, rows):
     assert pruned.count() == 20
     store.write({"AlertHistory": old.where("ID = 45")})
     assert rows(store.read("AlertHistory")) == rows(old.where("ID = 45"))
+
+
+def test_a_failed_run_goes_on_where_it_failed(spark, tmp_path, monkeypatch, rows):
+    """The seventh step fails; the rerun does none of the six before it and ends like a run that never failed."""
+    stores = [Snapshots(spark, f"{tmp_path}/{name}") for name in ("failed", "whole")]
+    made = []
+
+    def noting(name):
+        real = getattr(I, name)
+
+        def noted(*args, **options):
+            made.append(name)
+            return real(*args, **options)
+
+        return noted
+
+    def fail(*_args, **_options):
+        raise RuntimeError("lost")
+
+    sources = ["server_source", "computer_source", "update_os", "database_source", "alert_source"]
+    for name in sources:
+        monkeypatch.setattr(R.I, name, noting(name))
+    with monkeypatch.context() as broken:
+        broken.setattr(R.I, "sync_databases", fail)
+        with pytest.raises(RuntimeError):
+            R.refresh(stores[0], fixtures.warehouse(spark), fixtures.types(spark), NOW)
+    assert stores[0].last_commit() == 0
+    made.clear()
+    # A new object, as a new driver would have.
+    stores[0] = Snapshots(spark, stores[0].root)
+    report = R.refresh(stores[0], fixtures.warehouse(spark), fixtures.types(spark), NOW)
+    assert made == ["database_source", "alert_source"]
+    assert report.added["SQLServer"] == ["Shelf"] and report.metrics["AlertHistory"]["imported"] == 2
+    R.refresh(stores[1], fixtures.warehouse(spark), fixtures.types(spark), NOW)
+    for table in (*R.INVENTORIES, "AlertHistory", "MaintenanceHistory"):
+        one, other = (s.read(table) for s in stores)
+        assert rows(one, *sorted(one.columns)) == rows(other, *sorted(one.columns))
+    # The journal of a committed run does not stand for a later one.
+    made.clear()
+    R.refresh(stores[0], fixtures.warehouse(spark), fixtures.types(spark), NOW)
+    assert made == sources
