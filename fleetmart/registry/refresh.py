@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fleetmart.plans.refresh import TypeTables, refresh
 from fleetmart.registry import standins as S
-from fleetmart.registry.base import Tables, query
+from fleetmart.registry.base import Tables, query, second
 from fleetmart.registry.events import ALERT_PLAN
 from fleetmart.registry.properties import (
     COMPUTER_CELLS,
@@ -229,3 +229,97 @@ UNION ALL SELECT * FROM ({MAINTENANCE}) e"""
 @query("refresh_all", SUMMARY)
 def refresh_all(t: Tables):
     return summary(refreshed(t))
+
+
+# The same run, row by row: what each inventory and history holds afterwards.
+OFFSETS = {"SQLServer": 0, "Computer": COMPUTER, "SQLDatabase": DATABASE}
+
+
+def told(cells) -> str:
+    return "concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in cells) + ")"
+
+
+def inventory_rows(table, target, source, columns, named, cells, more=(), touched="") -> str:
+    """Every row of one inventory after its sync and property refresh, its cells as one text."""
+    picks = ", ".join(
+        f"arg_max(value, created || guid || value) FILTER (WHERE lower(name) = '{c.lower()}') AS w_{c}" for c in cells
+    )
+    old = ", ".join(f'"{c}"' if c not in SEGMENTS else f'NULL AS "{c}"' for c in cells)
+    none = ", ".join(f'NULL AS "{c}"' for c in cells)
+    change = {c: f"""(w_{c} IS NOT NULL AND (a."{c}" IS NULL OR rtrim(lower(a."{c}")) <> rtrim(lower(w_{c}))))""" for c in cells}
+    values = [f"""CASE WHEN {change[c]} THEN lower(w_{c}) ELSE a."{c}" END""" for c in cells]
+    state = "CASE WHEN state IN ('newly_missing', 'still_missing') THEN 'missing' ELSE 'live' END"
+    stamped = f"CASE WHEN {touched}{' OR '.join(change.values())} THEN 'touched' ELSE 'as it was' END"
+    return f"""
+SELECT '{table}' AS Tabelle, CAST(a.ManagedEntityRowId + {OFFSETS[table]} AS VARCHAR) AS Schluessel,
+       {told([*values, *more, state, stamped])} AS Inhalt
+FROM (WITH {merged(target, source, columns)}
+      SELECT ManagedEntityRowId, state, {old} FROM k
+      UNION ALL SELECT ManagedEntityRowId, 'new', {none} FROM f) a
+LEFT JOIN (SELECT ManagedEntityRowId AS entity, {picks} FROM ({named}) n GROUP BY ManagedEntityRowId) p
+  ON entity = a.ManagedEntityRowId"""
+
+
+SYSTEM_NAME = f"""coalesce((SELECT max('System ' || s_name) FROM {{supplier}} WHERE s_suppkey = a.ManagedEntityRowId),
+              (SELECT max(WindowsOS) FROM ({S.COMPUTER_TARGET}) o WHERE o.ManagedEntityRowId = a.ManagedEntityRowId))"""
+ALERT_CELLS = ["ManagedEntityRowId", "Category", "RaisedDateTime", "Severity", "Priority", "RepeatCount", "Imported"]
+WINDOW_CELLS = ["StartDateTime", "EndDateTime", "ScheduledEndDateTime", "UserId", "Comment", "Imported"]
+
+
+def time_text(c: str) -> str:
+    return f"strftime({c}, '%Y-%m-%d %H:%M:%S')"
+
+
+WINDOW_ROWS = f"""
+SELECT 'MaintenanceHistory' AS Tabelle, CAST(id AS VARCHAR) AS Schluessel, {told(WINDOW_CELLS)} AS Inhalt
+FROM (SELECT id, {time_text("started")} AS StartDateTime,
+             {time_text("CASE WHEN touched THEN new_end ELSE old_end END")} AS EndDateTime,
+             {time_text("scheduled")} AS ScheduledEndDateTime, UserId,
+             CASE WHEN touched THEN comments END AS Comment,
+             CASE WHEN touched THEN '2024-02-01 00:00:00' ELSE '2001-05-01 00:00:00' END AS Imported
+      FROM (SELECT h.MaintenanceRowId AS id, h.StartDateTime AS started, w.EndDateTime AS new_end, h.EndDateTime AS old_end,
+                   h.ScheduledEndDateTime AS scheduled, h.UserId, w.Comments AS comments,
+                   l.ManagedEntityRowId IS NOT NULL AND h.EndDateTime IS DISTINCT FROM w.EndDateTime AS touched
+            FROM ({S.MAINTENANCE_HISTORY}) h JOIN ({S.WINDOWS}) w ON w.MaintenanceModeRowId = h.MaintenanceRowId
+            LEFT JOIN ({LISTED_COMPUTERS}) l ON l.ManagedEntityRowId = w.ManagedEntityRowId
+            WHERE h.StartDateTime >= {WINDOW_LIMIT}
+            UNION ALL
+            SELECT MaintenanceModeRowId, StartDateTime, EndDateTime, NULL, ScheduledEndDateTime, UserId, Comments, TRUE
+            FROM ({S.WINDOWS}) w JOIN ({LISTED_COMPUTERS}) l ON l.ManagedEntityRowId = w.ManagedEntityRowId
+            WHERE StartDateTime >= {WINDOW_LIMIT}
+              AND MaintenanceModeRowId NOT IN (SELECT MaintenanceRowId FROM ({S.MAINTENANCE_HISTORY}) o)) x) y"""
+ALERT_ROWS = f"""
+{ALERTS} SELECT 'AlertHistory' AS Tabelle, AlertGuid AS Schluessel, {told(ALERT_CELLS)} AS Inhalt FROM result"""
+ALL_ROWS = " UNION ALL ".join(
+    f"SELECT * FROM ({rows}) t{i}"
+    for i, rows in enumerate([
+        inventory_rows("SQLServer", S.SERVER_TARGET, SERVER_SOURCE, SERVER_COLUMNS, SERVER_NAMED, SERVER_CELLS),
+        inventory_rows("Computer", S.COMPUTER_TARGET, HOSTING, COMPUTER_COLUMNS, COMPUTER_NAMED, [*COMPUTER_CELLS, *SEGMENTS], [SYSTEM_NAME]),
+        inventory_rows("SQLDatabase", S.DATABASE_TARGET, DATABASE_SOURCE, DATABASE_COLUMNS, DATABASE_NAMED, DATABASE_CELLS,
+                       touched="state IN ('revived', 'newly_missing') OR "),
+        ALERT_ROWS,
+        WINDOW_ROWS,
+    ])
+)
+
+
+@query("refresh_pipeline", ALL_ROWS)
+def refresh_pipeline(t: Tables):
+    """Every row of the five tables that a refresh leaves behind."""
+    store = refreshed(t)
+    text = lambda cells: F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("~")) for c in cells])
+    frames = []
+    for table, cells in INVENTORY_CELLS.items():
+        state = F.when(F.col("NotFoundSince").isNotNull(), "missing").otherwise("live")
+        stamped = F.when(F.col("Modified").isNotNull(), "touched").otherwise("as it was")
+        frames.append((table, F.col("ManagedEntityRowId"), [*map(F.col, cells), state, stamped]))
+    entity = F.col("ManagedEntityRowId") - F.lit(COMPUTER)
+    times = ("RaisedDateTime", "StartDateTime", "EndDateTime", "ScheduledEndDateTime", "Imported")
+    cell = lambda c: second(c) if c in times else entity if c == "ManagedEntityRowId" else F.col(c)
+    frames.append(("AlertHistory", F.col("AlertGuid"), [cell(c) for c in ALERT_CELLS]))
+    frames.append(("MaintenanceHistory", F.col("MaintenanceRowId"), [cell(c) for c in WINDOW_CELLS]))
+    shown = [
+        store.read(table).select(F.lit(table).alias("Tabelle"), key.cast("string").alias("Schluessel"), text(cells).alias("Inhalt"))
+        for table, key, cells in frames
+    ]
+    return reduce(lambda a, b: a.unionByName(b), shown)
