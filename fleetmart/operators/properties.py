@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetmart.functions.columns import VALUE_WIDTH, ci_key, day, guid_key, not_blank, truncate
@@ -13,6 +13,12 @@ from fleetmart.schemas import PROTECTED
 
 XML_SCHEMA = "Property array<struct<_Guid:string,_VALUE:string>>"
 XML_OPTIONS = {"mode": "PERMISSIVE", "ignoreSurroundingSpaces": "false"}
+_TAG = r"""<(?:[^"'<>]|"[^"]*"|'[^']*')*>"""
+#: What may stand before the root element, and a root that is named as asked for and in no namespace.
+_ROOT = r"""(?s)^\s*(?:<\?.*?\?>\s*|<!--.*?-->\s*|<!DOCTYPE[^>]*>\s*)*<Root(?=[\s/>])(?![^>]*\sxmlns\s*=)"""
+#: Markup beyond plain properties: other elements, comments, literal sections, a property inside a property.
+_MARKUP = r"""(?s)<(?!/?Property[\s/>]|/?Root[\s/>]|\?xml)|<Property(?:\s[^>]*)?(?<!/)>[^<]*<Property"""
+_OTHER_CASE = r"""(</?)(?!Property[\s/>])((?i:property))(?=[\s/>])"""
 
 
 def current_only(history: DataFrame) -> DataFrame:
@@ -23,14 +29,20 @@ def current_only(history: DataFrame) -> DataFrame:
 def shred(history: DataFrame, width: int | None) -> DataFrame:
     """One row per property of every given version: (entity, created, guid, value).
 
-    An empty element gives an empty value; a text that is no XML gives no rows. Values are cut to
+    Properties are the ``Property`` elements directly below a ``Root`` element, both in no namespace and in this
+    spelling; other texts give no rows, nor does a text that is no XML. A value is all text of its element, that of
+    elements inside it, too, without markup and comments; an empty element gives an empty value. Values are cut to
     ``width`` characters, or whole where that is None; no caller can forget to say which.
     """
-    parsed = F.from_xml("PropertyXML", XML_SCHEMA, XML_OPTIONS)["Property"]
-    items = history.select(
-        "ManagedEntityRowId", "DWCreatedDateTime", F.explode(parsed).alias("_p")
+    xml = F.col("PropertyXML")
+    rooted = history.where(xml.rlike(_ROOT)).withColumn("_marked_up", xml.rlike(_MARKUP))
+    marked_up = F.col("_marked_up")
+    plain = F.from_xml(xml, XML_SCHEMA, XML_OPTIONS)["Property"]
+    parsed = F.when(~marked_up, plain).otherwise(_raw_properties(xml))
+    items = rooted.select(
+        "ManagedEntityRowId", "DWCreatedDateTime", "_marked_up", F.explode(parsed).alias("_p")
     )
-    value = F.coalesce(F.col("_p._VALUE"), F.lit(""))
+    value = F.coalesce(F.when(marked_up, _text_of(F.col("_p._VALUE"))).otherwise(F.col("_p._VALUE")), F.lit(""))
     return items.select(
         "ManagedEntityRowId",
         "DWCreatedDateTime",
@@ -39,6 +51,32 @@ def shred(history: DataFrame, width: int | None) -> DataFrame:
     )
 
 
+def _raw_properties(xml: Column) -> Column:
+    """Properties with the raw content of their elements, references not yet decoded.
+
+    The parser gives an element either its attributes or its content as text, so it goes over the text twice. It would
+    decode references in the content, where they could no longer be told from markup, so they are guarded first; literal
+    sections become plain text with references before that.
+    """
+    escaped = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    end = F.lit("]]>")
+    opened = lambda part: F.concat(
+        escaped(F.substring_index(part, "]]>", 1)), F.substring(part, F.instr(part, "]]>") + 3, F.length(part))
+    )
+    parts = F.transform(F.split(xml, r"<!\[CDATA\["), lambda part, i: F.when((i == 0) | ~F.contains(part, end), part).otherwise(opened(part)))
+    guarded = F.replace(F.array_join(parts, ""), F.lit("&"), F.lit("&amp;"))
+    guarded = F.regexp_replace(guarded, _OTHER_CASE, "$1_$2")
+    guids = F.from_xml(guarded, "Property array<struct<_Guid:string>>", XML_OPTIONS)["Property"]
+    contents = F.from_xml(guarded, "Property array<string>", XML_OPTIONS)["Property"]
+    return F.zip_with(guids, contents, lambda g, c: F.struct(g["_Guid"].alias("_Guid"), c.alias("_VALUE")))
+
+
+def _text_of(content: Column) -> Column:
+    """Raw content without its markup; the parser decodes the references that are left."""
+    bare = F.regexp_replace(content, _TAG, "")
+    return F.from_xml(F.concat(F.lit("<r><v>"), bare, F.lit("</v></r>")), "v string", XML_OPTIONS)["v"]
+
+
 def named(
     shredded: DataFrame, dictionary: DataFrame, columns: Sequence[str] | None = None
 ) -> DataFrame:

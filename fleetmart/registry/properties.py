@@ -47,6 +47,34 @@ def property_shred(t: Tables):
     return P.shred(P.current_only(t.sql(S.COMPUTER_HISTORY)), VALUE_WIDTH).drop("DWCreatedDateTime")
 
 
+# Properties with markup inside, other roots, a namespace, literal sections and references, nested properties.
+MIXED_HISTORY = """
+SELECT o_orderkey AS ManagedEntityRowId, o_orderdate AS DWCreatedDateTime, CAST(NULL AS TIMESTAMP_NTZ) AS ToDateTime,
+       CASE substr(o_orderpriority, 1, 1)
+         WHEN '1' THEN concat('<Root><Property Guid="{a-1}">Val <b k="1&gt;0">', c_name, '<i/></b> end</Property><Property Guid="a-2"/></Root>')
+         WHEN '2' THEN concat('<Other><Property Guid="b">', c_name, '</Property></Other>')
+         WHEN '3' THEN concat('<Root xmlns="urn:x"><Property Guid="c">', c_name, '</Property></Root>')
+         WHEN '4' THEN concat('<?xml version="1.0"?><!-- <Other> --><Root><Property Guid="d"><![CDATA[<x> &amp; ]]>&lt;', c_name,
+                              '&gt;&#233;<!-- no --></Property><property Guid="e">low</property></Root>')
+         ELSE concat('<Root><Group><Property Guid="f">in</Property></Group><Property Guid="g">', o_orderstatus,
+                     '<Property Guid="h">', c_name, '</Property>!</Property></Root>')
+       END AS PropertyXML
+FROM {orders} JOIN {customer} ON c_custkey = o_custkey"""
+
+
+@query(
+    "property_shred_mixed",
+    """SELECT o_orderkey AS ManagedEntityRowId, guid AS PropertyGuid, value AS PropertyValue FROM (
+         SELECT o_orderkey, 'A-1' AS guid, concat('Val ', c_name, ' end') AS value, '1' AS kind FROM {orders} JOIN {customer} ON c_custkey = o_custkey
+         UNION ALL SELECT o_orderkey, 'A-2', '', '1' FROM {orders}
+         UNION ALL SELECT o_orderkey, 'D', concat('<x> &amp; <', c_name, '>é'), '4' FROM {orders} JOIN {customer} ON c_custkey = o_custkey
+         UNION ALL SELECT o_orderkey, 'G', concat(o_orderstatus, c_name, '!'), '5' FROM {orders} JOIN {customer} ON c_custkey = o_custkey) x
+       JOIN (SELECT o_orderkey AS k, substr(o_orderpriority, 1, 1) AS p FROM {orders}) o ON k = o_orderkey AND p = kind""",
+)
+def property_shred_mixed(t: Tables):
+    return P.shred(P.current_only(t.sql(MIXED_HISTORY)), VALUE_WIDTH).drop("DWCreatedDateTime")
+
+
 @query(
     "property_names",
     f"""SELECT name AS PropertySystemName, count(*) AS n, count(DISTINCT ManagedEntityRowId) AS entities

@@ -42,6 +42,28 @@ def test_shred(spark):
     ]
 
 
+def test_shred_by_path(spark):
+    """Only properties right below the root, whole element texts, references decoded once."""
+    texts = [
+        '<Root><Property Guid="a">x<b>y</b>z</Property><Property Guid="b">p &lt;q&gt; &amp;amp; r</Property><Property Guid="c"/></Root>',
+        '<Other><Property Guid="a">x</Property></Other>',
+        '<n:Root xmlns:n="u"><n:Property Guid="a">x</n:Property></n:Root>',
+        '<Root xmlns="u"><Property Guid="a">x</Property></Root>',
+        '<Root><G><Property Guid="a">x</Property></G><Property Guid="b">u<Property Guid="c">v</Property>w</Property></Root>',
+        '<?xml version="1.0"?><!-- <Other> --> <Root k="1">t<Property Guid="a"> s <!-- no --><i k="&lt;>">m<j/></i> &#xe9;</Property>'
+        '<property Guid="b">low</property></Root>',
+        '<Root><Property Guid="a"><![CDATA[<raw>&amp;]]>&amp;<![CDATA[ ]] > ]]></Property></Root>',
+        '<root><Property Guid="a">x</Property></root>',
+        '<Root><Property Guid="a"><b></Property></Root>',
+        '<RootX><Property Guid="a">x</Property></RootX>',
+        '<Root><Property Guid="a">' + "<b>é</b>" * 200 + "</Property></Root>",
+    ]
+    assert shredded(spark, *texts) == [
+        (1, "A", "xyz"), (1, "B", "p <q> &amp; r"), (1, "C", ""), (5, "B", "uvw"), (6, "A", " s m é"), (7, "A", "<raw>&amp;& ]] > "),
+        (11, "A", "é" * 100),
+    ]
+
+
 words = st.text(st.characters(min_codepoint=32, max_codepoint=382, exclude_characters='<>&"\x7f'), max_size=30)
 
 
