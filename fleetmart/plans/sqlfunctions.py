@@ -1,7 +1,8 @@
 """The scalar and table functions under their usual names, for SQL users.
 
-They serve single look-ups in ad-hoc queries. Whole tables take the operators instead, which
-compute the same values by joins.
+Beside a table's rows they become joins: those that look up a key or list a row's properties equality joins; the
+lookups by containment or prefix compare the distinct texts with their whole list, so large tables take the operators
+instead, which need no such comparison.
 """
 
 from __future__ import annotations
@@ -82,11 +83,12 @@ def _lookup_functions() -> dict[str, str]:
 
 
 def _list_function(name: str, argument: str, table: str, where: str, columns: list[str]) -> str:
-    cells = ", ".join(f"cast({c} AS STRING) AS {c}" for c in columns)
+    # The condition stays outside the unfolding, so that the function can stand beside a table's rows as a join.
+    cells = ", ".join(f"struct('{c}', cast({c} AS STRING))" for c in columns)
     return f"""CREATE OR REPLACE TEMPORARY FUNCTION {name}({argument})
         RETURNS TABLE(Property STRING, Wert STRING)
-        RETURN SELECT Property, Wert FROM (SELECT {cells} FROM {table} WHERE {where})
-               UNPIVOT (Wert FOR Property IN ({", ".join(columns)})) WHERE rtrim(Wert) <> ''"""
+        RETURN SELECT Property, Wert FROM {table} LATERAL VIEW inline(array({cells})) cells AS Property, Wert
+               WHERE {where} AND rtrim(Wert) <> ''"""
 
 
 def register_functions(spark: SparkSession, tables: Mapping[str, DataFrame]) -> None:

@@ -3,6 +3,7 @@
 from fleetmart.registry import (  # noqa: F401
     columns,
     events,
+    functions,
     histories,
     lookups,
     properties,

@@ -78,3 +78,19 @@ def test_list_functions(sql):
         ("Maschine", "h1"),
         ("SQLCustomer", "Oak Mills Ltd"),
     ]
+
+
+def test_functions_beside_rows_are_joins(spark, sql):
+    """Key lookups and list functions decorrelate into equality joins."""
+    spark.range(5).selectExpr("id", "cast(id as int) as k", "concat('H', id) as name").createOrReplaceTempView("beside")
+    texts = [
+        "SELECT id, GetCustomerNameLong(k), GetCustomerNameLong4Domain(k), GetCustomerNameShort4Domain(k), fn_CustDomainCount(k), GetDatabaseType(k) FROM beside",
+        "SELECT id, p.* FROM beside, LATERAL SQLPropList(id) AS p",
+        "SELECT id, p.* FROM beside, LATERAL ComputerPropList(name) AS p",
+    ]
+    for text in texts:
+        plan = spark.sql(text)._jdf.queryExecution().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert sql("SELECT id, fn_CustDomainCount(k) FROM beside ORDER BY id") == [(0, 0), (1, 1), (2, 2), (3, 1), (4, 0)]
+    assert (1, "IPAddress", "10.0.0.1") in sql(texts[2])
+    assert (1, "VersionNr", "3001") in sql(texts[1]) and (0, "VersionNr", "3001") not in sql(texts[1])
