@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN = "(unbekannt)"  # fixed value: label of a missing group
@@ -37,6 +37,19 @@ def ci_key(c: Column) -> Column:
     return F.lower(F.rtrim(c))
 
 
+#: Type of a text that compares without case and trailing blanks, wherever it is compared.
+KEY_TEXT = "string collate UTF8_LCASE_RTRIM"
+
+
+def name_key(df: DataFrame, column: str) -> Column:
+    """What a name is compared by: the column itself where its type compares as names do, else its key."""
+    return df[column] if is_key_text(df, column) else ci_key(df[column])
+
+
+def is_key_text(df: DataFrame, column: str) -> bool:
+    return df.schema[column].dataType.simpleString().lower() == KEY_TEXT.lower()
+
+
 def guid_key(c: Column) -> Column:
     """Upper-case GUID text without braces."""
     return F.upper(F.translate(F.trim(c.cast("string")), "{}", ""))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmart.operators.joins import of_types
@@ -69,6 +70,37 @@ def extend_schema(df: DataFrame, names: Sequence[str]) -> Extension:
     return Extension(wide, added, failed)
 
 
+@dataclass
+class TableExtension:
+    """Columns that a stored table got, and those it could not get."""
+
+    added: list[str] = field(default_factory=list)
+    failed: list[str] = field(default_factory=list)
+
+
+def extend_table(spark: SparkSession, table: str, names: Iterable[str]) -> TableExtension:
+    """Add nullable text columns to a table of the catalog; one that cannot be added is noted and the rest go on.
+
+    Only the catalog's schema changes: no file is written again, rows of older files have NULL in the new columns.
+    """
+    out = TableExtension()
+    for name in names:
+        quoted = name.replace("`", "``")
+        try:
+            if not name.strip():
+                raise AnalysisException("a column needs a name")
+            spark.sql(f"ALTER TABLE {table} ADD COLUMNS (`{quoted}` STRING)")
+            out.added.append(name)
+        except AnalysisException:
+            out.failed.append(name)
+    return out
+
+
+def read_evolved(spark: SparkSession, folder: str) -> DataFrame:
+    """A folder of parquet files that were written before and after an extension, with the columns of all of them."""
+    return spark.read.option("mergeSchema", "true").parquet(folder)
+
+
 def column_names(missing: Iterable[DataFrame]) -> dict[str, list[str]]:
     """Names for :func:`extend_schema` by table; they become a schema, which the driver holds."""
     rows = extension_plan(missing).select("Tabelle", "Neue Spalte").collect()

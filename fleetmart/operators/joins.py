@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetmart.functions.columns import ci_key
+from fleetmart.functions.columns import is_key_text, name_key
 from fleetmart.session import shared_dir
 
 
@@ -35,9 +35,21 @@ def of_types(entities: DataFrame, types: DataFrame) -> DataFrame:
 
 
 def same_name(df: DataFrame, column: str, others: DataFrame, other_column: str) -> DataFrame:
-    """Rows whose name occurs in another table, whatever the case and trailing blanks."""
-    names = others.select(ci_key(F.col(other_column)).alias("_name")).distinct()
-    return df.join(names, ci_key(df[column]) == names["_name"], "left_semi")
+    """Rows whose name occurs in another table, whatever the case and trailing blanks.
+
+    Names are compared by their type if both sides have it (``schemas.with_key_texts``), by a key else.
+    """
+    df, others = _alike(df, column, others, other_column)
+    names = others.select(name_key(others, other_column).alias("_name")).distinct()
+    return df.join(names, name_key(df, column) == names["_name"], "left_semi")
+
+
+def _alike(df: DataFrame, column: str, others: DataFrame, other_column: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a plain name where only one of them has the type of names, as the two cannot be compared."""
+    if is_key_text(df, column) == is_key_text(others, other_column):
+        return df, others
+    plain = lambda frame, c: frame.withColumn(c, F.col(c).cast("string"))
+    return plain(df, column), plain(others, other_column)
 
 
 def known_entities(*inventories: DataFrame) -> DataFrame:
@@ -61,11 +73,12 @@ def exclude_names(df: DataFrame, column: str, excluded: DataFrame, name: str = "
     Written as a plain anti join plus one row of facts about the list, because Spark's own
     null-aware anti join has to broadcast the list or fall back to a nested loop.
     """
-    names = excluded.select(ci_key(F.col(name)).alias("_name"))
+    df, excluded = _alike(df, column, excluded, name)
+    names = excluded.select(name_key(excluded, name).alias("_name"))
     facts = F.struct(
         F.count("*").alias("n"), F.count_if(F.col("_name").isNull()).alias("nulls")
     )
     about = names.agg(facts.alias("_facts")).scalar()
     hits = names.where("_name is not null").distinct()
-    kept = df.join(hits, ci_key(df[column]) == hits["_name"], "left_anti")
+    kept = df.join(hits, name_key(df, column) == hits["_name"], "left_anti")
     return kept.where((about["n"] == 0) | (kept[column].isNotNull() & (about["nulls"] == 0)))

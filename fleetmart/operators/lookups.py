@@ -174,18 +174,45 @@ def _open(distinct: DataFrame, listed: DataFrame) -> DataFrame:
 def _matched(distinct: DataFrame, listed: DataFrame) -> DataFrame:
     """Domains with wildcards: joined on their longest literal piece, then tested in full.
 
-    Only a text that holds sets and not one literal character has to be tested against every domain.
+    A text that holds sets and not one literal character is joined on the one or two characters its sets may stand for
+    (``_set_grams``), so no text meets the whole list.
     """
     marked = distinct.where(F.rlike("_domain", F.lit(LIKE_MARKS)))
     marked = marked.where(~F.rlike("_domain", F.lit(UNCLOSED)) & ~F.rlike("_domain", F.lit(OPEN)))
     pieces = F.split("_domain", r"%|_|\[[^\]]*\]?")
     sized = F.transform(pieces, lambda p: F.struct(F.length(p).alias("n"), p.alias("p")))
     longest = F.array_max(sized)
-    # Everything but the wildcards is quoted for the regular expression.
-    quoted = F.regexp_replace("_domain", r"([\\^$.|?*+(){}])", r"\\$1")
-    outside = r"(?![^\[]*\])"
-    pattern = F.regexp_replace(F.regexp_replace(quoted, "%" + outside, ".*"), "_" + outside, ".")
-    wild = marked.select("_domain", longest["p"].alias("_anchor"), pattern.alias("_pattern"))
+    pattern = _pattern(F.col("_domain"))
+    literal = marked.select("_domain", longest["p"].alias("_anchor"), pattern.alias("_pattern"))
+    wild = literal.where("_anchor <> ''").unionByName(_set_grams(literal.where("_anchor = ''"), listed))
     anchors = _pieces(listed, wild, "_anchor")
     tested = wild.join(anchors, "_anchor").where(F.rlike("_text", F.col("_pattern")))
     return tested.groupBy("_domain").agg(_winner())
+
+
+def _pattern(text: Column) -> Column:
+    """The wildcards as a regular expression; everything else is quoted."""
+    quoted = F.regexp_replace(text, r"([\\^$.|?*+(){}])", r"\\$1")
+    quoted = F.regexp_replace(quoted, r"\[\\\^", "[^")  # a set that begins so is a negated one
+    outside = r"(?![^\[]*\])"
+    return F.regexp_replace(F.regexp_replace(quoted, "%" + outside, ".*"), "_" + outside, ".")
+
+
+def _set_grams(texts: DataFrame, listed: DataFrame) -> DataFrame:
+    """Texts without a literal, beside each pair of characters that two neighbouring sets of theirs may stand for, or each
+    character of their first set if no two are neighbours.
+
+    Sets are spelled out over the characters that occur in the list at all, which is one small array.
+    """
+    letters = listed.select(F.explode(F.split("_text", "")).alias("_letter")).where("_letter <> ''")
+    alphabet = letters.agg(F.collect_set("_letter").alias("_letters")).scalar()
+    a_set = r"(\[[^\]]*\])"
+    part = lambda i: F.regexp_extract("_domain", a_set + a_set, i)
+    first = F.when(part(1) != "", part(1)).otherwise(F.regexp_extract("_domain", a_set, 1))
+    spelled = texts.withColumns({"_first": _pattern(first), "_second": _pattern(part(2)), "_letters": alphabet})
+    members = lambda name: F.filter("_letters", lambda c: F.rlike(c, F.concat(F.lit("^"), F.col(name), F.lit("$"))))
+    ones = spelled.withColumn("_one", F.explode(members("_first")))
+    seconds = F.when(F.col("_second") == "", F.array(F.lit(""))).otherwise(members("_second"))
+    return ones.select("_domain", "_one", "_pattern", F.explode(seconds).alias("_two")).select(
+        "_domain", F.concat("_one", "_two").alias("_anchor"), "_pattern"
+    )

@@ -56,37 +56,57 @@ def widths(df: DataFrame, declared: Mapping[str, int]) -> DataFrame:
     return found.select(F.inline(F.array(*rows)))
 
 
+ITEM = "table_name string, rule string, column_name string, value string, child long, parent long"
+
+
+def _item(table: str, rule: str, column: str, value: Column, child: int = 1, parent: int = 0) -> Column:
+    cells = [F.lit(table), F.lit(rule), F.lit(column), value.cast("string"), F.lit(child).cast("long"), F.lit(parent).cast("long")]
+    names = [part.split()[0] for part in ITEM.split(", ")]
+    return F.struct(*[c.alias(n) for c, n in zip(cells, names)])
+
+
+def audit_items(df: DataFrame, table: str, given: Sequence[str]) -> DataFrame:
+    """What one table brings into its audits, in one scan: each row's keys and foreign keys, and an item for each empty
+    cell and each text that is too long. ``given`` names all audited tables."""
+    items = []
+    for rule, keys in (("key", KEYS), ("natural key", NATURAL_KEYS)):
+        if columns := keys.get(table):
+            value = F.col(columns[0]) if len(columns) == 1 else F.to_json(F.struct(*columns))
+            items.append(_item(table, rule, ", ".join(columns), value))
+    for column in REQUIRED.get(table, []):
+        items.append(F.when(F.col(column).isNull(), _item(table, "required", column, F.lit(None))))
+    for column, width in declared_widths(table).items():
+        long = F.length(F.rtrim(F.col(column))) > width
+        items.append(F.when(long, _item(table, "width", column, F.lit(None))))
+    for child, column, parent, parent_key in FOREIGN_KEYS:
+        if {child, parent} <= set(given):
+            if table == child:
+                items.append(F.when(F.col(column).isNotNull(), _item(child, "foreign key", column, F.col(column))))
+            if table == parent:
+                items.append(_item(child, "foreign key", column, F.col(parent_key), 0, 1))
+    held = F.filter(F.array(*items), lambda i: i.isNotNull())
+    return df.select(F.explode(held).alias("_item")).select("_item.*")
+
+
 def audit_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(table_name, rule, column_name, n_bad) of every declared rule that a given table breaks.
 
     ``n_bad`` counts keys that occur several times, rows without a parent, empty cells and texts
     that are too long. Columns a frame lacks count as NULL. A foreign key is checked if both of its
     tables are given.
-    """
-    full = {name: conform(df, name) for name, df in tables.items()}
-    found = []
-
-    def note(table: str, rule: str, column: str, bad: DataFrame) -> None:
-        count = bad.agg(F.count("*").alias("n_bad"))
-        found.append(_finding(table, rule, F.lit(column), count))
-
-    for table, df in full.items():
-        for rule, keys in (("key", KEYS), ("natural key", NATURAL_KEYS)):
-            if table in keys:
-                note(table, rule, ", ".join(keys[table]), duplicates(df, keys[table]))
-        if table in REQUIRED:
-            empty = nulls(df, REQUIRED[table]).withColumnRenamed("n_null", "n_bad")
-            found.append(_finding(table, "required", F.col("column_name"), empty))
-        if declared := declared_widths(table):
-            long = widths(df, declared).withColumnRenamed("n_too_long", "n_bad")
-            found.append(_finding(table, "width", F.col("column_name"), long))
-    for child, column, parent, parent_key in FOREIGN_KEYS:
-        if child in full and parent in full:
-            note(child, "foreign key", column, orphans(full[child], column, full[parent], parent_key))
-    return reduce(DataFrame.unionByName, found).where("n_bad > 0")
-
 
-def _finding(table: str, rule: str, column: Column, counted: DataFrame) -> DataFrame:
-    return counted.select(
-        F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), column.alias("column_name"), "n_bad"
+    Every table is scanned once for all of its rules. Its items are counted by value in one aggregate that all tables
+    and rules share; a value that most rows have, or a column that is mostly empty, is one row for each task.
+    """
+    items = [audit_items(conform(df, name), name, list(tables)) for name, df in tables.items()]
+    counted = reduce(DataFrame.unionByName, items).groupBy("table_name", "rule", "column_name", "value").agg(
+        F.sum("child").alias("n"), F.max("parent").alias("parent")
+    )
+    rule = F.col("rule")
+    bad = (
+        F.when(rule.isin("key", "natural key"), (F.col("n") > 1).cast("long"))
+        .when(rule == "foreign key", F.when(F.col("parent") == 0, F.col("n")).otherwise(0))
+        .otherwise(F.col("n"))
     )
+    found = counted.groupBy("table_name", "rule", "column_name").agg(F.sum(bad).alias("n_bad"))
+    return found.where("n_bad > 0")

@@ -10,6 +10,7 @@ from fleetmart.plans.derived import with_domain_counts
 from fleetmart.plans.inventory import change_counts
 from fleetmart.registry import standins as S
 from fleetmart.registry.base import Tables, query
+from fleetmart.schemas import check_key_texts, with_key_texts
 
 # Servers whose domain is complete, a part contained in several, blank, or unknown.
 SERVERS = """
@@ -215,6 +216,61 @@ def excluded(t: Tables):
     return kept.select("ManagedEntityRowId", "DisplayName")
 
 
+# The same by the type of the columns; a third of the computers and of the databases share one name.
+HOT_COMPUTERS = f"""
+SELECT ManagedEntityRowId, CASE WHEN DisplayName < 'Customer#000000500' THEN concat(upper(Name), '  ') ELSE Name END AS Name
+FROM ({S.COMPUTER_ENTITIES}) c"""
+
+
+@query(
+    "host_semi_collated",
+    f"""SELECT ManagedEntityRowId, Name FROM ({HOT_COMPUTERS}) c
+        WHERE rtrim(lower(Name)) IN (SELECT lower(Maschine) FROM ({S.SERVER_TARGET}) s)""",
+)
+def host_semi_collated(t: Tables):
+    entities = check_key_texts(with_key_texts(t.sql(HOT_COMPUTERS), "ManagedEntity"), "ManagedEntity")
+    servers = check_key_texts(with_key_texts(t.sql(S.SERVER_TARGET), "SQLServer"), "SQLServer")
+    return J.same_name(entities, "Name", servers, "Maschine").select("ManagedEntityRowId", F.col("Name").cast("string").alias("Name"))
+
+
+@query(
+    "exclude_names_collated",
+    f"""SELECT ManagedEntityRowId, DisplayName FROM ({S.DATABASE_ENTITIES}) d
+        WHERE lower(DisplayName) NOT IN (SELECT Name FROM ({S.EXCLUDED}) x)""",
+)
+def exclude_names_collated(t: Tables):
+    databases = with_key_texts(t.sql(S.DATABASE_ENTITIES), "ManagedEntity")
+    kept = J.exclude_names(databases, "DisplayName", with_key_texts(t.sql(S.EXCLUDED), "ExcludeDB"))
+    return kept.select("ManagedEntityRowId", F.col("DisplayName").cast("string").alias("DisplayName"))
+
+
+# Texts of sets alone: beside each other, apart, with a range, a negated one, an empty one.
+SETS = """
+SELECT s_suppkey AS ManagedEntityRowId,
+       CASE WHEN s_acctbal < 1000 THEN '[nx][ay]' WHEN s_acctbal < 2500 THEN '[0-2]%[.]' WHEN s_acctbal < 4000 THEN '_[5-9][a-z.]'
+            WHEN s_acctbal < 5500 THEN '[^a-z0-9_]' WHEN s_acctbal < 7000 THEN '[z][z]' WHEN s_acctbal < 8500 THEN '%[3]%'
+            ELSE '[A-M][s][^b]' END AS Domain
+FROM {supplier}"""
+SET_PATTERN = "replace(replace(lower(x.Domain), '%', '.*'), '[^a-z0-9_]', '[^a-z0-9~]')"
+
+
+@query(
+    "lookup_like_sets",
+    f"""SELECT s.ManagedEntityRowId, s.Domain,
+               CASE WHEN b.DomainId IS NOT NULL THEN coalesce(b.CustomerName, '???') END AS SQLMandantName
+        FROM ({SETS}) s LEFT JOIN (
+            SELECT x.Domain AS wanted, d.*, row_number() OVER (
+                       PARTITION BY x.Domain ORDER BY length(d.DomainDnsName) DESC, d.DomainId) AS rn
+            FROM (SELECT DISTINCT Domain FROM ({SETS}) a) x
+            JOIN ({DIMENSION}) d
+              ON regexp_matches(lower(d.DomainDnsName), replace(replace({SET_PATTERN}, '_', '.'), '~', '_'))) b
+          ON b.wanted = s.Domain AND b.rn = 1""",
+)
+def lookup_like_sets(t: Tables):
+    dimension = L.domain_dimension(t.sql(S.DOMAINS), t.sql(S.CUSTOMERS))
+    return L.with_customer(t.sql(SETS), "Domain", dimension, {"SQLMandantName": "CustomerName"}, like=True)
+
+
 @query(
     "change_count",
     """SELECT o_orderkey, (SELECT count(*) FROM {lineitem} WHERE l_orderkey = o_orderkey) AS Changes

@@ -1,5 +1,7 @@
 """Queries for seeds, reloads, schema extension and audits."""
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -9,7 +11,7 @@ from fleetmart.operators.joins import active_types
 from fleetmart.registry import standins as S
 from fleetmart.registry.base import TABLES, Tables, query, shown
 from fleetmart.session import shared_dir
-from fleetmart.sources import seeds
+from fleetmart.sources import files, seeds
 from fleetmart.sources.snapshots import Snapshots
 
 # Seeds: the given rows written out as text in both dialects.
@@ -177,6 +179,50 @@ def rename_column(t: Tables):
     return evolve.recast_column(rows, "c_mktsegment", "int")
 
 
+# A stored table that gets the columns its dictionary names, and some that it cannot get.
+STORED = ["ManagedEntityRowId", "DisplayName", "IPAddress"]
+OWN = "SELECT ManagedEntityRowId, DisplayName, IPAddress FROM ({}) c".format(S.COMPUTER_TARGET)
+LATER = "SELECT c_custkey AS ManagedEntityRowId, c_name AS DisplayName, c_mktsegment AS SegmentFURNITURE FROM {customer} WHERE c_mktsegment = 'FURNITURE'"
+BARRED = ["ipaddress", "", "Two Words", "SegmentFURNITURE"]
+
+
+def added_columns() -> str:
+    dictionary = f"SELECT DISTINCT PropertySystemName AS p FROM ({S.COMPUTER_DICTIONARY}) d"
+    typed = f"ManagedEntityTypeRowId IN (SELECT ManagedEntityTypeRowId FROM ({S.COMPUTER_TYPES}) y)"
+    return f"(SELECT count(*) FROM ({dictionary} WHERE {typed}) n WHERE lower(p) NOT IN ('managedentityrowid', 'displayname', 'ipaddress'))"
+
+
+@query(
+    "extend_table",
+    f"""SELECT ManagedEntityRowId, DisplayName, IPAddress, CAST(NULL AS VARCHAR) AS SegmentFURNITURE,
+               {added_columns()} + 1 AS n_added, 3 AS n_failed, 0 AS n_rewritten FROM ({OWN}) o
+        UNION ALL
+        SELECT ManagedEntityRowId, DisplayName, NULL, SegmentFURNITURE, {added_columns()} + 1, 3, 0 FROM ({LATER}) l""",
+)
+def extend_table(t: Tables):
+    """Rows written before and after a stored table got new columns, how many it got and did not, and files written again."""
+    name = f"fleetmart_extended_{uuid.uuid4().hex}"
+    folder = shared_dir(t.spark, "extended")
+    t.sql(OWN).write.option("path", folder).format("parquet").saveAsTable(name)
+    try:
+        before = files.children(t.spark, folder)
+        plan = evolve.missing_columns(t.sql(S.COMPUTER_DICTIONARY), active_types(t.sql(S.COMPUTER_TYPES)), "Computer", STORED)
+        wanted = evolve.column_names([plan])["Computer"]
+        done = evolve.extend_table(t.spark, name, [*wanted, *BARRED])
+        later = t.sql(LATER)
+        columns = t.spark.table(name).columns
+        cells = [F.col(c) if c in later.columns else F.lit(None).cast("string").alias(c) for c in columns]
+        later.select(*cells).write.insertInto(name)
+        after = files.children(t.spark, folder)
+        schema = t.spark.table(name).schema
+    finally:
+        t.spark.sql(f"DROP TABLE IF EXISTS {name}")  # the folder stays for the readers of the result
+    rows = t.spark.read.schema(schema).parquet(folder)
+    counts = [len(done.added), len(done.failed), len(set(before) - set(after))]
+    names = ["n_added", "n_failed", "n_rewritten"]
+    return rows.select(*STORED, "SegmentFURNITURE", *[F.lit(n).cast("long").alias(c) for n, c in zip(counts, names)])
+
+
 @query(
     "audit_duplicates",
     """SELECT l_orderkey, l_linenumber, count(*) AS n FROM {lineitem}

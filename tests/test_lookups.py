@@ -2,6 +2,7 @@ import fixtures
 import pytest
 from pyspark.sql import functions as F
 
+from fleetmart import schemas
 from fleetmart.operators import joins as J
 from fleetmart.operators import lookups as L
 from fleetmart.plans import derived as D
@@ -166,3 +167,41 @@ def test_server_properties(spark, rows):
     ]
     days = {r.ID: r.NotFoundSinceDay for r in servers.collect()}
     assert days == {1: None, 2: None, 3: None, 4: None, 5: 2}
+
+
+@pytest.mark.parametrize(
+    "text, hits",
+    [("[ab][cd]", "ac ad"), ("[^a-z.]", "bär"), ("[z][z]", ""), ("[x]_[x]", "x.x"), ("%[9]", "d9"), ("[a-c]%[.]", "b.c"), ("[ä-ü]", "bär")],
+)
+def test_sets_alone(spark, text, hits):
+    """Texts of sets meet the domains that hold one of their pairs or characters, and no others."""
+    names = ["acme", "bad", "d9", "x.x", "b.c", "bär", "", "oak"]
+    listed = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "DomainId int, DomainDnsName string")
+    keyed = listed.selectExpr("*", "lower(DomainDnsName) AS _text")
+    wild = spark.createDataFrame([(text, "")], "_domain string, _pattern string")
+    grams = L._set_grams(wild, keyed)
+    met = L._pieces(keyed, grams, "_anchor").select("DomainDnsName").distinct()
+    assert met.count() < len(names) - 1
+    take = {"hit": "DomainDnsName"}
+    df = spark.createDataFrame([(text,)], "Domain string")
+    found = L.with_customer(df, "Domain", listed, take, like=True).first().hit
+    longest = max(hits.split(), key=lambda h: len(next(n for n in names if h in n)), default=None)
+    assert found == (None if longest is None else next(n for n in names if longest in n))
+
+
+def test_names_by_their_type(spark, side, rows):
+    """Columns with the type of names give what keys give, with a hot name; a side without it is compared by key."""
+    left = spark.range(3000).selectExpr("id", "case when id < 1000 then concat('HOT', repeat(' ', int(id % 3))) when id = 1001 then null else concat('n', id) end AS Name")
+    right = spark.createDataFrame([("hot ",), ("N2000",), ("absent",)], "Maschine string")
+    typed, names = schemas.with_key_texts(left, "ManagedEntity"), schemas.with_key_texts(right, "SQLServer")
+    plain = rows(J.same_name(left, "Name", right, "Maschine"))
+    for one, other in ((typed, names), (typed, right), (left, names)):
+        assert rows(J.same_name(one, "Name", other, "Maschine")) == plain
+    assert len(plain) == 1001
+    listed = right.withColumnRenamed("Maschine", "Name")
+    kept = rows(J.exclude_names(left, "Name", listed))
+    assert rows(J.exclude_names(typed, "Name", schemas.with_key_texts(listed, "ExcludeDB"))) == kept
+    assert len(kept) == 3000 - 1001 - 1
+    assert schemas.check_key_texts(typed, "ManagedEntity") is typed
+    with pytest.raises(TypeError, match="Name"):
+        schemas.check_key_texts(left, "ManagedEntity")

@@ -131,3 +131,44 @@ def fixtures_lit():
     from pyspark.sql import functions as F
 
     return F.lit(1)
+
+
+def test_audits_scan_each_table_once(spark, tmp_path, rows):
+    from fleetmart.operators import quality
+
+    domains = spark.createDataFrame(
+        [(1, 1, "a"), (1, None, "b"), (2, 9, None), (3, 9, "c"), (None, 1, "d"), (None, 1, "e" * 300)],
+        "DomainId int, CustomerId int, DomainDnsName string",
+    )
+    customers = spark.createDataFrame([(1, "x"), (2, None), (2, "y" * 300)], "CustomerId int, Name string")
+    tables = {}
+    for name, df in {"CustomerDomain": domains, "Customer": customers}.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+        tables[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    found = quality.audit_tables(tables)
+    shown = [(r.table_name, r.rule, r.column_name, r.n_bad) for r in found.collect()]
+    assert set(shown) >= {
+        ("CustomerDomain", "key", "DomainId", 2),
+        ("CustomerDomain", "foreign key", "CustomerId", 2),
+        ("CustomerDomain", "width", "DomainDnsName", 1),
+        ("Customer", "key", "CustomerId", 1),
+        ("Customer", "required", "Name", 1),
+    }
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 2
+    alone = quality.audit_tables({"CustomerDomain": tables["CustomerDomain"]})
+    assert "foreign key" not in {r.rule for r in alone.collect()}
+
+
+def test_extend_table(spark, tmp_path, rows):
+    from fleetmart.operators import evolve
+
+    folder = f"{tmp_path}/t"
+    spark.range(2).selectExpr("id", "'x' AS a").write.option("path", folder).format("parquet").saveAsTable("extended")
+    try:
+        done = evolve.extend_table(spark, "extended", ["b", "A", "", "c d", "b", "e`f"])
+        assert (done.added, done.failed) == (["b", "c d", "e`f"], ["A", "", "b"])
+        spark.sql("INSERT INTO extended VALUES (5, 'y', 'new', NULL, 'z')")
+        assert rows(spark.table("extended")) == [(0, "x", None, None, None), (1, "x", None, None, None), (5, "y", "new", None, "z")]
+        assert rows(evolve.read_evolved(spark, folder), "id", "b") == [(0, None), (1, None), (5, "new")]
+    finally:
+        spark.sql("DROP TABLE extended")
