@@ -14,11 +14,11 @@ then the centres leave their buckets. Buckets in which all that is left lies in
 links could tell nothing new; in the others new centres follow, ever more, first at random, so
 that the many members of a large group meet at once, then from the components that are rare in the bucket. The
 rounds end when no bucket is open. So every two classes that share a bucket are in the end in one component or were
-compared, and no bucket's pairs are emitted as a whole. Before full sets are fetched for a comparison, one bit of each of
-``BITS`` finer bins is compared, unless a set is smaller than ``SHORT``: links differ in more than ``MOST_BITS`` with a
-probability under 1e-6, as measured spreads tell (see there). After the
-second round the shingles that only one open class has are counted, too: they bound what two classes can have in
-common, exactly, and spare the comparisons within groups of many copies that were changed a little too much. The sets
+compared, and no bucket's pairs are emitted as a whole. Before a pair of a centre and another class becomes a row, two bounds
+are asked that can't be wrong. Each class has ``BITS`` parities: whether an odd number of its shingles falls into a cell.
+Two sets differ in at least as many shingles as they differ in parities, and similar ones differ in few. After the second
+round the shingles that only one open class has are counted, too: they bound what two classes can have in
+common. So within a large group of copies that were changed a little too much hardly any pair is made. The sets
 lie in a table bucketed by class, so a round moves the sets of its pairs, and no others.
 
 Defined results: see ``near_duplicates``.
@@ -46,14 +46,9 @@ BANDS = 44
 ROWS = 5
 BINS = BANDS * ROWS
 SEED = 9
-#: Finer bins of which a bit is kept, and the number of differing ones beyond which two sets aren't compared. Simulated
-#: pairs of similarity 0.75 had a mean of 128 and a standard deviation of 11.6 at 64 shingles of both together, 11.3 at
-#: 256, 10.5 at 1,024 and 10.1 at 4,096, with a skew of 0.04 to 0.08; the most in 710,562 pairs from 64 on was 183.
+#: Cells whose parities bound the difference of two sets; they tell least about sets of far more shingles than this, which
+#: are then compared in full.
 BITS = 1024
-MOST_BITS = 192
-#: Sets of fewer shingles are compared whatever their bits: the fewer, the longer the tail (200 differed in 12,098 pairs
-#: at 4 shingles).
-SHORT = 64
 #: Bands whose stars make the first round.
 FIRST_BANDS = 8
 #: Centres that one share of a bucket chooses. Spark cuts to so many before they are dealt out, as it is under
@@ -128,10 +123,10 @@ def signature(hashes: np.ndarray, bins: int = BINS) -> np.ndarray:
     return hashes[at]
 
 
-def bits(least: np.ndarray) -> np.ndarray:
-    """One bit of each hash of a signature of ``BITS`` bins, packed into numbers."""
-    each = _mix(least + np.arange(BITS, dtype=np.uint64) * _M1) & np.uint64(1)
-    return np.packbits(each.astype(np.uint8)).view(np.int64)
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """Whether an odd number of shingles falls into each cell, packed into numbers."""
+    odd = np.bincount((hashes & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def buckets(least: np.ndarray) -> np.ndarray:
@@ -157,7 +152,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes.append(len(hashes))
             classes.append(_class_of(hashes) if len(hashes) else None)
             keys.append(buckets(least) if len(hashes) else None)
-            packed.append(bits(signature(hashes, BITS)) if len(hashes) else None)
+            packed.append(parities(hashes) if len(hashes) else None)
         yield pa.RecordBatch.from_arrays(
             [batch["doc_id"], batch["text_key"], pa.array(classes, pa.int64()), pa.array(sizes, pa.int64()),
              pa.array(keys, pa.list_(pa.int64())), pa.array(packed, pa.list_(pa.int64()))],
@@ -220,7 +215,7 @@ def sets_of(rows: DataFrame, docs: DataFrame, members: DataFrame) -> DataFrame:
     return found.groupBy("class").agg(F.first("shingles").alias("shingles"))
 
 
-#: What is known of a class: the size of its set, how much of it others may have, its bits, and from the third round
+#: What is known of a class: the size of its set, how much of it others may have, its parities, and from the third round
 #: on its open buckets.
 ABOUT = ["n", "most", "bits", "among"]
 
@@ -252,7 +247,8 @@ def _pairs(centres: DataFrame, held: DataFrame) -> DataFrame:
     c, m = centres.alias("c"), held.alias("m")
     off = sum(F.bit_count(F.col("c.bits")[i].bitwiseXOR(F.col("m.bits")[i])) for i in range(BITS // 64))
     common = "least(c.most, m.most)"
-    fits = F.expr(f"100 * {common} >= {LEAST} * (c.n + m.n - {common})") & (F.expr(f"least(c.n, m.n) < {SHORT}") | (off <= MOST_BITS))
+    # Of n + m shingles, two linked sets have at most (100 - LEAST) / (100 + LEAST) that the other one lacks.
+    fits = F.expr(f"100 * {common} >= {LEAST} * (c.n + m.n - {common})") & (off * (100 + LEAST) <= (F.col("c.n") + F.col("m.n")) * (100 - LEAST))
     pairs = c.join(m, F.expr("c.bucket = m.bucket AND c.component <> m.component")).where(fits)
     pairs = pairs.where("NOT m.centre OR c.class < m.class")  # two centres meet once
     # A pair that meets in several buckets is compared in the first of them.
@@ -329,9 +325,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     spark, name = docs.sparkSession, f"fleetmart_sets_{uuid.uuid4().hex}"
     slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sets = sets_of(rows, docs, members).repartition(slices, "class")
-    sets.write.bucketBy(slices, "class").sortBy("class").format("parquet").saveAsTable(name)
-    labels = class_components(members, spark.table(name))
-    spark.sql(f"DROP TABLE {name}")
+    try:
+        sets.write.bucketBy(slices, "class").sortBy("class").format("parquet").saveAsTable(name)
+        labels = class_components(members, spark.table(name))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
     classes = rows.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
     known = classes.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))

@@ -78,6 +78,50 @@ def test_signature_estimates_similarity():
         assert np.mean(agree) == pytest.approx(size / (size + size // 3), abs=0.03)
 
 
+def differing(a, b):
+    x, y = neardup.parities(a), neardup.parities(b)
+    return int(np.bitwise_count((x ^ y).view(np.uint64)).sum())
+
+
+@pytest.mark.parametrize("size", [1, 5, 146, 3000])
+def test_parities_never_tell_too_much(size):
+    """Sets differ in as many shingles as in parities at least; in about as many where sets are smaller than the cells."""
+    rng = np.random.default_rng(size)
+    for _ in range(200):
+        both = rng.integers(0, 2**64, size=size, dtype=np.uint64)
+        a, b = (np.unique(np.append(both[: rng.integers(0, size + 1)], rng.integers(0, 2**64, size=rng.integers(0, size + 1), dtype=np.uint64))) for _ in range(2))
+        apart = len(np.setxor1d(a, b))
+        assert differing(a, b) <= apart
+        assert size > 200 or differing(a, b) >= 0.6 * apart
+
+
+def test_few_pairs_in_a_large_group_below_the_threshold(spark, monkeypatch):
+    """1,500 texts, each changed in eight places of 150 words: hardly any two are similar enough, and pairs grow with the texts."""
+    rng = random.Random(6)
+    base = [f"b{i}" for i in range(150)]
+    made = []
+    for i in range(1500):
+        text = list(base)
+        for place in rng.sample(range(150), 8):
+            text[place] = f"x{i}y{place}"
+        made.append((i, " ".join(text)))
+    real, pairs = neardup.staged, []
+
+    def counting(df, purpose):
+        out = real(df, purpose)
+        if purpose == "pairs":
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "staged", counting)
+    assert run(spark, made[:750]) == brute(made[:750])
+    few = sum(pairs)
+    pairs.clear()
+    found = run(spark, made)
+    assert sum(pairs) <= 3 * max(few, 750) and sum(pairs) < 15_000
+    assert found == brute(made)
+
+
 def test_buckets_meet_at_the_threshold():
     rng = np.random.default_rng(1)
     missed, far = 0, 0
@@ -86,17 +130,16 @@ def test_buckets_meet_at_the_threshold():
         a, b = (np.unique(np.append(both, rng.integers(0, 2**64, size=20, dtype=np.uint64))) for _ in range(2))
         x, y = neardup.signature(a), neardup.signature(b)
         missed += not (neardup.buckets(x) == neardup.buckets(y)).any()
-        x, y = (neardup.bits(neardup.signature(s, neardup.BITS)) for s in (a, b))
-        far += sum(int(v).bit_count() for v in (x ^ y).view(np.uint64)) > neardup.MOST_BITS
+        far += 7 * differing(a, b) > len(a) + len(b)
     assert missed == 0 and far == 0
 
 
 def test_short_sets_are_linked_whatever_their_bits(spark):
-    """Three of four shingles: similarity 0.75, five buckets in common, and 197 of 1024 bits differ."""
+    """Three of four shingles: similarity 0.75, at the very limit of both the sets and the parities."""
     words = [f"w3249x{i}" for i in range(8)]
     rows = [(1, " ".join(words)), (2, " ".join(words[:7])), (3, "some other text of a few words")]
-    a, b = (neardup.bits(neardup.signature(neardup.shingles(t), neardup.BITS)) for _, t in rows[:2])
-    assert int(np.bitwise_count((a ^ b).view(np.uint64)).sum()) == 197 > neardup.MOST_BITS
+    a, b = (neardup.shingles(t) for _, t in rows[:2])
+    assert 7 * differing(a, b) <= len(a) + len(b)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {(r.doc_id, r.component_id) for r in neardup.near_duplicates(docs).collect()} == {(1, 1), (2, 1), (3, 3)}
 
