@@ -81,3 +81,19 @@ def test_packing_holds_all(stages):
 
 def test_run(spark, given):
     assert corpus_pipeline.run(spark, given.folder).columns[:3] == ["doc_id", "start", "length"]
+
+
+def test_clashing_names(spark, given):
+    """Columns that are called like what the stages make are kept."""
+    names = ["_told", "_scrubbed", "_changed", "row", "p", "spans", "group", "place", "key", "id", "text_key", "letters"]
+    docs = given.documents.limit(40).select("*", *[F.lit(f"own {n}").alias(n) for n in names])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, given.folder)
+        assert out.columns == docs.columns and out.count() > 0
+        assert {tuple(r) for r in out.select(*names).collect()} == {tuple(f"own {n}" for n in names)}
+
+
+def test_no_documents(spark, given):
+    docs = given.documents.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, given.folder).count() == 0
