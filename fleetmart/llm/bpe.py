@@ -25,11 +25,12 @@ import re
 import sys
 import unicodedata
 import uuid
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import cache
-from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import SparkFiles
@@ -43,7 +44,7 @@ LEXICON = 50_000
 #: Words longer than this (in bytes) are merged, not looked up.
 LONGEST = 64
 #: Words whose ids a worker remembers, and those it counts before it hands counts on.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 COUNTED = 300_000
 #: Documents in one batch of results.
 BATCH = 500
@@ -319,33 +320,40 @@ class Lexicon:
 
 
 class _Memory(dict):
-    """Ids of words that a worker has met, from the lexicon or merged."""
+    """Words that a worker has met, from the lexicon or merged: their ids as 32-bit numbers end to end, and the ids' text."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon):
         self.vocabulary, self.lexicon = vocabulary, lexicon
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def __missing__(self, word: str) -> tuple[bytes, str]:
         data = word.encode("utf-8")
         ids = self.lexicon.get(data) if len(data) <= LONGEST else None
         if ids is None:
             ids = self.vocabulary.merge(word)
         if len(self) >= REMEMBERED:
             self.clear()
+        found = array("i", ids).tobytes(), self.vocabulary.decode(ids)
         if len(data) <= LONGEST:
-            self[word] = ids
-        return ids
+            self[word] = found
+        return found
 
 
-def encode_text(memory: _Memory, text: str) -> list[int]:
-    out: list[int] = []
+def encode_words(memory: _Memory, text: str) -> list[tuple[bytes, str]]:
+    """Every word's ids and their text, in order."""
+    out: list[tuple[bytes, str]] = []
     for special, words in memory.vocabulary.parts(text):
         if special:
-            out.append(memory.vocabulary.special[words[0]])
+            i = memory.vocabulary.special[words[0]]
+            out.append((array("i", [i]).tobytes(), memory.vocabulary.decode([i])))
         else:
-            out.extend(chain.from_iterable(map(memory.__getitem__, words)))
+            out += map(memory.__getitem__, words)
     return out
 
 
+def encode_text(memory: _Memory, text: str) -> list[int]:
+    return array("i", b"".join([ids for ids, _ in encode_words(memory, text)])).tolist()
+
+
 @cache
 def _vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
@@ -419,11 +427,13 @@ def _encode(vocabulary: str, lexicon: str):
         for part in batches:
             for start in range(0, part.num_rows, BATCH):
                 some = part.slice(start, BATCH)
-                ids = [encode_text(memory, text.as_py() or "") for text in some["text"]]
-                decoded = [memory.vocabulary.decode(i) for i in ids]
+                found = [encode_words(memory, text.as_py() or "") for text in some["text"]]
+                ids = [b"".join([i for i, _ in words]) for words in found]
+                decoded = [" ".join([t for _, t in words]) for words in found]
+                ends = np.cumsum([0, *(len(i) // 4 for i in ids)], dtype=np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))
                 yield pa.RecordBatch.from_arrays(
-                    [some["doc_id"], pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())],
-                    names=["doc_id", "ids", "decoded"],
+                    [some["doc_id"], lists, pa.array(decoded, pa.string())], names=["doc_id", "ids", "decoded"]
                 )
 
     return encode
