@@ -43,13 +43,12 @@ from fleetmart.llm.base import shared_folder, staged, write_file
 LEXICON = 50_000
 #: Words longer than this (in bytes) are merged, not looked up.
 LONGEST = 64
-#: Words whose ids a worker remembers, and those it counts before it hands counts on.
-REMEMBERED = 250_000
+#: Words after which a worker forgets those it has not met since it last did, and those it counts before it hands counts on.
+REMEMBERED = 200_000
 COUNTED = 300_000
 #: Documents in one batch of results.
 BATCH = 500
 WORD_END = "</w>"
-_NO_RANK = 1 << 40
 # Fixed value: how the vocabulary's words are cut out of a normalised text.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
@@ -109,6 +108,7 @@ class Vocabulary:
         pairs = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
         self.ranks = {(self.ids[a], self.ids[b]): i for i, (a, b) in enumerate(pairs)}
         self.merged = [self.ids[a + b] for a, b in pairs]
+        self.signs = _byte_signs()
         self.byte_ids = [self.ids[s] for s in _byte_signs()]
         self.last_ids = [self.ids[s + WORD_END] for s in _byte_signs()]
         special = self.library.get_added_tokens_decoder()
@@ -138,28 +138,19 @@ class Vocabulary:
                 yield (True, [part]) if i % 2 else (False, self.words(part))
 
     def merge(self, word: str) -> tuple[int, ...]:
-        """Ids of a word: the pair of least rank is merged, the first such pair first, until no pair has a rank."""
+        """Ids of a word: the pair of least rank is merged, the first such pair first, until no pair has a rank.
+
+        The library's merger does so for usual words; long ones are merged here, in less time than it would take.
+        """
         data = word.encode("utf-8")
+        if len(data) <= LONGEST:
+            return tuple([t.id for t in self.library.model.tokenize("".join([self.signs[b] for b in data]))])
         ids = [self.byte_ids[b] for b in data[:-1]]
         ids.append(self.last_ids[data[-1]])
-        if len(data) > LONGEST:
-            return self._merge_long(ids)
-        ranks = [self.ranks.get(pair, _NO_RANK) for pair in zip(ids, ids[1:])]
-        while ranks:
-            least = min(ranks)
-            if least == _NO_RANK:
-                break
-            i = ranks.index(least)
-            ids[i : i + 2] = [self.merged[least]]
-            del ranks[i]
-            if i:
-                ranks[i - 1] = self.ranks.get((ids[i - 1], ids[i]), _NO_RANK)
-            if i < len(ranks):
-                ranks[i] = self.ranks.get((ids[i], ids[i + 1]), _NO_RANK)
-        return tuple(ids)
+        return self._merge_long(ids)
 
     def _merge_long(self, ids: list[int]) -> tuple[int, ...]:
-        """The same with a queue of pairs, whose time doesn't grow with the square of the length."""
+        """Merges with a queue of pairs, whose time doesn't grow with the square of the length."""
         parts: list[int | None] = list(ids)
         after = [*range(1, len(parts)), -1]
         before = [*range(-1, len(parts) - 1)]
@@ -323,18 +314,22 @@ class _Memory(dict):
     """Words that a worker has met, from the lexicon or merged: their ids as 32-bit numbers end to end, and the ids' text."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon):
-        self.vocabulary, self.lexicon = vocabulary, lexicon
+        self.vocabulary, self.lexicon, self.before = vocabulary, lexicon, {}
 
     def __missing__(self, word: str) -> tuple[bytes, str]:
-        data = word.encode("utf-8")
-        ids = self.lexicon.get(data) if len(data) <= LONGEST else None
-        if ids is None:
-            ids = self.vocabulary.merge(word)
-        if len(self) >= REMEMBERED:
+        if len(self) >= REMEMBERED:  # what was met since the last time outlives this one, the rest goes
+            self.before = dict(self)
             self.clear()
-        found = array("i", ids).tobytes(), self.vocabulary.decode(ids)
-        if len(data) <= LONGEST:
-            self[word] = found
+        found = self.before.get(word)
+        if found is None:
+            data = word.encode("utf-8")
+            ids = self.lexicon.get(data) if len(data) <= LONGEST else None
+            if ids is None:
+                ids = self.vocabulary.merge(word)
+            found = array("i", ids).tobytes(), self.vocabulary.decode(ids)
+            if len(data) > LONGEST:
+                return found
+        self[word] = found
         return found
 
 

@@ -89,3 +89,24 @@ def test_query(spark, given):
         ids = LIBRARY.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
         decoded = LIBRARY.decode(ids, skip_special_tokens=False)
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), digest(" ".join(map(str, ids))), digest(decoded))
+
+
+def test_long_and_usual_merges_agree():
+    """The queue gives what the library's merger gives, for words of any length."""
+    import random
+
+    rng, vocabulary = random.Random(3), bpe.Vocabulary(PATH)
+    for _ in range(3000):
+        word = "".join(rng.choices("aeiounrst!?é中", k=rng.randrange(1, 20)))
+        data = word.encode()
+        ids = [*(vocabulary.byte_ids[b] for b in data[:-1]), vocabulary.last_ids[data[-1]]]
+        assert vocabulary._merge_long(ids) == vocabulary.merge(word)
+
+
+def test_memory_keeps_what_is_met(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 5)
+    vocabulary = bpe.Vocabulary(PATH)
+    memory = bpe._Memory(vocabulary, bpe.Lexicon(bpe.compile_lexicon({})))
+    text = " ".join(f"the w{i} of" for i in "abcdefghijkl")
+    assert bpe.encode_text(memory, text) == LIBRARY.encode(text, add_special_tokens=False).ids
+    assert len(memory) <= 5 and len(memory.before) <= 5 and ("the" in memory or "the" in memory.before)
