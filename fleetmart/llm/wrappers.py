@@ -5,12 +5,15 @@ host's pages into one template: nodes that simple tree matching aligns become on
 it, the text it holds if that never varies, and the amount of text. The templates of the tasks are merged in the
 same way, first in parts and then per host, so all pages are used and no group of pages is gathered. In a
 host's template, nodes whose text is the same on all pages that have them are its frame, if those are ``SUPPORT`` or
-more different pages and a ``SHARE`` of the host's; copies of a page, with the same text, count once. Of the varying ones,
+more different pages and a ``SHARE`` of the host's, or all of two or more pages; copies of a page, with the same text, count once. Of the varying ones,
 that with most of the text becomes the content. A page is then aligned with its host's wrapper, and its text is taken
 in page order, without frame nodes, without what never varies beside the content node and the nodes around it, and
-without blocks that are named as menus, adverts and the like. What varies beside the content node stays. A name is a
-whole class, id or role without digits, ``-`` and ``_``, and rules no article or main element. A named block that holds
-most of its page's text besides frame stays, unless an article or main element outside of named blocks has text.
+without blocks that are named as menus, adverts and the like. What varies beside the content node stays, but where article
+or main elements hold ``DOMINANT`` of that text, only headings stay beside them. A name is a class, id or role, split at ``-``,
+``_`` and capitals: its first or last word rules, unless the first one denies or allows it (no-comments, has-sidebar), and
+never an article or main element; a form is treated as a named block. A named block that holds most of its page's text
+besides frame stays, unless an article or main element outside of named blocks has text. Ids and classes with digits
+inside, as programs make them up, do not tell nodes apart.
 
 Defined results: a NULL or empty html, and one without text, give an empty text; a NULL or unreadable URL counts
 as a host of its own; a page that has no node where its host's wrapper puts the content is taken as its own template;
@@ -24,6 +27,7 @@ import html
 import json
 import re
 from collections.abc import Iterator
+from functools import cache
 from zlib import crc32
 
 import pandas as pd
@@ -52,7 +56,7 @@ INLINE = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template xmp noframes".split())
 NEVER = frozenset(
-    "head script style noscript iframe template textarea title nav header footer aside form button select option input "
+    "head script style noscript iframe template textarea title nav header footer aside button select option input "
     "svg canvas object embed audio video dialog menu noframes".split()
 )
 WORDS = frozenset(
@@ -61,6 +65,11 @@ WORDS = frozenset(
     "gdpr notice alert popup modal overlay subscribe newsletter signup login search share sharing social comment comments "
     "disqus replies reply respond related recommended pagination pager widget toolbar skip".split()
 )
+#: First words that deny or allow what the others name; and words that name part of the content in a content block's name.
+DENIED = frozenset("no not without has have with show hide is can".split())
+OWN_PART = frozenset("header masthead banner notice alert search promo".split())
+CONTENT = frozenset("article post entry content story text".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 WHOLE = frozenset("article main".split())
 #: Begins the key of a named block, and no tag.
 NAMED = "!"
@@ -78,6 +87,18 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _DIGITS = re.compile(r"[\d_-]+")
+_MADE_UP = re.compile(r"\S*\d[a-zA-Z]\S*")
+_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+
+
+@cache
+def rules_out(name: str) -> bool:
+    """Whether a class, id or role names a block that is no content."""
+    parts = [p.lower() for p in _PART.findall(name)]
+    if not parts or parts[0] in DENIED:
+        return False
+    own = bool(CONTENT.intersection(parts))
+    return any(p in WORDS and not (own and p in OWN_PART) for p in (parts[0], parts[-1]))
 
 
 class Node:
@@ -91,9 +112,9 @@ class Node:
     def __init__(self, tag: str, attributes: str = ""):
         names = [] if not attributes else [(a.lower(), v.strip("\"'")) for a, v in _ATTRIBUTE.findall(attributes)]
         self.tag = tag
-        self.key = ".".join([tag, *sorted(_DIGITS.sub("", v).lower() for a, v in names if a != "role")])
+        self.key = ".".join([tag, *sorted(_DIGITS.sub("", _MADE_UP.sub("", v)).lower().strip() for a, v in names if a != "role")])
         self.skipped = tag in NEVER
-        self.named = tag not in WHOLE and any(w in WORDS for _, v in names for w in _DIGITS.sub("", v).lower().split())
+        self.named = tag == "form" or tag not in WHOLE and any(rules_out(w) for _, v in names for w in v.split())
         if self.named:
             self.key = NAMED + self.key
         self.children: list[Node | str] = []
@@ -248,7 +269,8 @@ def unvarying(t: dict) -> set[int]:
     whole, out = set(t["seen"]), set()
 
     def look(x: dict) -> None:
-        if x["check"] is not None and len(x["seen"]) >= SUPPORT and len(whole.intersection(x["seen"])) >= SHARE * len(whole):
+        enough = min(SUPPORT, max(len(whole), 2))
+        if x["check"] is not None and len(x["seen"]) >= enough and len(whole.intersection(x["seen"])) >= SHARE * len(whole):
             out.add(id(x))
         for k in x["kids"]:
             look(k)
@@ -318,6 +340,24 @@ def _left_out(root: Node, frame: set[int], mute: set[int]) -> set[int]:
     return frame | {id(n) for n, size, whole in sizes if 2 * size <= total or outside and not whole}
 
 
+def _articles_hold_it(root: Node, gone: set[int], mute: set[int]) -> bool:
+    """Whether article and main elements hold ``DOMINANT`` of the text that would be kept."""
+
+    def weigh(node: Node, inside: bool) -> tuple[int, int]:
+        all_text = held = 0
+        for child in node.children:
+            if isinstance(child, str):
+                size = 0 if id(node) in mute else len(clean(child))
+                all_text, held = all_text + size, held + size * inside
+            elif not child.skipped and id(child) not in gone:
+                more, whole = weigh(child, inside or child.tag in WHOLE)
+                all_text, held = all_text + more, held + whole
+        return all_text, held
+
+    all_text, held = weigh(root, False)
+    return held > 0 and held >= DOMINANT * all_text
+
+
 def extract(page: str, wrapper: dict | None) -> str:
     """The page's blocks of content, joined by line ends."""
     group = Group("html", [parse(page)])
@@ -345,22 +385,24 @@ def extract(page: str, wrapper: dict | None) -> str:
             out.append(text)
         held.clear()
 
-    def walk(node: Node) -> None:
+    alone = _articles_hold_it(group.nodes[0], gone, mute)
+
+    def walk(node: Node, kept: bool) -> None:
         for child in node.children:
             if isinstance(child, str):
-                if id(node) not in mute:
+                if id(node) not in mute and kept:
                     held.append(child)
             elif child.tag in INLINE:
                 if id(child) not in gone:
-                    walk(child)
+                    walk(child, kept)
             else:
                 flush()
                 if not child.skipped and id(child) not in gone:
-                    walk(child)
+                    walk(child, kept or child.tag in WHOLE or child.tag in HEADINGS)
                     flush()
 
     for node in group.nodes:
-        walk(node)
+        walk(node, not alone)
         flush()
     return "\n".join(out)
 

@@ -127,3 +127,78 @@ def test_query(spark, given):
         blocks = (re.sub(r"<(?!/?(p|h1)\b)[^>]*>", " ", b) for b in re.split(r"</?(?:p|h1)>", article))
         assert r.text == "\n".join(t for t in (" ".join(html.unescape(b).split()) for b in blocks) if t)
         assert r.n_chars == len(r.text)
+
+
+@pytest.mark.parametrize(("name", "ruled"), [
+    ("comment-list", True), ("user-comments", True), ("cookie-banner", True), ("site_footer", True), ("relatedPosts", True), ("share-2", True),
+    ("no-comments", False), ("has-sidebar", False), ("withBanner", False), ("article-header", False), ("post-comments", True), ("content", False),
+    ("adventure", False), ("", False), ("42", False),
+])
+def test_names(name, ruled):
+    assert wrappers.rules_out(name) is ruled
+
+
+def test_comments_and_adverts_beside_an_article():
+    make = lambda i: (
+        f"<div class=top>Our site</div><h1>Head {i}</h1><article><p>{f'text w{i} ' * 20}</p></article><div id='comment-list'><p>reader {i} says hi</p></div>"
+        f"<div class='related-posts'>Read also {i}</div><div class=x><p>unnamed {i}</p></div>")
+    pages = [make(i) for i in range(20)]
+    wrapper = wrapper_of(pages)
+    for i in (0, 7):
+        assert wrappers.extract(pages[i], wrapper) == f"Head {i}\n" + f"text w{i} " * 19 + f"text w{i}"
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ("<body><form id=aspnetForm><article>long text here</article></form></body>", "long text here"),
+    ("<form id=f><div class=menu>Home</div><div><p>long text here</p><p>and more</p></div><input name=q></form>", "long text here\nand more"),
+    ("<p>long text here</p><form>Your mail: <input></form>", "long text here"),
+])
+def test_page_wide_forms(page, text):
+    assert one(page) == text
+
+
+@pytest.mark.parametrize("count", range(1, 11))
+def test_hosts_of_few_pages(count):
+    """From two different pages on, what is the same on all of them is frame."""
+    make = lambda i: f"<div class=top>Our site menu</div><div class=body><p>{f'text w{i} ' * 20}</p></div><div class=end>Imprint</div>"
+    wrapper = wrapper_of([make(i) for i in range(count)])
+    text = "text w0 " * 19 + "text w0"
+    assert wrappers.extract(make(0), wrapper) == (text if count > 1 else f"Our site menu\n{text}\nImprint")
+
+
+def test_made_up_ids_do_not_grow_the_template():
+    import random
+    import time
+
+    rng = random.Random(4)
+    make = lambda i: "".join(f"<div id=x{rng.randrange(10**6)}a{rng.randrange(10**6)}><p>block {i} {j}</p></div>" for j in range(10))
+    begun, whole = time.monotonic(), None
+    for i in range(3000):
+        t = wrappers.Group("html", [wrappers.parse(make(i))]).template()
+        whole = wrappers.merge(whole, t) if whole else t
+    assert len(whole["kids"]) == 1 and time.monotonic() - begun < 10
+
+
+def test_matching_against_all_pairings():
+    """Simple tree matching against every order-keeping pairing of children."""
+    import random
+    from itertools import combinations
+
+    rng = random.Random(9)
+
+    def tree(depth):
+        return {"key": rng.choice("ab"), "kids": [tree(depth - 1) for _ in range(rng.randrange(0, 4))] if depth else []}
+
+    def best(a, b):
+        if a["key"] != b["key"]:
+            return 0
+        most = 0
+        for n in range(1, min(len(a["kids"]), len(b["kids"])) + 1):
+            for x in combinations(a["kids"], n):
+                for y in combinations(b["kids"], n):
+                    most = max(most, sum(best(p, q) for p, q in zip(x, y)))
+        return 1 + most
+
+    for _ in range(150):
+        a, b = tree(3), tree(3)
+        assert wrappers.matching(a, b) == best(a, b)
