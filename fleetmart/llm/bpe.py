@@ -44,7 +44,7 @@ LEXICON = 50_000
 #: Words longer than this (in bytes) are merged, not looked up.
 LONGEST = 64
 #: Words after which a worker forgets those it has not met since it last did, and those it counts before it hands counts on.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 COUNTED = 300_000
 #: Documents in one batch of results.
 BATCH = 500
@@ -108,7 +108,7 @@ class Vocabulary:
         pairs = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
         self.ranks = {(self.ids[a], self.ids[b]): i for i, (a, b) in enumerate(pairs)}
         self.merged = [self.ids[a + b] for a, b in pairs]
-        self.signs = _byte_signs()
+        self.signs = dict(enumerate(_byte_signs()))
         self.byte_ids = [self.ids[s] for s in _byte_signs()]
         self.last_ids = [self.ids[s + WORD_END] for s in _byte_signs()]
         special = self.library.get_added_tokens_decoder()
@@ -144,7 +144,7 @@ class Vocabulary:
         """
         data = word.encode("utf-8")
         if len(data) <= LONGEST:
-            return tuple([t.id for t in self.library.model.tokenize("".join([self.signs[b] for b in data]))])
+            return tuple([t.id for t in self.library.model.tokenize(data.decode("latin-1").translate(self.signs))])
         ids = [self.byte_ids[b] for b in data[:-1]]
         ids.append(self.last_ids[data[-1]])
         return self._merge_long(ids)
