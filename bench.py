@@ -38,6 +38,11 @@ HEADLINE = [
     "alert_import",
     "maintenance_import",
     "stream_alert_upsert",
+    "stream_maintenance_upsert",
+    "event_scan",
+    "property_shred_mixed",
+    "sql_functions",
+    "audit_tables",
     "databases_list",
     "audit_duplicates",
     "refresh_all",

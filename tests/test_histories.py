@@ -57,13 +57,13 @@ def test_only_days_that_may_hold_a_key_are_opened(spark, tmp_path, rows):
     assert history.count() == 122
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 2])
 def test_same_rows_as_the_whole_plan(spark, tmp_path, rows, seed):
     """Random loads, with keys that come again on other days, against the plan over the whole history."""
     rng = random.Random(seed)
     store = filled(spark, f"{tmp_path}/s", days=25)
     whole = store.read("AlertHistory")
-    for step in range(3):
+    for step in range(2):
         keys = [f"G-{rng.randrange(30)}-{rng.randrange(5)}" for _ in range(25)]
         source = alerts(spark, [(k, rng.choice([None, *range(40)]), rng.randrange(3)) for k in keys])
         as_of = NOW + timedelta(days=5 * step, hours=9)
