@@ -17,7 +17,7 @@ inside, as programs make them up, do not tell nodes apart.
 
 Defined results: a NULL or empty html, and one without text, give an empty text; a NULL or unreadable URL counts
 as a host of its own; a page that has no node where its host's wrapper puts the content is taken as its own template;
-repeated rows are extracted each; an empty table gives no rows; long pages are read whole; other columns are left
+repeated rows are extracted each; an empty table gives no rows; pages without an id and URL share a piece; long pages are read whole; other columns are left
 behind.
 """
 
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import html
 import json
+import math
 import re
 from collections.abc import Iterator
 from functools import cache
@@ -32,10 +33,13 @@ from zlib import crc32
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetmart.llm.base import staged
+
 #: Different pages on which a text must be the same to belong to the frame, and their share of the host's.
 SUPPORT = 5
 SHARE = 0.2
@@ -45,8 +49,14 @@ SAMPLE = 64
 DOMINANT = 0.6
 #: Elements nested more deeply are not told apart from what surrounds them; their text is kept.
 DEPTH = 150
-#: Keys over which a host's templates and pages are spread.
-PARTS = 16
+#: Bytes of html under one key of a large host, and about what a task reads; a host is large from this share of all bytes on.
+PIECE_BYTES = 4 << 20
+TASK_BYTES = 16 << 20
+LARGE = 4096
+#: Tasks that read the pages, the most; beyond, each reads more.
+MOST_TASKS = 100_000
+#: Hosts whose templates a task holds at a time.
+HOSTS_HELD = 1000
 
 # Names of elements and words in their class, id and role.
 INLINE = frozenset(
@@ -408,14 +418,24 @@ def extract(page: str, wrapper: dict | None) -> str:
 
 
 def _templates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A template of every host met and the bytes of its pages; full memory is emptied in between."""
     held: dict[str, dict] = {}
+    size: dict[str, int] = {}
+
+    def emptied() -> pa.RecordBatch:
+        columns = [pa.array(list(held), pa.string()), pa.array(map(json.dumps, held.values()), pa.string()), pa.array(size.values(), pa.int64())]
+        held.clear()
+        size.clear()
+        return pa.RecordBatch.from_arrays(columns, names=["host", "template", "bytes"])
+
     for batch in batches:
-        for host, page in zip(batch["host"], batch["html"]):
+        for host, page, length in zip(batch["host"], batch["html"], pc.binary_length(batch["html"])):
             host, t = host.as_py(), Group("html", [parse(page.as_py() or "")]).template()
             held[host] = merge(held[host], t) if host in held else t
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(list(held), pa.string()), pa.array(map(json.dumps, held.values()), pa.string())], names=["host", "template"]
-    )
+            size[host] = size.get(host, 0) + (length.as_py() or 0)
+            if len(held) >= HOSTS_HELD:
+                yield emptied()
+    yield emptied()
 
 
 def _merged(rows: pd.DataFrame) -> pd.DataFrame:
@@ -436,14 +456,28 @@ def _with_host(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", "html", host.alias("host"))
 
 
-def wrappers(pages: DataFrame) -> DataFrame:
-    """host, wrapper for every host of ``pages`` (url, html)."""
-    held = _with_host(pages).select("host", "html").mapInArrow(_templates, "host string, template string")
-    part = F.pmod(F.xxhash64("template"), F.lit(PARTS)).alias("part")
+def templates(pages: DataFrame) -> DataFrame:
+    """host, template, bytes for the hosts of every task over ``pages`` (page_id, url, html), written once."""
+    made = _with_host(pages).select("host", "html").mapInArrow(_templates, "host string, template string, bytes long")
+    return staged(made, "templates")
+
+
+def wrappers(held: DataFrame) -> DataFrame:
+    """host, wrapper for every host of ``held`` templates.
+
+    They are merged in as many parts as a part then holds, at most, of one host's: both steps grow with the root of their number.
+    """
+    part = F.pmod(F.xxhash64("template"), F.lit(math.isqrt(held.count()) + 1)).alias("part")
     merged = held.groupBy("host", part).applyInPandas(_merged, "host string, template string")
     return merged.groupBy("host").applyInPandas(_induced, "host string, wrapper string")
 
 
+def large_hosts(held: DataFrame, total: int) -> DataFrame:
+    """key (hash of the host), pieces for the hosts that hold a share of 1 / ``LARGE`` of ``total`` bytes: ``LARGE`` rows at most."""
+    sizes = held.groupBy(F.xxhash64("host").alias("key")).agg(F.sum("bytes").alias("bytes"))
+    return sizes.where(F.col("bytes") * LARGE >= total).select("key", F.ceil(F.col("bytes") / PIECE_BYTES).alias("pieces"))
+
+
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     read: dict[str | None, dict | None] = {None: None}
     for batch in batches:
@@ -459,10 +493,22 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def main_texts(pages: DataFrame) -> DataFrame:
     """page_id, url, text of every row of ``pages`` (page_id, url, html).
 
-    Each wrapper stands under several keys, over which its host's pages are spread.
+    The wrapper of a large host stands under a key for every piece of its pages, by their measured bytes, and pages and
+    wrappers meet in as many tasks as all bytes ask for: what a task reads does not grow with the pages or with one host.
     """
-    known = wrappers(pages).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
-    held = _with_host(pages).withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.lit(PARTS)).cast("int"))
-    both = held.join(known, ["host", "part"], "left").select("page_id", "url", "html", "wrapper")
+    held = templates(pages)
+    total = held.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    large = F.broadcast(large_hosts(held, total))
+    tasks = min(total // TASK_BYTES + 1, MOST_TASKS)
+
+    def in_pieces(df: DataFrame) -> DataFrame:
+        keyed = df.withColumn("key", F.xxhash64("host")).join(large, "key", "left")
+        return keyed.withColumn("pieces", F.greatest(F.coalesce("pieces", F.lit(1)), F.lit(1)))
+
+    known = in_pieces(wrappers(held)).withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
+    given = in_pieces(_with_host(pages)).withColumn("piece", F.pmod(F.xxhash64("page_id", "url"), F.col("pieces")))
+    known = known.select("host", "piece", "wrapper").repartition(tasks, "host", "piece")
+    given = given.select("host", "piece", "page_id", "url", "html").repartition(tasks, "host", "piece")
+    both = given.join(known, ["host", "piece"], "left").select("page_id", "url", "html", "wrapper")
     kinds = {f.name: f.dataType.simpleString() for f in pages.schema.fields}
     return both.mapInArrow(_extract, f"page_id {kinds['page_id']}, url {kinds['url']}, text string")

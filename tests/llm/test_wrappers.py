@@ -202,3 +202,23 @@ def test_matching_against_all_pairings():
     for _ in range(150):
         a, b = tree(3), tree(3)
         assert wrappers.matching(a, b) == best(a, b)
+
+
+def test_large_host_in_pieces(spark, monkeypatch):
+    """One host with most pages is spread by its bytes; tasks, pieces and emptied memory change no text."""
+    make = lambda i: f"<div class=top>Our menu</div><div class=body><p>{f'text w{i} ' * 9}</p></div><div class=end>Imprint</div>"
+    rows = [(i, f"http://{'big' if i % 5 else f'h{i % 15}'}.org/{i}", make(i)) for i in range(150)] + [(900, "http://big.org/n", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(6)
+    plain = sorted(map(tuple, wrappers.main_texts(pages).collect()))
+    monkeypatch.setattr(wrappers, "PIECE_BYTES", 1000)
+    monkeypatch.setattr(wrappers, "TASK_BYTES", 4000)
+    monkeypatch.setattr(wrappers, "LARGE", 10)
+    held = wrappers.templates(pages)
+    total = sum(len(h or "") for _, _, h in rows)
+    assert held.agg({"bytes": "sum"}).first()[0] == total
+    large = wrappers.large_hosts(held, total).collect()
+    assert max(r.pieces for r in large) == -(-sum(len(h or "") for _, u, h in rows if "big" in u) // 1000) and len(large) <= 10
+    out = wrappers.main_texts(pages)
+    assert out.rdd.getNumPartitions() == total // 4000 + 1
+    assert sorted(map(tuple, out.collect())) == plain and len(plain) == 151
+    assert plain[0][2] == ("text w0 " * 9).strip()
