@@ -50,7 +50,7 @@ DOMINANT = 0.6
 #: Elements nested more deeply are not told apart from what surrounds them; their text is kept.
 DEPTH = 150
 #: Bytes of html under one key of a large host, and about what a task reads; a host is large from this share of all bytes on.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 512 << 10
 TASK_BYTES = 16 << 20
 LARGE = 4096
 #: Tasks that read the pages, the most; beyond, each reads more.
@@ -509,6 +509,6 @@ def main_texts(pages: DataFrame) -> DataFrame:
     given = in_pieces(_with_host(pages)).withColumn("piece", F.pmod(F.xxhash64("page_id", "url"), F.col("pieces")))
     known = known.select("host", "piece", "wrapper").repartition(tasks, "host", "piece")
     given = given.select("host", "piece", "page_id", "url", "html").repartition(tasks, "host", "piece")
-    both = given.join(known, ["host", "piece"], "left").select("page_id", "url", "html", "wrapper")
+    both = given.join(known.hint("shuffle_hash"), ["host", "piece"], "left").select("page_id", "url", "html", "wrapper")
     kinds = {f.name: f.dataType.simpleString() for f in pages.schema.fields}
     return both.mapInArrow(_extract, f"page_id {kinds['page_id']}, url {kinds['url']}, text string")
