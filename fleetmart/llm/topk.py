@@ -6,8 +6,9 @@ help there. A bucket whose threshold is over one is passed by, and so are all sh
 bucket chooses a test: at a high threshold ranges of the query's largest coordinates (a unit vector close to the
 query must agree with it in each), at a low one the vectors' own lengths. What passes is verified by its product.
 
-Spark deals the vectors over blocks, and each query visits each block: queries are grouped too, so a task holds one
-block of vectors and one group of queries. The k best of every block are merged per query.
+The same holds for the whole table, before anything is moved: its vectors fall into classes of similar length
+(``visits.CELLS`` at most). Each query first meets the class of the longest, which gives it a k-th best score; it then goes
+only to the classes whose longest vector can still reach that, and begins there with this score. The k best are merged per query.
 
 Defined results: vectors that are NULL or hold a NULL or non-finite component take no part, as a query or as a
 candidate; NULL ids likewise, as there is nothing to return; repeated rows count as candidates each, but never for a
@@ -23,9 +24,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Vectors in a block and queries in a group: what one task holds.
-BLOCK_ROWS = 4096
-GROUP_ROWS = 4096
+from fleetmart.llm import visits
+from fleetmart.llm.base import staged
+
 SHRINK = 0.9
 #: Local cosine threshold from which coordinates are tested, and how many of them.
 CLOSE = 0.6
@@ -82,19 +83,23 @@ def coordinate_range(coordinate: np.ndarray, threshold: float) -> tuple[np.ndarr
     return np.cos(np.minimum(np.pi, angle + most)), np.cos(np.maximum(0, angle - most))
 
 
-def search_block(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int):
-    """The k best candidates of one block for each query: (query row, id, score) arrays."""
+def search_block(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, floors=None):
+    """The k best candidates of one block for each query: (query row, id, score) arrays.
+
+    ``floors``: a score for each query below which none is wanted.
+    """
     norms = np.sqrt((vectors.astype(np.float64) ** 2).sum(axis=1))
     order = np.lexsort((ids, -norms))
     ids, vectors, norms = ids[order], vectors[order], norms[order]
     units = vectors / np.where(norms == 0, 1, norms)[:, None]
     buckets = norm_buckets(norms)
     out = []
-    for row, (own, query) in enumerate(zip(query_ids, queries)):
+    floors = np.full(len(queries), -np.inf) if floors is None else floors
+    for row, (own, query, floor) in enumerate(zip(query_ids, queries, floors)):
         norm = float(np.sqrt((query.astype(np.float64) ** 2).sum()))
         best_ids, best = np.empty(0, np.int64), np.empty(0, np.int64)
         for start, end in buckets:
-            least = best[k - 1] if len(best) >= k else -np.inf
+            least = max(floor, best[k - 1]) if len(best) >= k else floor
             if least > norm * norms[start] * (1 + 1e-9) + 1e-6:
                 break  # and so for all shorter vectors
             at = start + candidates(query, norm, units[start:end], norms[start:end], least)
@@ -117,6 +122,7 @@ def _search(k: int):
                 row, ids, scores = search_block(
                     block["vec_id"].to_numpy(), np.stack(block["vector"].to_list()).astype(np.int64),
                     group["vec_id"].to_numpy(), np.stack(group["vector"].to_list()).astype(np.int64), k,
+                    group["floor"].fillna(-np.inf).to_numpy(np.float64),
                 )
                 found.append(
                     pd.DataFrame({"query_id": group["vec_id"].to_numpy()[row], "vec_id": ids, "score": scores})
@@ -126,22 +132,44 @@ def _search(k: int):
     return search
 
 
+def length(vector: Column) -> Column:
+    return F.sqrt(F.aggregate(vector, F.lit(0.0), lambda n, x: n + x.cast("double") * x))
+
+
+def length_classes(vectors: DataFrame) -> tuple[DataFrame, list[int], list[float], int]:
+    """``vectors`` with their class of length as ``cell`` (0 holds the longest), the classes' rows and greatest lengths, and
+    the vectors' width."""
+    held = vectors.select("vec_id", "vector", length(F.col("vector")).alias("length"))
+    n, width = held.agg(F.count("*"), F.coalesce(F.max(F.size("vector")), F.lit(0))).first()
+    classes = min(visits.CELLS, n // visits.rows_of(visits.BLOCK_VALUES, width) + 1)
+    at = [1 - i / classes for i in range(1, classes)]
+    cuts = held.agg(F.percentile_approx("length", at).alias("cuts")).first()["cuts"] if at else []
+    shorter = [(F.col("length") < cut).cast("int") for cut in sorted(set(cuts or []), reverse=True)]
+    held = held.withColumn("cell", sum(shorter, F.lit(0)))
+    sizes, longest = [0] * (len(shorter) + 1), [0.0] * (len(shorter) + 1)
+    for r in held.groupBy("cell").agg(F.count("*").alias("n"), F.max("length").alias("longest")).collect():
+        sizes[r["cell"]], longest[r["cell"]] = r["n"], r["longest"]
+    return held, sizes, longest, width
+
+
 def top_products(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the ``k`` highest inner products of each row of ``queries`` with the
-    rows of ``vectors`` of another id, ties to the smaller id. Both have vec_id and vector (array of integers).
-
-    The numbers of blocks and groups come from counts, so that a task holds about as much at any size.
-    """
-    n, q = vectors.count(), queries.count()
-    blocks, groups = n // BLOCK_ROWS + 1, q // GROUP_ROWS + 1
-    side = lambda df, asks: df.select("vec_id", "vector", F.lit(asks).alias("asks"))
-    held = side(vectors, False).withColumn("block", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(blocks)))
-    held = held.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
-    asked = queries.groupBy("vec_id").agg(F.min("vector").alias("vector"))
-    asked = side(asked, True).withColumn("group", F.pmod(F.xxhash64("vec_id"), F.lit(groups)))
-    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    pairs = held.unionByName(asked).select("block", "group", "vec_id", "vector", "asks")
-    found = pairs.groupBy("block", "group").applyInPandas(_search(k), OUT)
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
-    ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    rows of ``vectors`` of another id, ties to the smaller id. Both have vec_id and vector (array of integers)."""
+    held, sizes, longest, width = length_classes(vectors)
+    asked = queries.groupBy("vec_id").agg(F.min("vector").alias("vector")).withColumn("length", length(F.col("vector")))
+    begun = asked.withColumns({"floor": F.lit(None).cast("double"), "band": F.lit(0), "cells": F.array(F.lit(0))})
+    first = staged(visits.visit(held.where("cell = 0"), begun, sizes, width, _search(k), OUT), "products")
+    ordered = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
+
+    def best(found: DataFrame) -> DataFrame:
+        return found.withColumn("rank", F.row_number().over(ordered)).where(F.col("rank") <= k)
+
+    if len(sizes) > 1:
+        known = best(first).where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("floor"))
+        reach = F.col("length") * (1 + 1e-9)
+        helps = [F.when(F.col("floor").isNull() | (reach * most + 1e-6 >= F.col("floor")), F.lit(c)) for c, most in enumerate(longest) if c]
+        cells = F.array_compact(F.array(*helps))
+        later = asked.join(known, "vec_id", "left").withColumn("cells", cells).where(F.size("cells") > 0)
+        later = staged(later.withColumn("band", F.array_max("cells")), "asked")
+        first = first.unionByName(visits.visit(held.where("cell > 0"), later, sizes, width, _search(k), OUT))
+    return best(first).select("query_id", "rank", "vec_id", "score")

@@ -4,7 +4,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from fleetmart.llm import ORACLE, QUERIES, neighbours, topk
+from fleetmart.llm import ORACLE, QUERIES, neighbours, topk, visits
 
 VECTORS = "vec_id long, vector array<double>"
 
@@ -86,8 +86,10 @@ def test_products_against_sql(spark, given):
     assert sorted(got) == sorted(expected) and got
 
 
-@pytest.mark.parametrize("spread", [0.0, 0.05, 1.0])
-def test_products_against_brute_force(spark, spread):
+@pytest.mark.parametrize(("spread", "block", "group"), [(0.0, 1 << 19, 1 << 22), (0.05, 1000, 200), (1.0, 1000, 1 << 22), (1.0, 9000, 100)])
+def test_products_against_brute_force(spark, monkeypatch, spread, block, group):
+    monkeypatch.setattr(visits, "BLOCK_VALUES", block)
+    monkeypatch.setattr(visits, "GROUP_VALUES", group)
     rng = np.random.default_rng(7)
     centres = rng.normal(size=(20, 16))
     lengths = np.exp(rng.normal(size=2000) * 1.5)
@@ -122,3 +124,25 @@ def test_integers_and_usable(spark):
     assert got[1] == (True, [25, -26, 256])
     assert [got[i][0] for i in range(2, 7)] == [False, False, False, False, True]
     assert topk.top_products(df.where("false").withColumnRenamed("v", "vector"), df.where("false").withColumnRenamed("v", "vector")).count() == 0
+
+
+def test_short_vectors_are_not_visited(spark, monkeypatch):
+    """Queries whose best are long leave all shorter classes alone; clashing columns, a hot length and zeros change nothing."""
+    monkeypatch.setattr(visits, "BLOCK_VALUES", 400)
+    rng = np.random.default_rng(11)
+    rows = [(i, (rng.integers(1, 9, size=4) * 4 ** int(i % 6)).tolist()) for i in range(600)]
+    rows += [(700 + i, [3, 4, 0, 0]) for i in range(300)] + [(1000, [0] * 4), (1020, [-5, -5, -5, -5])]
+    frame = spark.createDataFrame(rows, "vec_id long, vector array<long>").selectExpr(
+        "*", "'x' AS cell", "1 AS length", "2 AS floor", "3 AS band", "4 AS cells", "5 AS score", "6 AS query_id", "7 AS block", "8 AS `group`"
+    )
+    asks = []
+    plain = visits.visit
+    monkeypatch.setattr(visits, "visit", lambda held, asked, *rest: asks.append(asked) or plain(held, asked, *rest))
+    got = sorted(map(tuple, topk.top_products(frame, frame.where("vec_id % 20 = 0")).collect()))
+    assert got == brute(rows, [r for r in rows if r[0] % 20 == 0], 5, product, -1)
+    assert len(asks) == 2 and {r.vec_id for r in asks[1].collect()} == {1000, 1020}
+
+
+def test_bands_are_put_together():
+    assert visits.grouped_bands([3, 0, 4, 5, 1], 5) == [0, 0, 0, 1, 2]
+    assert visits.grouped_bands([0] * 3, 1) == [0, 0, 0]
