@@ -7,8 +7,10 @@ true distance so far, a point nearer than ``d`` lies beyond projected distance `
 most 1 - chi2(r*r / (d*d)); the search ends where that falls below 1 - ``CERTAINTY``. So each true neighbour is found
 with that probability, and there is no other limit on what is verified.
 
-Spark deals the vectors over blocks with a tree each, and queries, in groups, visit every block; the k best of
-each block are merged per query. Every row is indexed; the projections depend on the width and the seed alone.
+The upper levels of the tree are shared by the whole table: their cuts come from ``SAMPLE`` vectors at most, chosen by hash, every
+vector is put into its cell, and each cell's box is that of all its vectors. A query first searches its own cell, and with the
+k-th best distance found there visits only the cells whose boxes pass the same test. A cell is cut into blocks by a hash, with a
+tree each; the k best are merged per query. The projections depend on the width and the seed alone.
 
 Defined results: vectors that are NULL, zero, or hold a NULL or non-finite component take no part; NULL ids
 likewise; repeated rows are candidates each, but never for a query of the same id; a query whose id is repeated is
@@ -24,9 +26,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetmart.llm import visits
+from fleetmart.llm.base import staged
 from fleetmart.llm.topk import usable
 
 #: Projections; even, so that the distribution has a closed form.
@@ -34,9 +39,8 @@ DIMENSIONS = 8
 CERTAINTY = 0.99
 SEED = 20
 LEAF = 64
-#: Vectors in a block and queries in a group: what one task holds.
-BLOCK_ROWS = 16_384
-GROUP_ROWS = 512
+#: Vectors whose projections choose the cuts between cells, the most.
+SAMPLE = 16_384
 OUT = "query_id long, vec_id long, score double"
 
 
@@ -111,16 +115,20 @@ class Tree:
 
 
 def search_block(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int,
-                 certainty: float = CERTAINTY):
-    """The k nearest found in one block for each query: (query row, id, distance) arrays."""
+                 certainty: float = CERTAINTY, ceilings=None):
+    """The k nearest found in one block for each query: (query row, id, distance) arrays.
+
+    ``ceilings``: a distance for each query beyond which none is wanted.
+    """
     matrix, bound = projections(vectors.shape[1]), chi_square_bound(certainty, DIMENSIONS)
     projected, asked = vectors @ matrix, queries @ matrix
     tree = Tree(projected)
     out = []
-    for row, (own, query, point) in enumerate(zip(query_ids, queries, asked)):
+    ceilings = np.full(len(queries), math.inf) if ceilings is None else ceilings
+    for row, (own, query, point, ceiling) in enumerate(zip(query_ids, queries, asked, ceilings)):
         best_ids, best = np.empty(0, np.int64), np.empty(0)
         for away, members in tree.leaves(point):
-            kth = best[k - 1] if len(best) >= k else math.inf
+            kth = min(ceiling, best[k - 1]) if len(best) >= k else ceiling
             if away > bound * kth * kth:
                 break
             members = members[ids[members] != own]
@@ -143,6 +151,7 @@ def _search(k: int, certainty: float):
                 row, ids, scores = search_block(
                     block["vec_id"].to_numpy(), np.stack(block["vector"].to_list()).astype(np.float64),
                     group["vec_id"].to_numpy(), np.stack(group["vector"].to_list()).astype(np.float64), k, certainty,
+                    group["floor"].fillna(math.inf).to_numpy(np.float64),
                 )
                 found.append(
                     pd.DataFrame({"query_id": group["vec_id"].to_numpy()[row], "vec_id": ids, "score": scores})
@@ -152,22 +161,101 @@ def _search(k: int, certainty: float):
     return search
 
 
+def projected(vectors: pa.Array) -> np.ndarray:
+    """The projections of each of a list of vectors, whatever their widths."""
+    ends = np.diff(vectors.offsets.to_numpy())
+    out = np.empty((len(vectors), DIMENSIONS))
+    for width in np.unique(ends):
+        at = np.flatnonzero(ends == width)
+        out[at] = vectors.take(pa.array(at)).flatten().to_numpy().reshape(len(at), width).astype(np.float64) @ projections(width)
+    return out
+
+
+class Cuts:
+    """The upper levels of the kd-tree: an axis and a value for each node, children of node i at 2i + 1 and 2i + 2."""
+
+    def __init__(self, points: np.ndarray, depth: int):
+        self.depth, self.axis, self.value = depth, np.zeros(2**depth - 1, np.int64), np.zeros(2**depth - 1)
+        held = {0: points}
+        for node in range(2**depth - 1):
+            own = held.pop(node)
+            if len(own):
+                self.axis[node] = np.ptp(own, axis=0).argmax()
+                self.value[node] = np.median(own[:, self.axis[node]])
+            right = own[:, self.axis[node]] >= self.value[node]
+            held[2 * node + 1], held[2 * node + 2] = own[~right], own[right]
+
+    def cell(self, points: np.ndarray) -> np.ndarray:
+        node = np.zeros(len(points), np.int64)
+        for _ in range(self.depth):
+            node = 2 * node + 1 + (points[np.arange(len(points)), self.axis[node]] >= self.value[node])
+        return node - (2**self.depth - 1)
+
+
+def placed(vectors: DataFrame, cuts: Cuts) -> DataFrame:
+    """vec_id, vector, point (its projections), cell."""
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            points = projected(batch["vector"])
+            listed = pa.FixedSizeListArray.from_arrays(points.reshape(-1), DIMENSIONS).cast(pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays(
+                [batch["vec_id"], batch["vector"], listed, pa.array(cuts.cell(points), pa.int32())], names=["vec_id", "vector", "point", "cell"]
+            )
+
+    kind = vectors.schema["vector"].dataType.simpleString()
+    return vectors.select("vec_id", "vector").mapInArrow(place, f"vec_id long, vector {kind}, point array<double>, cell int")
+
+
+def cut_cells(vectors: DataFrame, cells: int) -> Cuts:
+    """Cuts into ``cells``, rounded down to a power of two, from a sample that depends on the vectors alone."""
+    depth = min(cells, visits.CELLS).bit_length() - 1
+    if depth == 0:
+        return Cuts(np.empty((0, DIMENSIONS)), 0)
+    sample = vectors.select("vec_id", "vector").orderBy(F.xxhash64("vec_id", "vector")).limit(SAMPLE)
+    points = [r["point"] for r in placed(sample, Cuts(np.empty((0, DIMENSIONS)), 0)).select("point").collect()]
+    return Cuts(np.array(points).reshape(-1, DIMENSIONS), depth)
+
+
+def other_cells(boxes: dict[int, tuple[np.ndarray, np.ndarray]], bound: float):
+    """A column function of (point, cell, k-th distance): the other cells that pass the stopping test."""
+    names = np.array(sorted(boxes))
+    low, high = np.array([boxes[c][0] for c in names]), np.array([boxes[c][1] for c in names])
+
+    @F.pandas_udf("array<int>")
+    def others(point: pd.Series, cell: pd.Series, kth: pd.Series) -> pd.Series:
+        found = []
+        for p, own, d in zip(point, cell, kth.fillna(math.inf)):
+            off = np.maximum(0, np.maximum(low - p, p - high))
+            found.append(names[((off**2).sum(axis=1) <= bound * d * d * (1 + 1e-9)) & (names != own)].astype(np.int32))
+        return pd.Series(found, dtype=object)
+
+    return others
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, certainty: float = CERTAINTY) -> DataFrame:
     """query_id, rank (from 1), vec_id, score (Euclidean distance) of the ``k`` nearest found for each row of
-    ``queries`` among the rows of ``vectors`` of another id. Both have vec_id and vector.
+    ``queries`` among the rows of ``vectors`` of another id. Both have vec_id and vector."""
+    n, width = vectors.agg(F.count("*"), F.coalesce(F.max(F.size("vector")), F.lit(0))).first()
+    cuts = cut_cells(vectors, n // visits.rows_of(visits.BLOCK_VALUES, width) + 1)
+    held = placed(vectors, cuts)
+    axes = [f(F.element_at("point", i + 1)).alias(f"{f.__name__}{i}") for f in (F.min, F.max) for i in range(DIMENSIONS)]
+    sizes, boxes = [0] * 2**cuts.depth, {}
+    for r in held.groupBy("cell").agg(F.count("*").alias("n"), *axes).collect():
+        sizes[r["cell"]], edges = r["n"], np.array(r[2:])
+        boxes[r["cell"]] = (edges[:DIMENSIONS], edges[DIMENSIONS:])
+    asked = placed(queries.groupBy("vec_id").agg(F.min("vector").alias("vector")), cuts)
+    begun = asked.withColumns({"floor": F.lit(None).cast("double"), "band": F.col("cell"), "cells": F.array("cell")})
+    found = staged(visits.visit(held, begun, sizes, width, _search(k, certainty), OUT), "neighbours")
+    ordered = Window.partitionBy("query_id").orderBy("score", "vec_id")
 
-    The numbers of blocks and groups come from counts, so that a task holds about as much at any size.
-    """
-    n, q = vectors.count(), queries.count()
-    blocks, groups = n // BLOCK_ROWS + 1, q // GROUP_ROWS + 1
-    side = lambda df, asks: df.select("vec_id", "vector", F.lit(asks).alias("asks"))
-    held = side(vectors, False).withColumn("block", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(blocks)))
-    held = held.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
-    asked = queries.groupBy("vec_id").agg(F.min("vector").alias("vector"))
-    asked = side(asked, True).withColumn("group", F.pmod(F.xxhash64("vec_id"), F.lit(groups)))
-    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    pairs = held.unionByName(asked).select("block", "group", "vec_id", "vector", "asks")
-    found = pairs.groupBy("block", "group").applyInPandas(_search(k, certainty), OUT)
-    best = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    def best(found: DataFrame) -> DataFrame:
+        return found.withColumn("rank", F.row_number().over(ordered)).where(F.col("rank") <= k)
+
+    if len(boxes) > 1:
+        known = best(found).where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("floor"))
+        others = other_cells(boxes, chi_square_bound(certainty, DIMENSIONS))
+        later = asked.join(known, "vec_id", "left").withColumn("cells", others("point", "cell", "floor"))
+        later = staged(later.where(F.size("cells") > 0).withColumn("band", F.col("cell")), "asked")
+        found = found.unionByName(visits.visit(held, later, sizes, width, _search(k, certainty), OUT))
+    return best(found).select("query_id", "rank", "vec_id", "score")

@@ -54,8 +54,10 @@ def test_recall_on_given(spark, given):
     assert all(math.isclose(s, distance(exact[q], exact[i]), rel_tol=1e-12) for q, _, i, s in got)
 
 
-@pytest.mark.parametrize("width", [2, 40])
-def test_recall_on_clusters(spark, width):
+@pytest.mark.parametrize(("width", "block", "group"), [(2, 1 << 19, 1 << 22), (2, 300, 60), (40, 1 << 19, 1 << 22), (40, 8000, 800)])
+def test_recall_on_clusters(spark, monkeypatch, width, block, group):
+    monkeypatch.setattr(visits, "BLOCK_VALUES", block)
+    monkeypatch.setattr(visits, "GROUP_VALUES", group)
     rng = np.random.default_rng(width)
     centres = rng.normal(size=(12, width)) * 3
     rows = [(i, (centres[i % 12] + rng.normal(size=width)).tolist()) for i in range(3000)]
@@ -146,3 +148,26 @@ def test_short_vectors_are_not_visited(spark, monkeypatch):
 def test_bands_are_put_together():
     assert visits.grouped_bands([3, 0, 4, 5, 1], 5) == [0, 0, 0, 1, 2]
     assert visits.grouped_bands([0] * 3, 1) == [0, 0, 0]
+
+
+def test_cells_cover_all_and_far_ones_are_not_visited(spark, monkeypatch):
+    """Clusters far apart: few cells are visited beside the own; copies of one vector and clashing columns change nothing."""
+    monkeypatch.setattr(visits, "BLOCK_VALUES", 600)
+    rng = np.random.default_rng(5)
+    rows = [(i, (rng.normal(size=6) + 1000 * (i % 8)).tolist()) for i in range(800)]
+    rows += [(900 + i, [5000.0] * 6) for i in range(400)] + [(2000, [1.0, 2.0])]
+    frame = spark.createDataFrame(rows, VECTORS).selectExpr("*", "1 AS cell", "2 AS floor", "3 AS band", "4 AS cells", "5 AS point", "6 AS score")
+    cuts = neighbours.cut_cells(frame, 13)
+    assert cuts.depth == 3
+    held = neighbours.placed(frame, cuts).collect()
+    assert sorted(r.vec_id for r in held) == sorted(r[0] for r in rows) and {r.cell for r in held} <= set(range(8))
+    asks = []
+    plain = visits.visit
+    monkeypatch.setattr(visits, "visit", lambda held, asked, *rest: asks.append(asked) or plain(held, asked, *rest))
+    got = neighbours.nearest(frame, frame.where("vec_id % 20 = 0")).collect()
+    expected = brute(rows, [r for r in rows if r[0] % 20 == 0], 10, distance, 1)
+    assert len(got) == len(expected)
+    assert len({(r.query_id, r.vec_id) for r in got} & {e[0:3:2] for e in expected}) >= 0.95 * len(expected)
+    assert len(asks) == 2
+    visited = sum(len(r.cells) for r in asks[1].collect() if r.vec_id != 2000)
+    assert visited < 0.3 * 7 * len([r for r in rows if r[0] % 20 == 0])
