@@ -44,3 +44,16 @@ def test_query(spark, given):
     result = con.execute(ORACLE["op1_chat_formatting"])
     assert [d[0] for d in result.description] == out.columns
     assert sorted(map(tuple, out.collect())) == sorted(result.fetchall())
+
+
+def test_long_texts_and_conversations(spark):
+    """A text of three million characters full of marks, one streamed in thousands of pieces, and thousands of turns."""
+    marks = "### </turn>\\ é"
+    long = marks * 220_000
+    rows = [(1, 0, 0, "message", "user", long), (1, 1, 0, "message", "assistant", long)]
+    rows += [(2, 0, i, "delta", "assistant", f"{i} </turn>") for i in range(3000)]
+    rows += [(3, i, 0, "message", "assistant" if i % 2 else "user", f"### {i}") for i in range(4000)]
+    out = {r.conv_id: r for r in chat.read_back(chat.format_conversations(spark.createDataFrame(rows, LOG))).collect()}
+    assert [t[1] for t in out[1].turns] == [long, long] and out[1].learned == [long]
+    assert out[2].learned == ["".join(f"{i} </turn>" for i in range(3000))]
+    assert [t[1] for t in out[3].turns] == [f"### {i}" for i in range(4000)] and len(out[3].learned) == 2000

@@ -105,3 +105,32 @@ def test_toxicity_on_held_out_labels(spark):
     caught = [r.toxic >= toxicity.THRESHOLD for r in rows if r.y == 1]
     spared = [r.toxic < toxicity.THRESHOLD for r in rows if r.y == 0]
     assert len(caught) > 50 and sum(caught) >= 0.88 * len(caught) and sum(spared) >= 0.99 * len(spared)
+
+
+def test_solve_against_newton_steps():
+    """The same penalised regression on a full matrix, solved by Newton's method."""
+    rng = np.random.default_rng(8)
+    n, width = 300, 12
+    held = rng.random((n, width)) < 0.3
+    scale, dense = rng.uniform(0.3, 1, width), rng.normal(size=(n, 1))
+    y = (rng.random(n) < toxicity.sigmoid(held @ rng.normal(size=width) * 2 + dense[:, 0] - 0.5)).astype(float)
+    x = np.column_stack([held * scale, dense, np.ones(n)])
+    penalty = np.diag([toxicity.PENALTY] * (width + 1) + [0.0])
+    plain = np.zeros(width + 2)
+    for _ in range(50):
+        p = toxicity.sigmoid(x @ plain)
+        plain -= np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + penalty, x.T @ (p - y) + penalty @ plain)
+    row, col = np.nonzero(held)
+    weights, chained, bias = toxicity.solve(row, col, scale, dense, y)
+    mine = toxicity.sigmoid(held @ weights + dense @ chained + bias)
+    assert np.abs(mine - toxicity.sigmoid(x @ plain)).max() < 0.02
+
+
+def test_toxicity_reads_long_texts_to_the_end(spark):
+    docs = [(i, f"good word{i % 7}" if i % 2 else f"vile word{i % 7}") for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2, 1 - i % 2) for i in range(200)], "doc_id long, quality int, toxic int")
+    chain = toxicity.fit(spark.createDataFrame(docs, "doc_id long, text string"), labels)
+    ends = spark.createDataFrame([(0, "vile"), (1, "good")], "doc_id long, text string")
+    long = ends.withColumn("text", F.concat(F.repeat(F.lit("plain filler "), 150_000), "text"))
+    got, alone = ([tuple(r.p) for r in toxicity.scored(d, chain).orderBy("row.doc_id").collect()] for d in (long, ends))
+    assert got == alone and got[0][1] > 0.5 > got[1][1]
