@@ -40,12 +40,12 @@ def delete(spark: SparkSession, path: str) -> bool:
     return system.delete(place, True)
 
 
-def expire_work(spark: SparkSession, older_than: timedelta) -> int:
-    """Delete the work folders of ended runs: those below the shared folder last written before that time.
+def expire_work(spark: SparkSession, older_than: timedelta, root: str | None = None) -> int:
+    """Delete the work folders of ended runs: those below the shared folder, or ``root``, last written before that time.
 
     Frames that were staged that long ago can no longer be read, so it should exceed the longest run.
     """
-    root, limit = shared_root(spark), (datetime.now(UTC) - older_than).timestamp() * 1000
+    root, limit = root or shared_root(spark), (datetime.now(UTC) - older_than).timestamp() * 1000
     system, place = _at(spark, root)
     if not system.exists(place):
         return 0
