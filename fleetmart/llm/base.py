@@ -6,12 +6,15 @@ import io
 import uuid
 import zipfile
 from collections.abc import Callable
+from datetime import timedelta
 from functools import wraps
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetmart.sources import files
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -71,8 +74,21 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
 
     Where the setting is missing, as in a plain local session, the folder lies in the warehouse.
     """
+    return f"{_work_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def _work_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/fleetmart-llm/{purpose}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/fleetmart-llm"
+
+
+def expire_work(spark: SparkSession, older_than: timedelta) -> int:
+    """Delete the work folders of ended runs, those last written before that time; how many there were.
+
+    Staged frames, lexicons, shipped code and the queries' ledgers lie there, so it should exceed the longest application. A
+    lasting ledger belongs elsewhere.
+    """
+    return files.expire_work(spark, older_than, _work_root(spark))
 
 
 def staged(df: DataFrame, purpose: str) -> DataFrame:
