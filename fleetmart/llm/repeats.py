@@ -49,7 +49,7 @@ LEVELS = (32, 8, 1)
 #: Bytes of text whose anchors are looked for at once.
 BLOCK = 1 << 18
 #: Bytes of the texts that share a transform, if one group has not more.
-TOGETHER = 1 << 20
+TOGETHER = 1 << 18
 _PLACE = np.uint64((1 << 23) - 1)
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 _BASES = (0xD1342543DE82EF95, 0x2545F4914F6CDD1D)
@@ -193,18 +193,29 @@ def _cut_finer(width: int, level: int):
 
 def rotations(symbols: np.ndarray, depth: int) -> np.ndarray:
     """Starts of all rotations, in the order of their first ``depth`` symbols at least (0 to 511)."""
-    n, have = len(symbols), 7
-    key = np.zeros(n, np.int64)
-    for i in range(have):
-        key = (key << 9) | np.roll(symbols, -i)
+    n = len(symbols)
+    bits = (n - 1).bit_length()  # of a place or a rank
+    used = np.bincount(symbols) > 0
+    code, base, have = (np.cumsum(used) - 1)[symbols], max(int(used.sum()), 2), 1
+    while base ** (have + 1) <= 1 << max(63 - bits, 0):
+        have += 1
+    key = code
+    for i in range(1, have):
+        key = key * base + np.roll(code, -i)
+    places, rank = np.arange(n), np.empty(n, np.int64)
     while True:
-        order = np.argsort(key)
-        held = key[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.append(0, np.cumsum(held[1:] != held[:-1]))
-        if have >= depth or rank[order[-1]] == n - 1:
+        if 3 * bits <= 63:  # key and place fit into one number, and numbers are sorted faster than their places
+            held = np.sort(key << bits | places)
+            order = held & ((1 << bits) - 1)
+            held >>= bits
+        else:
+            order = np.argsort(key)
+            held = key[order]
+        ranks = np.append(0, np.cumsum(held[1:] != held[:-1]))
+        if have >= depth or ranks[-1] == n - 1:
             return order
-        key = rank * n + np.roll(rank, -have)
+        rank[order] = ranks
+        key = rank << bits | np.roll(rank, -have)
         have *= 2
 
 
@@ -212,29 +223,27 @@ def bounded_prefixes(last: np.ndarray, least: int) -> np.ndarray:
     """Length of the common prefix of each sorted rotation with the one before it, where it is under ``least``; else -1.
 
     ``last`` holds the symbol before each sorted rotation. Intervals of all strings of one length are extended backwards
-    together, by every symbol that stands before them; an interval goes on if its right end is new.
+    together, by every symbol that stands before them; an interval goes on if its right end is new. Intervals are kept in
+    order, so sorting the symbols of their places stably, which is cheap for 16 bits, brings the places reached in order.
     """
-    n = len(last)
-    order = np.argsort(last, kind="stable")
-    to = np.empty(n, np.int64)
-    to[order] = np.arange(n)
-    first = last[order]
-    common = np.full(n + 1, -1, np.int64)
+    n, last = len(last), last.astype(np.uint16)
+    to = np.empty(n, np.int32)
+    to[np.argsort(last, kind="stable")] = np.arange(n, dtype=np.int32)
+    common = np.full(n + 1, -1, np.int32)
     common[0] = common[n] = 0
-    owner = np.empty(n, np.int64)
-    low, high = np.array([0]), np.array([n])
+    low, high = np.array([0], np.int32), np.array([n], np.int32)
     for length in range(least):
         if not len(low):
             break
         sizes = high - low
-        ends = np.cumsum(sizes)
-        places = np.arange(ends[-1]) + np.repeat(low - (ends - sizes), sizes)
-        reached = to[places]
-        owner[reached] = np.repeat(np.arange(len(low)), sizes)
-        reached = np.sort(reached)
-        held, symbol = owner[reached], first[reached]
-        breaks = (held[1:] != held[:-1]) | (symbol[1:] != symbol[:-1])
-        starts, stops = reached[np.append(True, breaks)], reached[np.append(breaks, True)] + 1
+        ends = np.cumsum(sizes, dtype=np.int32)
+        places = np.arange(ends[-1], dtype=np.int32) + np.repeat(low - (ends - sizes), sizes)
+        symbol = last[places]
+        order = np.argsort(symbol, kind="stable")
+        reached, symbol = to[places[order]], symbol[order]
+        held = np.repeat(np.arange(len(low), dtype=np.int32), sizes)[order]
+        breaks = np.flatnonzero((held[1:] != held[:-1]) | (symbol[1:] != symbol[:-1]))
+        starts, stops = reached[np.append(0, breaks + 1)], reached[np.append(breaks, len(reached) - 1)] + 1
         new = common[stops] < 0
         common[stops[new]] = length
         low, high = starts[new], stops[new]

@@ -120,3 +120,24 @@ def test_prefix_lengths():
     assert turned == sorted(turned)
     plain = [0] + [next(k for k, (x, y) in enumerate(zip(a, b)) if x != y) for a, b in zip(turned, turned[1:])]
     assert repeats.bounded_prefixes(text[order - 1], 4).tolist() == [n if n < 4 else -1 for n in plain]
+
+
+def test_rotations_are_sorted_as_packed_numbers(monkeypatch):
+    """Keys carry their places, so no 64-bit keys are sorted through places; symbols are sorted as 16-bit numbers."""
+    widths, plain = [], np.argsort
+    monkeypatch.setattr(repeats.np, "argsort", lambda x, **options: widths.append(x.itemsize) or plain(x, **options))
+    found = repeats.repeated_windows([b"abcd" * 60, b"xbcd" * 60], np.array([1, 1]), 200)
+    assert all(f.all() for f in found)
+    assert widths and max(widths) <= 2
+
+
+def test_rotations_of_a_long_text():
+    """Places of more than 21 bits do not fit beside their keys."""
+    rng = np.random.default_rng(9)
+    text = np.append(rng.integers(1, 4, (1 << 21) + 5), 0)
+    order = repeats.rotations(text, 9)
+    assert np.array_equal(np.sort(order), np.arange(len(text)))
+    key = np.zeros(len(text), np.int64)
+    for i in range(9):
+        key = key * 4 + text[(order + i) % len(text)]
+    assert (key[1:] >= key[:-1]).all()
