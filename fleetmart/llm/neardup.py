@@ -59,7 +59,9 @@ MAP_BITS = 1 << 23
 #: Rows of one class are spread over so many keys when they meet their component.
 SALTS = 8
 #: Word hashes that a worker remembers.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 100_000
+#: Texts whose sets a worker holds at once, whatever the size of the batches that Spark hands over.
+HELD = 256
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -143,8 +145,15 @@ def _class_of(hashes: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(hashes.tobytes())).view(np.int64))
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches, ``HELD`` at a time at most."""
     for batch in batches:
+        for first in range(0, batch.num_rows, HELD):
+            yield batch.slice(first, HELD)
+
+
+def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _cut(batches):
         classes, sizes, keys, packed = [], [], [], []
         for text in batch["text"]:
             hashes = shingles(text.as_py())
@@ -164,7 +173,7 @@ def _full_sets(wanted):
     """Sets of the texts whose key's bit is set in the map of wanted ones."""
 
     def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _cut(batches):
             cells = batch["text_key"].to_numpy(zero_copy_only=False) & (MAP_BITS - 1)
             held = batch.filter(pa.array((wanted.value[cells >> 6] >> (cells & 63).astype(np.uint64)) & np.uint64(1) == 1))
             found = [shingles(t.as_py()).view(np.int64) for t in held["text"]]

@@ -1,6 +1,8 @@
 import random
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from fleetmart.llm import QUERIES, neardup
@@ -165,3 +167,18 @@ def test_components(spark):
     out = {r.node: r.component for r in components(spark.createDataFrame(path, "u long, v long")).collect()}
     assert out == {**{i: 0 for i in range(61)}, 100: 100, 103: 100, 105: 100, 200: 200, 201: 200}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_workers_hold_few_texts_at_once():
+    """A large batch of Spark's leaves the workers in small ones, so neither side holds the sets of all its texts; the words
+    remembered are bounded."""
+    texts = [" ".join(f"t{i}w{j}" for j in range(200)) for i in range(1000)] + [None, ""]
+    places = pa.array(range(len(texts)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([places, places, pa.array(texts, pa.string())], names=["doc_id", "text_key", "text"])
+    wanted = SimpleNamespace(value=np.full(neardup.MAP_BITS // 64, 0xFFFFFFFFFFFFFFFF, np.uint64))
+    for made in (neardup._sketch, neardup._full_sets(wanted)):
+        found = list(made(iter([batch])))
+        assert max(b.num_rows for b in found) <= neardup.HELD
+        assert [i for b in found for i in b["doc_id"].to_pylist()] == list(range(len(texts)))
+        assert len(neardup._words) <= neardup.CACHED_WORDS
+    assert [s is None for b in neardup._sketch(iter([batch])) for s in b["class"].to_pylist()] == [False] * 1000 + [True] * 2
