@@ -29,10 +29,15 @@ def change_counts(properties: DataFrame) -> DataFrame:
     )
 
 
-def server_source(entities: DataFrame, properties: DataFrame, types: DataFrame) -> DataFrame:
-    """Servers to list: entities of an active type that have a current property version."""
+def server_source(
+    entities: DataFrame, properties: DataFrame, types: DataFrame, changes: DataFrame | None = None
+) -> DataFrame:
+    """Servers to list: entities of an active type that have a current property version.
+
+    ``changes`` are the ``change_counts`` of the properties, where they have been counted before.
+    """
     wanted = of_types(entities, active_types(types, "Aktiv")).drop("DWCreatedDateTime")
-    facts = change_counts(properties).where("_current")
+    facts = (change_counts(properties) if changes is None else changes).where("_current")
     return wanted.join(facts, "ManagedEntityRowId").select(
         "ManagedEntityRowId",
         "TopLevelHostManagedEntityRowId",
@@ -106,11 +111,19 @@ def update_os(computers: DataFrame, entities: DataFrame, os_type: int = OS_TYPE)
 
 
 def database_source(
-    entities: DataFrame, properties: DataFrame, types: DataFrame, excluded: DataFrame
+    entities: DataFrame,
+    properties: DataFrame,
+    types: DataFrame,
+    excluded: DataFrame,
+    changes: DataFrame | None = None,
 ) -> DataFrame:
-    """Databases to list: active types with a current property version, system names left out."""
+    """Databases to list: active types with a current property version, system names left out.
+
+    ``changes`` are the ``change_counts`` of the properties, where they have been counted before.
+    """
     wanted = of_types(entities, active_types(types, "Aktive"))
-    current = current_only(properties).select("ManagedEntityRowId").distinct()
+    versions = current_only(properties) if changes is None else changes.where("_current")
+    current = versions.select("ManagedEntityRowId").distinct()
     live = wanted.join(current, "ManagedEntityRowId", "left_semi")
     return exclude_names(live, "DisplayName", excluded).select(
         "ManagedEntityRowId",

@@ -99,6 +99,12 @@ def fillable(dictionary: DataFrame, targets: dict[str, DataFrame]) -> dict[str,
     return {t: [c for c in cols if c.lower() in listed] for t, cols in columns.items()}
 
 
+def declared(df: DataFrame, table: str) -> DataFrame:
+    """The columns of a source table that the schema names."""
+    names = {f.name.lower() for f in struct_of(table).fields}
+    return df.select(*[df[c] for c in df.columns if c.lower() in names])
+
+
 def refresh(
     store: Snapshots,
     warehouse: Warehouse,
@@ -159,6 +165,15 @@ def refresh(
     report.added, report.failed, columns = found["added"], found["failed"], found["columns"]
     targets = {t: evolve.extend_schema(targets[t], report.added[t]).df for t in INVENTORIES}
 
+    def read_once(table: str, df: DataFrame) -> DataFrame:
+        """A frame that several steps read: it is computed once, and a rerun finds it."""
+        path = done(f"write {table}", lambda: {"written": store.stage(table, df, attempt)})["written"]
+        return spark.read.schema(df.schema).parquet(path)
+
+    # The warehouse's tables may be views; entities and the history of properties are read by most steps.
+    entities = read_once("Entities", declared(warehouse.entities, "ManagedEntity"))
+    changes = read_once("PropertyChanges", I.change_counts(warehouse.properties))
+
     # Every XML text is taken apart once, where it is read; all inventories share the values.
     wanted = sorted({c for names in columns.values() for c in names})
 
@@ -169,25 +184,25 @@ def refresh(
     values = spark.read.parquet(done("take properties apart", take_apart)["values"])
 
     def servers_step() -> dict:
-        source = I.server_source(warehouse.entities, warehouse.properties, types.servers)
-        synced = I.sync_servers(targets["SQLServer"], source, as_of, match_host, claim=claim("SQLServer"))
+        source = I.server_source(entities, warehouse.properties, types.servers, changes)
+        synced = I.sync_servers(targets["SQLServer"], written_once(source), as_of, match_host, claim=claim("SQLServer"))
         return stage("SQLServer", synced, "sync")
 
     def computers_step() -> dict:
-        source = I.computer_source(warehouse.entities, types.computers, read("SQLServer"))
-        synced = I.sync_computers(targets["Computer"], source, as_of, claim=claim("Computer"))
+        source = I.computer_source(entities, types.computers, read("SQLServer"))
+        synced = I.sync_computers(targets["Computer"], written_once(source), as_of, claim=claim("Computer"))
         return stage("Computer", synced, "sync")
 
     def databases_step() -> dict:
         source = I.database_source(
-            warehouse.entities, warehouse.properties, types.databases, types.excluded
+            entities, warehouse.properties, types.databases, types.excluded, changes
         )
-        synced = I.sync_databases(targets["SQLDatabase"], source, as_of, claim=claim("SQLDatabase"))
+        synced = I.sync_databases(targets["SQLDatabase"], written_once(source), as_of, claim=claim("SQLDatabase"))
         return stage("SQLDatabase", synced, "sync")
 
     def load_step(table: str, source: Callable[[], DataFrame], days: int) -> Callable[[], dict]:
         def load() -> dict:
-            loaded = load_history(store, table, source(), as_of, attempt, days=days)
+            loaded = load_history(store, table, written_once(source()), as_of, attempt, days=days)
             return {"paths": loaded.paths, "metrics": loaded.metrics}
 
         return load
@@ -196,7 +211,7 @@ def refresh(
     done("server properties", lambda: with_properties("SQLServer"))
     done("sync computers", computers_step)
     done("computer properties", lambda: with_properties("Computer"))
-    done("operating systems", lambda: stage("Computer", I.update_os(read("Computer"), warehouse.entities), "system"))
+    done("operating systems", lambda: stage("Computer", I.update_os(read("Computer"), entities), "system"))
     done("sync databases", databases_step)
     done("database properties", lambda: with_properties("SQLDatabase"))
 
@@ -204,7 +219,7 @@ def refresh(
         return I.alert_source(warehouse.alerts, known_entities(read("SQLServer"), read("Computer")))
 
     def windows() -> DataFrame:
-        return I.maintenance_source(warehouse.windows, warehouse.entities, read("Computer"))
+        return I.maintenance_source(warehouse.windows, entities, read("Computer"))
 
     loads = {"AlertHistory": (alerts, alert_days), "MaintenanceHistory": (windows, maintenance_days)}
     for table, (source, days) in loads.items():

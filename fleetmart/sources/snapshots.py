@@ -21,6 +21,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetmart.operators.joins import staged
 from fleetmart.schemas import EVENT_TIMES, struct_of
 from fleetmart.sources.commitlog import AppendedTable, CommitLog
 from fleetmart.sources.keyindex import DAY, DayFacts, KeyIndex
@@ -256,7 +257,7 @@ class Snapshots:
         return self.commit(paths, tag, number)
 
     def _all_days(self, table: str, df: DataFrame, attempt: str) -> dict[str, str]:
-        dated = df.withColumn(DAY, F.to_date(EVENT_TIMES[table]))
+        dated = staged(df.withColumn(DAY, F.to_date(EVENT_TIMES[table])), "days")  # counted, then written
         sizes = {row[DAY]: row["count"] for row in dated.groupBy(DAY).count().collect()}
         days = dict.fromkeys(self.days(table), False) | dict.fromkeys(sizes, True)
         return self.stage_days(table, dated, attempt, days, sizes)

@@ -157,3 +157,21 @@ def test_property_list_counts_filled_cells(spark):
     pairs = P.property_list(df, ["ManagedEntityRowId"], ["a", "b", "c"])
     assert {tuple(r) for r in pairs.collect()} == {(1, "a", "x"), (2, "b", "y"), (2, "c", "z")}
     assert pairs.where(F.col("Property") == "a").count() == 1
+
+
+def test_plain_texts_need_no_parser(spark, monkeypatch):
+    """Texts of properties alone are found by patterns, all others by the parser, with the same rows."""
+    value = lambda v: f'<Root><Property Guid="{{a-1}}">{v}</Property><Property Guid=" b ">w</Property></Root>'
+    plain = ["<Root></Root>", value("x"), value(""), value("  two \"q\" 'r' "), value("]] = ; ~ é"), value("y" * 300)]
+    other = [
+        value("   "), value("a&amp;b"), value("a>b"), value("]]>"), value("a\nb"), value(" "), value(" z"), value("𝒳"), value("Ж"), value("\x01"),
+        value("x") + "\n", " " + value("x"), value("x").replace("<Root>", "<Root >"), value("x")[:-1], value("x").replace(" b ", ""),
+        value("x").replace('" b "', "' b '"), value("<i>x</i>"), value("x").replace(" b ", "b&lt;"), "<Root/>", None, "",
+        value("x").replace("</Property><", "</Property> <"), value("x").replace(" b ", "  "), value("x") + "<Root></Root>",
+    ]
+    texts = [*plain, *other, "<Root>" + '<Property Guid="g">v</Property>' * 20000 + "</Root>"]
+    found = history(spark, *texts).select("ManagedEntityRowId", F.col("PropertyXML").rlike(P._PLAIN).alias("plain"))
+    assert [i for i, p in sorted(map(tuple, found.collect())) if p] == [*range(1, len(plain) + 1), len(texts)]
+    quick = shredded(spark, *texts)
+    monkeypatch.setattr(P, "_PLAIN", "(?!)")
+    assert quick == shredded(spark, *texts)
