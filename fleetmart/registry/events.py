@@ -154,12 +154,17 @@ def maintenance_import_literal(t: Tables):
     return window_rows(I.kept_rows(planned_windows(t, null_safe=False)), "ID")
 
 
+#: Files of a replayed micro-batch.
+BATCH_FILES = 16
+
+
 def replayed(t: Tables, text: str, order: str, root: str):
-    """A result as a stream of about three micro-batches, from files written in ``order``."""
+    """A result as a stream of about three micro-batches, from files written in ``order``; each batch has files for many
+    tasks, as no task reads less than a file's row group."""
     feed = f"{root}/feed"
     rows = t.sql(text)
-    rows.repartitionByRange(6, order).write.parquet(feed)
-    return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(feed)
+    rows.repartitionByRange(3 * BATCH_FILES, order).write.parquet(feed)
+    return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", BATCH_FILES).parquet(feed)
 
 
 @query("stream_alert_upsert", f"{ALERT_PLAN} SELECT {SHOWN_ALERTS} FROM result")
