@@ -1,9 +1,11 @@
 from datetime import datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from fleetmart.operators import events as E
+from fleetmart.registry.events import BATCH_FILES, replayed
 
 NOW = datetime(2030, 6, 1)
 OLD = datetime(2030, 5, 1)
@@ -103,3 +105,11 @@ def test_hot_key(spark, side):
     done = E.upsert_events(history(spark), incoming, **rules)
     assert done.where("k = 'hot'").first().n == 2999
     assert done.agg(F.count("*"), F.countDistinct("ID")).first() == (6006, 6006)
+
+
+def test_replayed_batches_have_files_for_many_tasks(spark, tmp_path):
+    given = SimpleNamespace(spark=spark, sql=lambda _text: spark.range(2000).selectExpr("id", "id % 500 AS at"))
+    feed = replayed(given, "", "at", str(tmp_path))
+    assert feed.isStreaming and feed.columns == ["id", "at"]
+    assert len(list((tmp_path / "feed").glob("*.parquet"))) > 2.5 * BATCH_FILES >= 20
+    assert spark.read.parquet(f"{tmp_path}/feed").agg(F.count("*"), F.sum("id")).first() == (2000, 1999000)

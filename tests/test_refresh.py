@@ -1,4 +1,5 @@
 import re
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 
 import fixtures
@@ -234,3 +235,23 @@ def test_a_failed_run_goes_on_where_it_failed(spark, tmp_path, monkeypatch, rows
     made.clear()
     R.refresh(stores[0], fixtures.warehouse(spark), fixtures.types(spark), NOW)
     assert made == sources
+
+
+def test_the_warehouse_is_read_once(spark, tmp_path):
+    """Entities are read once for all steps, the history of properties to count its versions and to take it apart."""
+    plain = fixtures.warehouse(spark)
+    seen = {name: spark.sparkContext.accumulator(0) for name in ("entities", "properties")}
+
+    def noting(name):
+        df, rows_read = getattr(plain, name), seen[name]
+
+        def passed(batches):
+            for batch in batches:
+                rows_read.add(batch.num_rows)
+                yield batch
+
+        return df.mapInArrow(passed, df.schema)
+
+    R.refresh(Snapshots(spark, str(tmp_path)), replace(plain, **{n: noting(n) for n in seen}), fixtures.types(spark), NOW)
+    assert seen["entities"].value == plain.entities.count()
+    assert seen["properties"].value == 2 * plain.properties.count()
